@@ -12,7 +12,8 @@ def span(attributes: Column, name: str) -> Column:
     fit 64 bits gives null.
     """
     found = F.regexp_extract(attributes, rf"(^|\s){name} *=\D*(\d+)", 2)
-    return F.when(found == "", F.lit(1).cast("bigint")).otherwise(
+    one = F.lit(1).cast("bigint")
+    return F.when(~attributes.contains(name) | (found == ""), one).otherwise(
         found.try_cast("bigint")
     )
 

@@ -68,9 +68,10 @@ def _show_hidden_entries(masked: Column) -> Column:
         text = F.replace(text, F.lit("\n" + m.PIPE), F.lit("\n|"))
         return F.replace(text, F.lit("\n" + m.BANG), F.lit("\n!"))
 
-    return rewrite_until_absent(
+    shown = rewrite_until_absent(
         masked, _HIDDEN_BREAK, show, count_chars(masked, m.NEWLINE)
     )
+    return F.when(masked.contains(m.NEWLINE), shown).otherwise(masked)
 
 
 def _is_caption(entry: Column) -> Column:
@@ -199,7 +200,7 @@ def _separate(entry: Column, dialect: str) -> Column:
     on its first line. A caption is never cut, its double pipes vanish.
     """
     rest = F.substring(entry, 2, F.length(entry))
-    header_line = F.regexp_extract(rest, rf"^[^\n{m.NEWLINE}]*+", 0)
+    header_line = F.substring_index(F.substring_index(rest, "\n", 1), m.NEWLINE, 1)
     header_tail = F.substring(rest, F.length(header_line) + 1, F.length(rest))
     header = F.concat(
         F.lit(m.HEADER_CELL),
@@ -234,20 +235,27 @@ def _separate(entry: Column, dialect: str) -> Column:
     )
 
 
-def _lock(entry: Column) -> Column:
+def _lock(entries: Column) -> Column:
     """Observed: an entry takes one attribute at most.
 
     After the first cell with a lone pipe, a link or a template, lone pipes in
     the later cells of the entry are literal.
     """
-    free = F.regexp_extract(
-        entry, rf"^[^{_ATTRIBUTE_STOP}]*+(?:[{_ATTRIBUTE_STOP}][^{_SEPARATORS}]*+)?", 0
-    )
-    locked = F.substring(entry, F.length(free) + 1, F.length(entry))
-    return F.when(
-        entry.contains(m.CELL_SEP) | entry.contains(m.HEADER_SEP),
-        F.concat(free, F.translate(locked, "|", m.PIPE)),
-    ).otherwise(entry)
+    free = rf"^[^{_ATTRIBUTE_STOP}]*+(?:[{_ATTRIBUTE_STOP}][^{_SEPARATORS}]*+)?"
+
+    def measured(entry: Column) -> Column:
+        has_more = entry.contains(m.CELL_SEP) | entry.contains(m.HEADER_SEP)
+        return F.struct(
+            entry.alias("text"),
+            F.when(has_more, F.length(F.regexp_extract(entry, free, 0))).alias("free"),
+        )
+
+    def locked(entry: Column) -> Column:
+        text, free = entry["text"], entry["free"]
+        rest = F.translate(F.substring(text, free + 1, F.length(text)), "|", m.PIPE)
+        return F.when(free.isNull(), text).otherwise(F.concat(F.left(text, free), rest))
+
+    return F.transform(F.transform(entries, measured), locked)
 
 
 def _flag_headers(entry: Column, dialect: str) -> Column:
@@ -279,7 +287,7 @@ def _row_text(line: Column, dialect: str) -> Column:
     """All cells of a row as one string, with a separator between them."""
     entries = F.transform(line["entries"], lambda entry: _separate(entry, dialect))
     if dialect == OBSERVED:
-        entries = F.transform(entries, _lock)
+        entries = _lock(entries)
     entries = F.transform(entries, lambda entry: _flag_headers(entry, dialect))
     entries = F.transform(
         entries,

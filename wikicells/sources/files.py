@@ -11,16 +11,20 @@ _DUMP_ID = r"([^/]+?-\d{8}-pages-articles-multistream)"
 
 
 def dump_files(spark: SparkSession, folder: str, pattern: str = "*.bz2") -> DataFrame:
-    """``(path, name, kind, range_key, dump_id, length)`` of the files in a folder.
+    """The files of a folder, as ``describe_files`` gives them.
 
     Only the listing is read, not the content.
     """
-    listed = (
+    return describe_files(
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .load(folder)
         .select("path", "length")
     )
+
+
+def describe_files(listed: DataFrame) -> DataFrame:
+    """``(path, name, kind, range_key, dump_id, length)`` for ``(path, length)``."""
     path = F.col("path")
     return listed.select(
         "path",

@@ -41,14 +41,14 @@ def pages_of_chunks(chunks: DataFrame, with_tables_only: bool = False) -> DataFr
     )
 
 
-def read_chunks(spark: SparkSession, path: str) -> DataFrame:
+def read_chunks(spark: SparkSession, path: str, pattern: str = DATA_FILES) -> DataFrame:
     """The XML between page ends, one chunk per page.
 
     The text source splits bz2 files at block borders, so one file is read by
     many tasks. ``</page>`` cannot occur in a page text, where ``<`` is escaped.
     """
     return (
-        spark.read.option("lineSep", PAGE_END).option("pathGlobFilter", DATA_FILES).text(path)
+        spark.read.option("lineSep", PAGE_END).option("pathGlobFilter", pattern).text(path)
     )
 
 
