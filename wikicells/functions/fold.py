@@ -7,17 +7,15 @@ from pyspark.sql import functions as F
 
 
 def rewrite_until_absent(
-    text: Column,
-    pattern: str,
-    rewrite: Callable[[Column], Column],
-    bound: Column,
+    text: Column, pattern: str, rewrite: Callable[[Column], Column]
 ) -> Column:
-    """Apply ``rewrite`` while ``pattern`` is found, at most ``bound`` times.
+    """Apply ``rewrite`` while ``pattern`` is found.
 
-    ``bound`` has to be an upper limit of the rewrites that can be needed (say
-    the number of opening brackets), so the result is exact. Rounds after the
-    last useful one only test a flag: the cost is text length times nesting
-    depth, whatever ``bound`` is.
+    Each rewrite has to use up at least one character that the pattern needs,
+    so there are at least as many rounds as can be wanted: the text length.
+    Rounds come in groups of 1, 2, 4, … and a group is skipped when nothing is
+    left to do: the cost follows the rewrites that happen, and the length of
+    the text adds only its logarithm.
     """
 
     def state(value: Column, done: bool) -> Column:
@@ -25,12 +23,18 @@ def rewrite_until_absent(
 
     def one_round(acc: Column, _: Column) -> Column:
         current = acc["text"]
-        return F.when(
-            acc["done"] | ~current.rlike(pattern), state(current, True)
-        ).otherwise(state(rewrite(current), False))
+        return (
+            F.when(acc["done"], acc)
+            .when(current.rlike(pattern), state(rewrite(current), False))
+            .otherwise(state(current, True))
+        )
 
-    rounds = F.sequence(F.lit(1), F.greatest(bound.cast("int"), F.lit(1)))
-    return F.aggregate(rounds, state(text, False), one_round, lambda acc: acc["text"])
+    def one_group(acc: Column, exponent: Column) -> Column:
+        rounds = F.sequence(F.lit(1), F.call_function("shiftleft", F.lit(1), exponent))
+        return F.when(acc["done"], acc).otherwise(F.aggregate(rounds, acc, one_round))
+
+    groups = F.sequence(F.lit(0), F.ceil(F.log2(F.length(text) + 1)).cast("int"))
+    return F.aggregate(groups, state(text, False), one_group, lambda acc: acc["text"])
 
 
 def rewrite_pieces(
@@ -42,8 +46,3 @@ def rewrite_pieces(
     """
     pieces = F.regexp_extract_all(text, F.lit(token), F.lit(0))
     return F.array_join(F.transform(pieces, rewrite), "")
-
-
-def count_chars(text: Column, chars: str) -> Column:
-    """How many characters of ``text`` are in ``chars``."""
-    return F.length(text) - F.length(F.translate(text, chars, ""))

@@ -53,14 +53,25 @@ _MASKED = (
 _PLAIN = "|!\n|[{[]{}"
 
 
+def swap(col: Column, old: str, new: str) -> Column:
+    """Replace each character of ``old`` by the one of ``new`` at its place, in turn.
+
+    A chain of literal replacements: a byte search each, while ``translate``
+    looks up every character of the text.
+    """
+    for a, b in zip(old, new, strict=True):
+        col = F.replace(col, F.lit(a), F.lit(b))
+    return col
+
+
 def unmask(col: Column) -> Column:
     """Give every stand-in of a parsed text its character back."""
-    return F.translate(col, _MASKED, _PLAIN)
+    return swap(col, _MASKED, _PLAIN)
 
 
 def as_literal(col: Column) -> Column:
     """Make a text inert: none of its characters acts as markup any more."""
-    return F.translate(
+    return swap(
         col,
         "|!" + LINK_OPEN + TEMPLATE_OPEN,
         FIRST_PIPE + BANG + QUIET_SQUARE_OPEN + QUIET_CURLY_OPEN,

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wikicells.functions import marks as m
-from wikicells.functions.fold import count_chars, rewrite_pieces, rewrite_until_absent
+from wikicells.functions.fold import rewrite_pieces, rewrite_until_absent
 from wikicells.functions.xmltext import escape_markup, escape_non_ascii
 from wikicells.options import INTENDED, OBSERVED, check_dialect
 
@@ -41,25 +41,22 @@ def _mark_line_starts(text: Column) -> Column:
 
 def _close_innermost(piece: Column) -> Column:
     """Mark one matched table; the tables inside it are inner ones from now on."""
-    closed = F.translate(
+    closed = m.swap(
         piece,
-        m.TABLE_OPEN + m.TABLE_CLOSE + m.DONE_OPEN + m.DONE_CLOSE + m.TABLE_EMPTY,
-        m.DONE_OPEN + m.DONE_CLOSE + m.INNER_OPEN + m.INNER_CLOSE + m.INNER_EMPTY,
+        m.DONE_OPEN + m.DONE_CLOSE + m.TABLE_EMPTY + m.TABLE_OPEN + m.TABLE_CLOSE,
+        m.INNER_OPEN + m.INNER_CLOSE + m.INNER_EMPTY + m.DONE_OPEN + m.DONE_CLOSE,
     )
     return F.when(piece.endswith(m.TABLE_CLOSE) & piece.startswith(m.TABLE_OPEN), closed).otherwise(piece)
 
 
 def _restore(table: Column) -> Column:
-    table = F.translate(
-        table,
-        m.INNER_OPEN + m.INNER_CLOSE + m.INNER_EMPTY,
-        m.DONE_OPEN + m.DONE_CLOSE + m.TABLE_EMPTY,
-    )
     for stand_in, marker in (
         (m.DONE_OPEN, "{|"),
+        (m.INNER_OPEN, "{|"),
         (m.DONE_CLOSE, "|}"),
-        (m.TABLE_CLOSE, "|}"),
+        (m.INNER_CLOSE, "|}"),
         (m.TABLE_EMPTY, "{|}"),
+        (m.INNER_EMPTY, "{|}"),
     ):
         table = F.replace(table, F.lit(stand_in), F.lit(marker))
     return table
@@ -68,10 +65,7 @@ def _restore(table: Column) -> Column:
 def _matched(marked: Column) -> Column:
     """Close matched pairs from the inside out until none is left."""
     return rewrite_until_absent(
-        marked,
-        _INNERMOST,
-        lambda t: rewrite_pieces(t, _PIECE, _close_innermost),
-        count_chars(marked, m.TABLE_OPEN),
+        marked, _INNERMOST, lambda t: rewrite_pieces(t, _PIECE, _close_innermost)
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wikicells.functions import marks as m
-from wikicells.functions.fold import count_chars, rewrite_until_absent
+from wikicells.functions.fold import rewrite_until_absent
 from wikicells.functions.spans import col_span, row_span
 from wikicells.operators.protect import protect, protect_literal_text
 from wikicells.options import INTENDED, OBSERVED, check_dialect
@@ -20,8 +20,8 @@ from wikicells.options import INTENDED, OBSERVED, check_dialect
 # The line boundaries of the observed dialect (those that text in
 # XML text form can hold are CR, LF and CR LF), and of the intended one.
 _LINE_BREAK = {
-    OBSERVED: r"\r\n|[\r\x0B\x0C\x1C\x1D\x1E\x85  ]",
-    INTENDED: r"\r\n|\r",
+    OBSERVED: r"\r\n?|[\x0B\x0C\x1C-\x1E\x85\u2028\u2029]",
+    INTENDED: r"\r\n?",
 }
 
 _ENTRY_START = r"\n(?=[|!])"
@@ -68,9 +68,7 @@ def _show_hidden_entries(masked: Column) -> Column:
         text = F.replace(text, F.lit("\n" + m.PIPE), F.lit("\n|"))
         return F.replace(text, F.lit("\n" + m.BANG), F.lit("\n!"))
 
-    shown = rewrite_until_absent(
-        masked, _HIDDEN_BREAK, show, count_chars(masked, m.NEWLINE)
-    )
+    shown = rewrite_until_absent(masked, _HIDDEN_BREAK, show)
     return F.when(masked.contains(m.NEWLINE), shown).otherwise(masked)
 
 
@@ -193,6 +191,11 @@ def _cell_lines(rows: Column, dialect: str) -> Column:
     )
 
 
+def _bang(text: Column) -> Column:
+    """Make exclamation marks literal."""
+    return m.swap(text, "!", m.BANG)
+
+
 def _separate(entry: Column, dialect: str) -> Column:
     """Put separators between the cells of an entry and drop its leading mark.
 
@@ -204,29 +207,17 @@ def _separate(entry: Column, dialect: str) -> Column:
     header_tail = F.substring(rest, F.length(header_line) + 1, F.length(rest))
     header = F.concat(
         F.lit(m.HEADER_CELL),
-        F.translate(
-            F.replace(header_line, F.lit("!!"), F.lit(m.HEADER_SEP)), "!", m.BANG
-        ),
-        F.translate(header_tail, "!", m.BANG),
+        _bang(F.replace(header_line, F.lit("!!"), F.lit(m.HEADER_SEP))),
+        _bang(header_tail),
     )
     # One space after the pipe is dropped. Observed: any other first character
     # is literal.
     first = F.substring(entry, 2, 1)
     if dialect == OBSERVED:
-        first = F.translate(first, "|", m.FIRST_PIPE)
-    data = F.translate(
-        F.concat(
-            F.when(first == " ", F.lit("")).otherwise(first),
-            F.substring(entry, 3, F.length(entry)),
-        ),
-        "!",
-        m.BANG,
-    )
-    caption = F.translate(
-        F.replace(F.substring(entry, 3, F.length(entry)), F.lit("||"), F.lit("")),
-        "!",
-        m.BANG,
-    )
+        first = m.swap(first, "|", m.FIRST_PIPE)
+    content = F.substring(entry, 3, F.length(entry))
+    data = _bang(F.concat(F.when(first == " ", F.lit("")).otherwise(first), content))
+    caption = _bang(F.replace(content, F.lit("||"), F.lit("")))
     double_pipe, separator = F.lit("||"), F.lit(m.CELL_SEP)
     return (
         F.when(entry.startswith("!"), F.replace(header, double_pipe, separator))
@@ -252,7 +243,7 @@ def _lock(entries: Column) -> Column:
 
     def locked(entry: Column) -> Column:
         text, free = entry["text"], entry["free"]
-        rest = F.translate(F.substring(text, free + 1, F.length(text)), "|", m.PIPE)
+        rest = m.swap(F.substring(text, free + 1, F.length(text)), "|", m.PIPE)
         return F.when(free.isNull(), text).otherwise(F.concat(F.left(text, free), rest))
 
     return F.transform(F.transform(entries, measured), locked)
@@ -263,14 +254,14 @@ def _flag_headers(entry: Column, dialect: str) -> Column:
     next_header = F.lit(m.CELL_SEP + m.HEADER_CELL)
     if dialect == INTENDED:
         flagged = F.replace(
-            F.translate(entry, m.HEADER_SEP, m.CELL_SEP), F.lit(m.CELL_SEP), next_header
+            m.swap(entry, m.HEADER_SEP, m.CELL_SEP), F.lit(m.CELL_SEP), next_header
         )
     else:
         headers = F.substring_index(entry, m.CELL_SEP, 1)
         others = F.substring(entry, F.length(headers) + 1, F.length(entry))
         flagged = F.concat(
             F.replace(headers, F.lit(m.HEADER_SEP), next_header),
-            F.translate(others, m.HEADER_SEP, m.CELL_SEP),
+            m.swap(others, m.HEADER_SEP, m.CELL_SEP),
         )
     return F.when(entry.startswith(m.HEADER_CELL), flagged).otherwise(entry)
 
@@ -308,9 +299,7 @@ def _lines(raw_tables: DataFrame, dialect: str, lines_of_rows) -> DataFrame:
         raw_tables.select(
             "page_name",
             F.concat_ws("_", "page_name", F.col("table_idx").cast("string")).alias("table_name"),
-            F.when(raw.rlike(_LINE_BREAK[dialect]), F.regexp_replace(raw, _LINE_BREAK[dialect], "\n"))
-            .otherwise(raw)
-            .alias("raw"),
+            F.regexp_replace("raw", _LINE_BREAK[dialect], "\n").alias("raw"),
         )
         .withColumn("raw", _drop_last_break(raw))
         .select(
@@ -323,7 +312,7 @@ def _lines(raw_tables: DataFrame, dialect: str, lines_of_rows) -> DataFrame:
     if dialect == INTENDED:
         staged = staged.withColumn("body", protect_literal_text(F.col("body")))
     return (
-        staged.withColumn("body", protect(F.col("body")))
+        protect(staged, "body")
         .withColumn("body", _show_hidden_entries(F.col("body")))
         .select(*page, _row_groups(F.col("body")).alias("groups"))
         .select(*page, _rows(F.col("groups")).alias("rows"))
@@ -364,7 +353,7 @@ def _cells(lines: DataFrame, dialect: str) -> DataFrame:
             "attribute",
             "col",
             cell.startswith(m.HEADER_CELL).cast("int").alias("is_header"),
-            F.translate(cell, m.HEADER_CELL, "").alias("cell"),
+            F.replace(cell, F.lit(m.HEADER_CELL), F.lit("")).alias("cell"),
         )
     )
     if dialect == OBSERVED:

@@ -1,10 +1,10 @@
 """Keep the markup inside links, templates, arguments and literal text inert."""
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wikicells.functions import marks as m
-from wikicells.functions.fold import count_chars, rewrite_pieces, rewrite_until_absent
+from wikicells.functions.fold import rewrite_pieces, rewrite_until_absent
 
 # Bracket runs go on across a line break. Single brackets are masked before, so
 # every bracket met here belongs to a run of two or more.
@@ -19,6 +19,7 @@ _STRAY_CURLY = rf"\[{_PLAIN}\}}(?:\n?\}})*+"
 _REDUCIBLE = "|".join((_ARGUMENT, _TEMPLATE, _LINK, _STRAY_SQUARE, _STRAY_CURLY))
 _PIECE = rf"{_REDUCIBLE}|[^\[\]{{}}]++|[\[\]{{}}]"
 _RUN = r"([\[\]{}])\n?\1"
+_LONG_RUN = r"([\[\]{}])\n?\1\n?\1"
 
 _SINGLE = (
     (r"\[(?<!\[\[)(?<!\[\n\[)(?!\n?\[)", m.LONE_SQUARE_OPEN),
@@ -36,38 +37,49 @@ def _mask_single(text: Column) -> Column:
 
 def _reduce(piece: Column) -> Column:
     markup, inert = "|!\n", m.PIPE + m.BANG + m.NEWLINE
-    argument = F.translate(
+    argument = m.swap(
         piece,
         "{}" + markup + m.LINK_OPEN + m.TEMPLATE_OPEN,
         m.QUIET_CURLY_OPEN + m.QUIET_CURLY_CLOSE + inert
         + m.QUIET_SQUARE_OPEN + m.QUIET_CURLY_OPEN,
     )
-    template = F.translate(piece, "{}" + markup, m.TEMPLATE_OPEN + m.QUIET_CURLY_CLOSE + inert)
-    link = F.translate(piece, "[]" + markup, m.LINK_OPEN + m.QUIET_SQUARE_CLOSE + inert)
+    template = m.swap(piece, "{}" + markup, m.TEMPLATE_OPEN + m.QUIET_CURLY_CLOSE + inert)
+    link = m.swap(piece, "[]" + markup, m.LINK_OPEN + m.QUIET_SQUARE_CLOSE + inert)
     curly, square = piece.startswith("{"), piece.startswith("[")
     return (
-        F.when(curly & piece.endswith("]"), F.translate(piece, "]", m.LONE_SQUARE_CLOSE))
-        .when(square & piece.endswith("}"), F.translate(piece, "}", m.LONE_CURLY_CLOSE))
+        F.when(square & piece.endswith("]"), link)
         .when(curly & piece.endswith("}"), F.when(piece.rlike(r"^\{\n?\{\n?\{"), argument).otherwise(template))
-        .when(square & piece.endswith("]"), link)
+        .when(curly & piece.endswith("]"), m.swap(piece, "]", m.LONE_SQUARE_CLOSE))
+        .when(square & piece.endswith("}"), m.swap(piece, "}", m.LONE_CURLY_CLOSE))
         .otherwise(piece)
     )
 
 
-def protect(text: Column) -> Column:
+def protect(tables: DataFrame, column: str) -> DataFrame:
     """Mask ``| !``, line breaks and brackets inside matched bracket spans.
 
     Innermost pairs first, three braces before two. Brackets without a partner
     keep their character and protect nothing.
     """
-    matched = rewrite_until_absent(
-        _mask_single(text),
-        _REDUCIBLE,
-        lambda t: _mask_single(rewrite_pieces(t, _PIECE, _reduce)),
-        count_chars(text, "[{]}"),
+    text = F.col(column)
+
+    def reduce_innermost(current: Column) -> Column:
+        reduced = rewrite_pieces(current, _PIECE, _reduce)
+        # A run of three or more can leave a single bracket behind.
+        return F.when(F.col("_long_run"), _mask_single(reduced)).otherwise(reduced)
+
+    matched = rewrite_until_absent(text, _REDUCIBLE, reduce_innermost)
+    return (
+        tables.withColumn("_run", text.rlike(_RUN))
+        .withColumns(
+            {
+                "_long_run": F.col("_run") & text.rlike(_LONG_RUN),
+                column: F.when(F.col("_run"), _mask_single(text)).otherwise(text),
+            }
+        )
+        .withColumn(column, F.when(F.col("_run"), m.swap(matched, m.LONE, "[]{}")).otherwise(text))
+        .drop("_run", "_long_run")
     )
-    restored = F.translate(matched, m.LONE, "[]{}")
-    return F.when(text.rlike(_RUN), restored).otherwise(text)
 
 
 _LITERAL_TEXT = (
@@ -77,14 +89,13 @@ _LITERAL_TEXT = (
 
 def protect_literal_text(text: Column) -> Column:
     """Mask all markup inside comments, ``nowiki`` and ``pre`` elements."""
-    inert = F.translate
     token = rf"{_LITERAL_TEXT}|[^<]++|<"
     masked = rewrite_pieces(
         text,
         token,
         lambda piece: F.when(
             piece.startswith("<") & (F.length(piece) > 1),
-            inert(
+            m.swap(
                 piece,
                 "|!\n[]{}",
                 m.PIPE + m.BANG + m.NEWLINE
