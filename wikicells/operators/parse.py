@@ -24,6 +24,9 @@ _LINE_BREAK = {
     INTENDED: r"\r\n?",
 }
 
+# Only a text with such a character can hold a boundary other than LF.
+_UNUSUAL = r"[^\t\n -~]"
+
 _ENTRY_START = r"\n(?=[|!])"
 _INFO_ROW = -1
 
@@ -299,7 +302,9 @@ def _lines(raw_tables: DataFrame, dialect: str, lines_of_rows) -> DataFrame:
         raw_tables.select(
             "page_name",
             F.concat_ws("_", "page_name", F.col("table_idx").cast("string")).alias("table_name"),
-            F.regexp_replace("raw", _LINE_BREAK[dialect], "\n").alias("raw"),
+            F.when(raw.rlike(_UNUSUAL), F.regexp_replace(raw, _LINE_BREAK[dialect], "\n"))
+            .otherwise(raw)
+            .alias("raw"),
         )
         .withColumn("raw", _drop_last_break(raw))
         .select(
