@@ -75,7 +75,7 @@ def selected_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = r.table(spark, sf_dir, "customer").where("c_acctbal > 9900").select(
         F.col("c_custkey").alias("page_id")
     )
-    chosen = streams_with_pages(ranges, index, pairs, wanted)
+    chosen = streams_with_pages(ranges, index, wanted)
     return wc.read_streams(chosen).select("page_id", "page_name", "text")
 
 
@@ -122,7 +122,7 @@ def dump_index_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("data"), F.col("id")).alias("data_path"),
         F.lit(10**9).cast("bigint").alias("data_length"),
     )
-    return stream_ranges(stream_offsets(index), pairs)
+    return stream_ranges(stream_offsets(index), pairs).drop("index_path")
 
 
 def compare_tables(spark: SparkSession, sf_dir: str) -> DataFrame:

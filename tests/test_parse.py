@@ -122,6 +122,35 @@ OBSERVED = {
     "span from the row attribute": (
         "{|\n|- rowspan=2\n| k | a\n|}", NONE, [cell(0, 0, " a", " rowspan=2 k ", rows=2)],
     ),
+    "open ! goes to the next cell": (
+        "{|\n! a!\n| b c\n|}", NONE, [cell(0, 0, " a", header=1), cell(0, 1, "!b c")],
+    ),
+    "open ! goes over marks and short entries": (
+        "{|\n! a!\n|1\n|-\n|\n|xyz\n|}", NONE,
+        [cell(0, 0, " a", header=1), cell(0, 1, "1"), cell(1, 0, ""), cell(1, 1, "x!yz")],
+    ),
+    "open ! of several headers": (
+        "{|\n! a!\n! b!\n| c\n|}", NONE,
+        [cell(0, 0, " a", header=1), cell(0, 1, "! b", header=1), cell(0, 2, "!c")],
+    ),
+    "open ! after separators": (
+        "{|\n! a!!!\n| b\n! c!!\n| d\n|}", NONE,
+        [cell(0, 0, " a", header=1), cell(0, 1, "", header=1), cell(0, 2, "!b"),
+         cell(0, 3, " c", header=1), cell(0, 4, "", header=1), cell(0, 5, "d")],
+    ),
+    "open ! before a double pipe": (
+        "{|\n! a!||b\n|}", NONE, [cell(0, 0, " a", header=1), cell(0, 1, "!b")],
+    ),
+    "open ! before a lone pipe": ("{|\n! a!|cd\n|}", NONE, [cell(0, 0, "d", " a!c", 1)]),
+    "open ! before a span": (
+        "{|\n! a!\n[[x]]\n! b!|{{y}}\n|}", NONE,
+        [cell(0, 0, " a\n[![x]]", header=1), cell(0, 1, "{!{y}}", " b", 1)],
+    ),
+    "open ! is lost at the end": ("{|\n! a!\n|}", NONE, [cell(0, 0, " a", header=1)]),
+    "settled !": (
+        "{|\n! a!b ! c!\nd!\n! [[e!]]\n| f!\n|}", NONE,
+        [cell(0, 0, " a!b ! c!\nd!", header=1), cell(0, 1, " [[e!]]", header=1), cell(0, 2, "f!")],
+    ),
     "other line breaks": ("{|\r\n| a\r| b | c\r\n|}\n", NONE,
                           [cell(0, 0, "a"), cell(0, 1, "b"), cell(0, 2, "c")]),
 }

@@ -75,6 +75,13 @@ def test_malformed_page_is_kept_aside(spark):
     assert bad.page_id is None and "bro<ken" in bad.corrupt
 
 
+def test_rejected_pages(spark, folder):
+    with open(f"{folder}/x.xml", "w", encoding="utf-8") as file:
+        file.write("<mediawiki>\n<page><title>a</title><id>1</id></page>\n<page><title>b<id>2</id></page>\n</mediawiki>\n")
+    (bad,) = wc.rejected_pages(spark, folder).collect()
+    assert bad.value == "<page><title>b<id>2</id></page>"
+
+
 def test_files(spark, dump):
     files = wc.dump_files(spark, dump)
     assert files.count() == 6
@@ -119,11 +126,21 @@ def test_ranges_cover_the_pages(spark, dump):
         assert text.endswith("</mediawiki>\n") == (r.last_page_id % 700 == 699)
 
 
+def test_ranges_over_blocks(spark):
+    """The next start is found within a block, in the next one, and far away."""
+    gib = 1 << 30
+    starts = [600, 700, gib - 1, gib, gib + 5, 7 * gib, 7 * gib + 1]
+    index = spark.createDataFrame([("i", s, n) for n, s in enumerate(starts)], "index_path string, offset bigint, page_id bigint")
+    pairs = spark.createDataFrame([("i", "d", 9 * gib)], "index_path string, data_path string, data_length bigint")
+    found = wc.stream_ranges(wc.stream_offsets(index), pairs).collect()
+    assert sorted((r.start, r.end) for r in found) == list(zip(starts, [*starts[1:], 9 * gib]))
+
+
 def test_selected_streams(spark, dump):
     pairs, index = wc.pair_files(wc.dump_files(spark, dump)), index_of(spark, dump)
     ranges = wc.stream_ranges(wc.stream_offsets(index), pairs)
     wanted = spark.createDataFrame([(5,), (77,), (699,), (1500,), (9999,)], "page_id bigint")
-    chosen = wc.streams_with_pages(ranges, index, pairs, wanted)
+    chosen = wc.streams_with_pages(ranges, index, wanted)
     pages = wc.read_streams(chosen, partitions=3)
     assert pages.rdd.getNumPartitions() == 3
     expected = [*range(100), *range(600, 700), *range(1500, 1600)]

@@ -9,7 +9,7 @@ from wikicells.plans.records import check_records, read_records
 from wikicells.plans.tables import create_tables, read_tables, register_views, write_records
 from wikicells.sources.files import common_name, dump_files, pair_files
 from wikicells.sources.index import read_index, stream_offsets, stream_ranges, streams_with_pages
-from wikicells.sources.pages import read_pages
+from wikicells.sources.pages import read_pages, rejected_pages
 from wikicells.sources.streams import read_streams
 from wikicells.streaming.incremental import load_new_files, stream_records
 
@@ -18,6 +18,6 @@ __all__ = [
     "diff_rows", "dump_files", "dump_records", "extract_tables", "load_dump", "load_new_files",
     "pair_files", "parse_data", "parse_dump", "parse_info", "parse_records", "parse_tables",
     "read_index", "read_pages", "read_records", "read_streams", "read_tables", "register_views",
-    "same_rows", "stream_offsets", "stream_ranges", "stream_records", "streams_with_pages",
+    "rejected_pages", "same_rows", "stream_offsets", "stream_ranges", "stream_records", "streams_with_pages",
     "write_records",
 ]

@@ -75,6 +75,35 @@ def _show_hidden_entries(masked: Column) -> Column:
     return F.when(masked.contains(m.NEWLINE), shown).otherwise(masked)
 
 
+# A header line up to an exclamation mark that no other character has settled.
+_SPAN_START = m.LINK_OPEN + m.TEMPLATE_OPEN + m.QUIET_CURLY_OPEN
+_OPEN_BANG = rf"(\n!(?:[^!\n{m.NEWLINE}]++|!!|!(?=[^!|\n{m.NEWLINE}]))*+)!"
+# It is passed on over row marks and entries of at most one character to the
+# next cell that has text, behind its first character ...
+_PASSED_ON = (
+    rf"{_OPEN_BANG}(\n(?:\|-[^\n]*+\n|\|[^\n]?+\n)*+(?:\|[^\n-]|!)(?=[^|!\n])"
+    rf"|\|\|(?=[^|!\n])|[\n|][{_SPAN_START}])"
+)
+# ... and changes places with a lone pipe.
+_SWAPPED = rf"{_OPEN_BANG}\|([^|!\n{_SPAN_START}])"
+_LOST = rf"{_OPEN_BANG}(?=\n[|!]|\z)"
+
+
+def _settle_bangs(masked: Column) -> Column:
+    """Observed: a single ``!`` at the end of a header cell goes elsewhere.
+
+    It turns up in the next cell, or is lost at the end of the table.
+    """
+
+    def settle(text: Column) -> Column:
+        text = F.regexp_replace(text, _PASSED_ON, "$1$2" + m.BANG)
+        return F.regexp_replace(text, _SWAPPED, f"$1{m.BANG}$2|")
+
+    settled = rewrite_until_absent(masked, f"{_PASSED_ON}|{_SWAPPED}", settle)
+    at_end = masked.contains("!\n") | masked.contains("!|") | masked.endswith("!")
+    return F.when(at_end, F.regexp_replace(settled, _LOST, "$1")).otherwise(masked)
+
+
 def _is_caption(entry: Column) -> Column:
     return entry.startswith("|+")
 
@@ -131,26 +160,32 @@ def _caption_line(rows: Column, dialect: str) -> Column:
     Observed: a caption in the very last place is a cell, not a caption.
     """
 
-    def captions(row: Column) -> Column:
-        size = F.size(row["entries"])
-        lines = F.transform(
-            row["entries"],
-            lambda entry, i: F.when(
-                _is_caption(entry)
-                if dialect == INTENDED
-                else _is_caption(entry) & ~(row["last"] & (i == size - 1)),
-                _line(
-                    row["attribute"],
-                    F.when(i == 0, row["lead"]).otherwise(F.lit("")),
-                    F.array(entry),
+    def counts(row: Column, entry: Column, i: Column) -> Column:
+        if dialect == INTENDED:
+            return _is_caption(entry)
+        return _is_caption(entry) & ~(row["last"] & (i == F.size(row["entries"]) - 1))
+
+    def last_caption(row: Column) -> Column:
+        captions = F.filter(
+            F.transform(
+                row["entries"],
+                lambda entry, i: F.when(
+                    counts(row, entry, i),
+                    _line(
+                        row["attribute"],
+                        F.when(i == 0, row["lead"]).otherwise(F.lit("")),
+                        F.array(entry),
+                    ),
                 ),
             ),
+            lambda line: line.isNotNull(),
         )
-        return F.filter(lines, lambda line: line.isNotNull())
+        return F.try_element_at(captions, F.lit(-1))
 
-    found = F.flatten(F.transform(rows, captions))
+    with_caption = F.filter(rows, lambda row: F.exists(row["entries"], _is_caption))
+    found = F.filter(F.transform(with_caption, last_caption), lambda line: line.isNotNull())
     none = _line(F.lit(""), F.lit(""), F.array(F.lit("| ")))
-    return F.coalesce(F.get(found, F.size(found) - 1), none)
+    return F.coalesce(F.try_element_at(found, F.lit(-1)), none)
 
 
 def _cell_lines(rows: Column, dialect: str) -> Column:
@@ -316,10 +351,11 @@ def _lines(raw_tables: DataFrame, dialect: str, lines_of_rows) -> DataFrame:
     )
     if dialect == INTENDED:
         staged = staged.withColumn("body", protect_literal_text(F.col("body")))
+    staged = protect(staged, "body").withColumn("body", _show_hidden_entries(F.col("body")))
+    if dialect == OBSERVED:
+        staged = staged.withColumn("body", _settle_bangs(F.col("body")))
     return (
-        protect(staged, "body")
-        .withColumn("body", _show_hidden_entries(F.col("body")))
-        .select(*page, _row_groups(F.col("body")).alias("groups"))
+        staged.select(*page, _row_groups(F.col("body")).alias("groups"))
         .select(*page, _rows(F.col("groups")).alias("rows"))
         .select(*page, F.posexplode_outer(lines_of_rows(F.col("rows"))).alias("line_no", "line"))
         .where(F.col("line").isNotNull())
@@ -345,7 +381,7 @@ def _cells(lines: DataFrame, dialect: str) -> DataFrame:
     else:
         full = F.when(has_own, with_own).when(has_span, attribute).otherwise(F.lit(""))
         # A line break between a lone pipe and a span gets lost.
-        break_lost = rf"([|{m.PIPE}])\n(?=[{m.LINK_OPEN}{m.TEMPLATE_OPEN}{m.QUIET_CURLY_OPEN}])"
+        break_lost = rf"([|{m.PIPE}])\n(?=[{_SPAN_START}])"
     separated = (
         lines.select(
             *page,

@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 # Fixed value: the format of an index line, ``offset:page_id:title``.
 _LINE = r"^(\d+):(\d+):(.*)$"
 
+# Streams are looked up in blocks of 1 GiB of the file.
+_BLOCK_BITS = 30
+
 
 def read_index(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``(index_path, offset, page_id, title)`` of every index line."""
@@ -37,28 +40,39 @@ def stream_ranges(offsets: DataFrame, pairs: DataFrame) -> DataFrame:
     """Byte ranges of the streams, ``start`` inclusive and ``end`` exclusive.
 
     A stream ends where the next one of its file starts, the last at the end of
-    the file. ``pairs`` comes from ``pair_files``; the window works on one row
-    per stream of a dump file.
+    the file. The next start is looked up within a block of the file first; only
+    the first start of each block is compared over the whole file, so a task
+    never holds all streams of a large file.
     """
-    following = F.lead("offset").over(Window.partitionBy("index_path").orderBy("offset"))
-    ranges = offsets.withColumn("following", following)
+    block = ("index_path", "block")
+    blocked = offsets.withColumn("block", F.shiftright("offset", _BLOCK_BITS))
+    within = Window.partitionBy(*block).orderBy("offset")
+    over = Window.partitionBy("index_path").orderBy("block")
+    next_block = (
+        blocked.groupBy(*block)
+        .agg(F.min("offset").alias("first"))
+        .select(*block, F.lead("first").over(over).alias("next_block"))
+    )
     files = pairs.select("index_path", "data_path", "data_length")
-    return ranges.join(files, "index_path").select(
-        "data_path",
-        F.col("offset").alias("start"),
-        F.coalesce("following", "data_length").alias("end"),
-        "pages",
-        "first_page_id",
-        "last_page_id",
+    return (
+        blocked.withColumn("following", F.lead("offset").over(within))
+        .join(next_block, [*block])
+        .join(files, "index_path")
+        .select(
+            "index_path",
+            "data_path",
+            F.col("offset").alias("start"),
+            F.coalesce("following", "next_block", "data_length").alias("end"),
+            "pages",
+            "first_page_id",
+            "last_page_id",
+        )
     )
 
 
-def streams_with_pages(ranges: DataFrame, index: DataFrame, pairs: DataFrame, wanted: DataFrame) -> DataFrame:
+def streams_with_pages(ranges: DataFrame, index: DataFrame, wanted: DataFrame) -> DataFrame:
     """The streams that hold a wanted page, for ``wanted(page_id)``."""
-    files = pairs.select("index_path", "data_path")
-    hit = (
-        index.join(wanted.select("page_id"), "page_id", "left_semi")
-        .join(files, "index_path")
-        .select("data_path", F.col("offset").alias("start"))
+    hit = index.join(wanted.select("page_id"), "page_id", "left_semi").select(
+        "index_path", F.col("offset").alias("start")
     )
-    return ranges.join(hit, ["data_path", "start"], "left_semi")
+    return ranges.join(hit, ["index_path", "start"], "left_semi")

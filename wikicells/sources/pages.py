@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 # The page elements of the dump format that are used.
 PAGE_SCHEMA = (
-    "title STRING, ns INT, id BIGINT, "
-    "revision STRUCT<id: BIGINT, text: STRUCT<_VALUE: STRING>>, _corrupt_record STRING"
+    "title STRING, id BIGINT, revision STRUCT<text: STRUCT<_VALUE: STRING>>, "
+    "_corrupt_record STRING"
 )
 PAGE_START, PAGE_END = "<page>", "</page>"
 DATA_FILES = "*.xml*"
@@ -55,3 +55,12 @@ def read_chunks(spark: SparkSession, path: str, pattern: str = DATA_FILES) -> Da
 def read_pages(spark: SparkSession, path: str, with_tables_only: bool = False) -> DataFrame:
     """``(page_id, page_name, text, corrupt)`` of a dump file or folder."""
     return pages_of_chunks(read_chunks(spark, path), with_tables_only)
+
+
+def rejected_pages(spark: SparkSession, path: str) -> DataFrame:
+    """``(value)``: the pages of a dump that are not well-formed XML.
+
+    A load skips them, so that one broken page does not stop it.
+    """
+    pages = read_pages(spark, path)
+    return pages.where(F.col("corrupt").isNotNull()).select(F.col("corrupt").alias("value"))

@@ -6,7 +6,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wikicells.operators.extract import extract_tables
 from wikicells.operators.parse import parse_records
 from wikicells.options import OBSERVED
-from wikicells.plans.tables import as_stored
+from wikicells.plans.tables import as_stored, one_file_per_table
 from wikicells.sources.pages import DATA_FILES, PAGE_END, pages_of_chunks
 
 
@@ -45,11 +45,12 @@ def load_new_files(
     sink's log would not be seen by readers.
     """
     records = as_stored(stream_records(spark, folder, dialect, max_files_per_trigger))
-    return (
+    writer = (
         records.writeStream.format("parquet")
         .partitionBy("result")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    with one_file_per_table(spark):
+        return writer.start()
