@@ -111,6 +111,10 @@ OBSERVED = {
     "spans do not count in a table head": (
         "{|\n{{foo\n|-\n|bar}}\n| y\n|}", NONE, [cell(0, 0, "bar}}"), cell(0, 1, "y")],
     ),
+    "span cut by a row mark": (
+        "{|\n|- {{foo\n|bar}}\n| k | y\n|}", NONE,
+        [cell(0, 0, "bar}}"), cell(0, 1, " y", " {{foo k ")],
+    ),
     "row span": ('{|\n| rowspan="3" colspan = 2 | a\n|}', NONE,
                  [cell(0, 0, " a", 'rowspan="3" colspan = 2 ', rows=3, cols=2)]),
     "span crossing": ('{|\n| rowspan="" colspan=3 | a\n|}', NONE,

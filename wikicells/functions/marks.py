@@ -23,11 +23,13 @@ QUIET_SQUARE_CLOSE = "\x08"
 QUIET_CURLY_OPEN = "\x0e"
 QUIET_CURLY_CLOSE = "\x0f"
 
-# Brackets that take no part in matching (single ones, discarded closers).
-LONE_SQUARE_OPEN = "\x10"
-LONE_SQUARE_CLOSE = "\x11"
-LONE_CURLY_OPEN = "\x12"
-LONE_CURLY_CLOSE = "\x13"
+# End of literal text; has no character of its own.
+LITERAL_END = "\x12"
+
+# Discarded closing brackets.
+STRAY_SQUARE_CLOSE = "\x10"
+STRAY_CURLY_CLOSE = "\x11"
+STRAY = STRAY_SQUARE_CLOSE + STRAY_CURLY_CLOSE
 
 # Cell boundaries and flags of a row while it is one string.
 CELL_SEP = "\x14"  # from a double pipe, and between entries
@@ -44,13 +46,13 @@ INNER_OPEN = "\x01"
 INNER_CLOSE = "\x02"
 INNER_EMPTY = "\x03"
 
-LONE = LONE_SQUARE_OPEN + LONE_SQUARE_CLOSE + LONE_CURLY_OPEN + LONE_CURLY_CLOSE
-
-_MASKED = (
-    PIPE + BANG + NEWLINE + FIRST_PIPE + LINK_OPEN + TEMPLATE_OPEN
-    + QUIET_SQUARE_OPEN + QUIET_SQUARE_CLOSE + QUIET_CURLY_OPEN + QUIET_CURLY_CLOSE
+# Stand-ins that also occur outside spans, and those of spans.
+_ANYWHERE, _ANYWHERE_PLAIN = PIPE + BANG + FIRST_PIPE, "|!|"
+_IN_SPANS = (
+    NEWLINE + LINK_OPEN + TEMPLATE_OPEN + QUIET_SQUARE_OPEN + QUIET_SQUARE_CLOSE
+    + QUIET_CURLY_OPEN + QUIET_CURLY_CLOSE
 )
-_PLAIN = "|!\n|[{[]{}"
+_IN_SPANS_PLAIN = "\n[{[]{}"
 
 
 def swap(col: Column, old: str, new: str) -> Column:
@@ -66,7 +68,16 @@ def swap(col: Column, old: str, new: str) -> Column:
 
 def unmask(col: Column) -> Column:
     """Give every stand-in of a parsed text its character back."""
-    return swap(col, _MASKED, _PLAIN)
+    text = swap(col, _ANYWHERE + _IN_SPANS, _ANYWHERE_PLAIN + _IN_SPANS_PLAIN)
+    return F.replace(text, F.lit(LITERAL_END), F.lit(""))
+
+
+def unmask_cell(col: Column) -> Column:
+    """``unmask`` for cell texts: a cell with a part of a span has the span's end."""
+    with_span = (
+        col.contains(QUIET_SQUARE_CLOSE) | col.contains(QUIET_CURLY_CLOSE) | col.contains(LITERAL_END)
+    )
+    return F.when(with_span, unmask(col)).otherwise(swap(col, _ANYWHERE, _ANYWHERE_PLAIN))
 
 
 def as_literal(col: Column) -> Column:

@@ -27,7 +27,7 @@ def escape_non_ascii(text: Column) -> Column:
         ),
         "",
     )
-    return F.when(text.rlike(_NON_ASCII), as_ascii).otherwise(text)
+    return F.when(F.octet_length(text) != F.length(text), as_ascii).otherwise(text)
 
 
 def xml_escape(text: Column) -> Column:

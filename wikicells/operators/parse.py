@@ -24,9 +24,6 @@ _LINE_BREAK = {
     INTENDED: r"\r\n?",
 }
 
-# Only a text with such a character can hold a boundary other than LF.
-_UNUSUAL = r"[^\t\n -~]"
-
 _ENTRY_START = r"\n(?=[|!])"
 _INFO_ROW = -1
 
@@ -49,6 +46,14 @@ class ParsedTables:
     data: DataFrame
 
 
+def _has_other_break(text: Column) -> Column:
+    """Whether a text can hold a line boundary other than LF."""
+    found = F.octet_length(text) != F.length(text)
+    for char in "\r\x0b\x0c\x1c\x1d\x1e":
+        found = found | text.contains(char)
+    return found
+
+
 def _drop_last_break(text: Column) -> Column:
     return F.when(text.endswith("\n"), F.left(text, F.length(text) - 1)).otherwise(text)
 
@@ -337,7 +342,7 @@ def _lines(raw_tables: DataFrame, dialect: str, lines_of_rows) -> DataFrame:
         raw_tables.select(
             "page_name",
             F.concat_ws("_", "page_name", F.col("table_idx").cast("string")).alias("table_name"),
-            F.when(raw.rlike(_UNUSUAL), F.regexp_replace(raw, _LINE_BREAK[dialect], "\n"))
+            F.when(_has_other_break(raw), F.regexp_replace(raw, _LINE_BREAK[dialect], "\n"))
             .otherwise(raw)
             .alias("raw"),
         )
@@ -351,7 +356,8 @@ def _lines(raw_tables: DataFrame, dialect: str, lines_of_rows) -> DataFrame:
     )
     if dialect == INTENDED:
         staged = staged.withColumn("body", protect_literal_text(F.col("body")))
-    staged = protect(staged, "body").withColumn("body", _show_hidden_entries(F.col("body")))
+    staged = staged.withColumn("body", protect(F.col("body")))
+    staged = staged.withColumn("body", _show_hidden_entries(F.col("body")))
     if dialect == OBSERVED:
         staged = staged.withColumn("body", _settle_bangs(F.col("body")))
     return (
@@ -405,11 +411,14 @@ def _cells(lines: DataFrame, dialect: str) -> DataFrame:
     return separated.select(
         *page,
         "col",
-        m.unmask(
+        m.unmask_cell(
             F.when(has_own, F.substring(cell, F.length(before_pipe) + 2, F.length(cell))).otherwise(cell)
         ).alias("cell_data"),
-        m.unmask(full).alias("cell_attributes"),
+        full.alias("cell_attributes"),
         "is_header",
+    ).withColumn(
+        "cell_attributes",
+        F.when(F.col("cell_attributes") == "", F.lit("")).otherwise(m.unmask(F.col("cell_attributes"))),
     )
 
 

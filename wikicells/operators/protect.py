@@ -1,38 +1,27 @@
 """Keep the markup inside links, templates, arguments and literal text inert."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wikicells.functions import marks as m
 from wikicells.functions.fold import rewrite_pieces, rewrite_until_absent
 
-# Bracket runs go on across a line break. Single brackets are masked before, so
-# every bracket met here belongs to a run of two or more.
-_PLAIN = r"[^\[\]{}]*+"
+# Bracket runs go on across a line break. A single bracket is plain text.
+_SINGLE = (
+    r"\[(?<!\[\[)(?<!\[\n\[)(?!\n?\[)|\](?<!\]\])(?<!\]\n\])(?!\n?\])"
+    r"|\{(?<!\{\{)(?<!\{\n\{)(?!\n?\{)|\}(?<!\}\})(?<!\}\n\})(?!\n?\})"
+)
+_PLAIN = rf"[^\[\]{{}}]*+(?:(?:{_SINGLE})[^\[\]{{}}]*+)*+"
 _LINK = rf"\[\n?\[{_PLAIN}\]\n?\]"
 _TEMPLATE = rf"\{{\n?\{{{_PLAIN}\}}\n?\}}"
 _ARGUMENT = rf"\{{\n?\{{\n?\{{{_PLAIN}\}}\n?\}}\n?\}}"
-# A closing run that meets an opening run of the other kind is discarded.
-_STRAY_SQUARE = rf"\{{{_PLAIN}\](?:\n?\])*+"
-_STRAY_CURLY = rf"\[{_PLAIN}\}}(?:\n?\}})*+"
+# Closing runs that meet an opening run of the other kind are discarded.
+_STRAY_SQUARE = rf"\{{(?<=\{{\{{|\{{\n\{{)(?:{_PLAIN}\](?:\n?\])++)++"
+_STRAY_CURLY = rf"\[(?<=\[\[|\[\n\[)(?:{_PLAIN}\}}(?:\n?\}})++)++"
 
 _REDUCIBLE = "|".join((_ARGUMENT, _TEMPLATE, _LINK, _STRAY_SQUARE, _STRAY_CURLY))
 _PIECE = rf"{_REDUCIBLE}|[^\[\]{{}}]++|[\[\]{{}}]"
 _RUN = r"([\[\]{}])\n?\1"
-_LONG_RUN = r"([\[\]{}])\n?\1\n?\1"
-
-_SINGLE = (
-    (r"\[(?<!\[\[)(?<!\[\n\[)(?!\n?\[)", m.LONE_SQUARE_OPEN),
-    (r"\](?<!\]\])(?<!\]\n\])(?!\n?\])", m.LONE_SQUARE_CLOSE),
-    (r"\{(?<!\{\{)(?<!\{\n\{)(?!\n?\{)", m.LONE_CURLY_OPEN),
-    (r"\}(?<!\}\})(?<!\}\n\})(?!\n?\})", m.LONE_CURLY_CLOSE),
-)
-
-
-def _mask_single(text: Column) -> Column:
-    for pattern, stand_in in _SINGLE:
-        text = F.regexp_replace(text, pattern, stand_in)
-    return text
 
 
 def _reduce(piece: Column) -> Column:
@@ -49,37 +38,23 @@ def _reduce(piece: Column) -> Column:
     return (
         F.when(square & piece.endswith("]"), link)
         .when(curly & piece.endswith("}"), F.when(piece.rlike(r"^\{\n?\{\n?\{"), argument).otherwise(template))
-        .when(curly & piece.endswith("]"), m.swap(piece, "]", m.LONE_SQUARE_CLOSE))
-        .when(square & piece.endswith("}"), m.swap(piece, "}", m.LONE_CURLY_CLOSE))
+        .when(curly & piece.endswith("]"), m.swap(piece, "]", m.STRAY_SQUARE_CLOSE))
+        .when(square & piece.endswith("}"), m.swap(piece, "}", m.STRAY_CURLY_CLOSE))
         .otherwise(piece)
     )
 
 
-def protect(tables: DataFrame, column: str) -> DataFrame:
+def protect(text: Column) -> Column:
     """Mask ``| !``, line breaks and brackets inside matched bracket spans.
 
     Innermost pairs first, three braces before two. Brackets without a partner
     keep their character and protect nothing.
     """
-    text = F.col(column)
-
-    def reduce_innermost(current: Column) -> Column:
-        reduced = rewrite_pieces(current, _PIECE, _reduce)
-        # A run of three or more can leave a single bracket behind.
-        return F.when(F.col("_long_run"), _mask_single(reduced)).otherwise(reduced)
-
-    matched = rewrite_until_absent(text, _REDUCIBLE, reduce_innermost)
-    return (
-        tables.withColumn("_run", text.rlike(_RUN))
-        .withColumns(
-            {
-                "_long_run": F.col("_run") & text.rlike(_LONG_RUN),
-                column: F.when(F.col("_run"), _mask_single(text)).otherwise(text),
-            }
-        )
-        .withColumn(column, F.when(F.col("_run"), m.swap(matched, m.LONE, "[]{}")).otherwise(text))
-        .drop("_run", "_long_run")
+    matched = rewrite_until_absent(
+        text, _REDUCIBLE, lambda current: rewrite_pieces(current, _PIECE, _reduce)
     )
+    restored = m.swap(matched, m.STRAY, "]}")
+    return F.when(text.rlike(_RUN), restored).otherwise(text)
 
 
 _LITERAL_TEXT = (
@@ -89,19 +64,17 @@ _LITERAL_TEXT = (
 
 def protect_literal_text(text: Column) -> Column:
     """Mask all markup inside comments, ``nowiki`` and ``pre`` elements."""
-    token = rf"{_LITERAL_TEXT}|[^<]++|<"
-    masked = rewrite_pieces(
-        text,
-        token,
-        lambda piece: F.when(
-            piece.startswith("<") & (F.length(piece) > 1),
-            m.swap(
-                piece,
-                "|!\n[]{}",
-                m.PIPE + m.BANG + m.NEWLINE
-                + m.QUIET_SQUARE_OPEN + m.QUIET_SQUARE_CLOSE
-                + m.QUIET_CURLY_OPEN + m.QUIET_CURLY_CLOSE,
-            ),
-        ).otherwise(piece),
-    )
+
+    def mask(piece: Column) -> Column:
+        inert = m.swap(
+            piece,
+            "|!\n[]{}",
+            m.PIPE + m.BANG + m.NEWLINE
+            + m.QUIET_SQUARE_OPEN + m.QUIET_SQUARE_CLOSE
+            + m.QUIET_CURLY_OPEN + m.QUIET_CURLY_CLOSE,
+        )
+        literal = piece.startswith("<") & (F.length(piece) > 1)
+        return F.when(literal, F.concat(inert, F.lit(m.LITERAL_END))).otherwise(piece)
+
+    masked = rewrite_pieces(text, rf"{_LITERAL_TEXT}|[^<]++|<", mask)
     return F.when(text.rlike(_LITERAL_TEXT), masked).otherwise(text)
