@@ -109,11 +109,16 @@ OBSERVED = {
         "{|\n| k |\n[[x]]\n| k |\ny\n|}", NONE, [cell(0, 0, "[[x]]", "k "), cell(0, 1, "\ny", "k ")],
     ),
     "spans do not count in a table head": (
-        "{|\n{{foo\n|-\n|bar}}\n| y\n|}", NONE, [cell(0, 0, "bar}}"), cell(0, 1, "y")],
+        "{|\n{{foo\n|-\n|bar}}\n| y\n|}", NONE, [cell(0, 0, "bar}}", "\n{{foo"), cell(0, 1, "y")],
     ),
     "span cut by a row mark": (
         "{|\n|- {{foo\n|bar}}\n| k | y\n|}", NONE,
-        [cell(0, 0, "bar}}"), cell(0, 1, " y", " {{foo k ")],
+        [cell(0, 0, "bar}}", " {{foo"), cell(0, 1, " y", " {{foo k ")],
+    ),
+    "span cut by a table head": (
+        "{|\n{{foo\n|bar}} | x\n|-\nv {{foo\n!bar}} | x\n|-\nw {{{foo\n|bar}}} | x\n|}", NONE,
+        [cell(0, 0, "\n{{foobar}} | x"), cell(1, 0, "\nv {{foobar}} | x", header=1),
+         cell(2, 0, " x", "\nw {{{foobar}}} ")],
     ),
     "row span": ('{|\n| rowspan="3" colspan = 2 | a\n|}', NONE,
                  [cell(0, 0, " a", 'rowspan="3" colspan = 2 ', rows=3, cols=2)]),

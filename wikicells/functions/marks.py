@@ -26,6 +26,9 @@ QUIET_CURLY_CLOSE = "\x0f"
 # End of literal text; has no character of its own.
 LITERAL_END = "\x12"
 
+# Stops the attribute search like an opener; has no character of its own.
+SPAN_GOES_ON = "\x13"
+
 # Discarded closing brackets.
 STRAY_SQUARE_CLOSE = "\x10"
 STRAY_CURLY_CLOSE = "\x11"
@@ -69,7 +72,9 @@ def swap(col: Column, old: str, new: str) -> Column:
 def unmask(col: Column) -> Column:
     """Give every stand-in of a parsed text its character back."""
     text = swap(col, _ANYWHERE + _IN_SPANS, _ANYWHERE_PLAIN + _IN_SPANS_PLAIN)
-    return F.replace(text, F.lit(LITERAL_END), F.lit(""))
+    for char in (LITERAL_END, SPAN_GOES_ON):
+        text = F.replace(text, F.lit(char), F.lit(""))
+    return text
 
 
 def unmask_cell(col: Column) -> Column:
@@ -82,8 +87,9 @@ def unmask_cell(col: Column) -> Column:
 
 def as_literal(col: Column) -> Column:
     """Make a text inert: none of its characters acts as markup any more."""
-    return swap(
+    literal = swap(
         col,
         "|!" + LINK_OPEN + TEMPLATE_OPEN,
         FIRST_PIPE + BANG + QUIET_SQUARE_OPEN + QUIET_CURLY_OPEN,
     )
+    return F.replace(literal, F.lit(SPAN_GOES_ON), F.lit(""))

@@ -27,15 +27,20 @@ _LINE_BREAK = {
 _ENTRY_START = r"\n(?=[|!])"
 _INFO_ROW = -1
 
+# What keeps a later pipe of a cell from ending an attribute.
+_STOP = (m.LINK_OPEN, m.TEMPLATE_OPEN, m.SPAN_GOES_ON)
+
 # A table head or row mark followed by lines that are no entries, up to a line
 # break that a span hides. Spans count only inside cells.
-_HIDDEN_BREAK = (
-    rf"((?:^|\n\|-)[^\n{m.NEWLINE}]*+(?:\n(?![|!])[^\n{m.NEWLINE}]*+)*+){m.NEWLINE}"
+_HEAD_LINES = rf"[^\n{m.NEWLINE}]*+(?:\n(?![|!])[^\n{m.NEWLINE}]*+)*+"
+_HIDDEN_BREAK = rf"((?:^|\n\|-){_HEAD_LINES}){m.NEWLINE}"
+# The same with an entry behind it, in which a link or template goes on.
+_CUT_SPAN = (
+    rf"((?:^|\n\|-)(?=[^{m.NEWLINE}]*[{''.join(_STOP)}]){_HEAD_LINES}){m.NEWLINE}"
 )
 
-_ATTRIBUTE_STOP = "|" + m.LINK_OPEN + m.TEMPLATE_OPEN
+_ATTRIBUTE_STOP = "|" + "".join(_STOP)
 _SEPARATORS = m.CELL_SEP + m.HEADER_SEP
-_OWN_ATTRIBUTE = rf"^([^{_ATTRIBUTE_STOP}]*+)\|([\s\S]*)$"
 
 
 @dataclass(frozen=True)
@@ -71,10 +76,17 @@ def _body(text: Column) -> Column:
 def _show_hidden_entries(masked: Column) -> Column:
     """Undo protection outside cells: a line there is a line, an entry an entry."""
 
+    def show_cut(text: Column) -> Column:
+        text = F.regexp_replace(text, rf"{_CUT_SPAN}{m.PIPE}-", f"$1\n|-{m.SPAN_GOES_ON}")
+        text = F.regexp_replace(text, rf"{_CUT_SPAN}{m.PIPE}([^-])", f"$1\n|$2{m.SPAN_GOES_ON}")
+        text = F.regexp_replace(text, f"{_CUT_SPAN}{m.BANG}", f"$1\n!{m.SPAN_GOES_ON}")
+        return F.regexp_replace(text, f"{_CUT_SPAN}(?![{m.PIPE}{m.BANG}])", "$1\n")
+
     def show(text: Column) -> Column:
-        text = F.regexp_replace(text, _HIDDEN_BREAK, "$1\n")
-        text = F.replace(text, F.lit("\n" + m.PIPE), F.lit("\n|"))
-        return F.replace(text, F.lit("\n" + m.BANG), F.lit("\n!"))
+        shown = F.regexp_replace(text, _HIDDEN_BREAK, "$1\n")
+        shown = F.replace(shown, F.lit("\n" + m.PIPE), F.lit("\n|"))
+        shown = F.replace(shown, F.lit("\n" + m.BANG), F.lit("\n!"))
+        return F.when(text.rlike(_CUT_SPAN), show_cut(text)).otherwise(shown)
 
     shown = rewrite_until_absent(masked, _HIDDEN_BREAK, show)
     return F.when(masked.contains(m.NEWLINE), shown).otherwise(masked)
@@ -373,12 +385,9 @@ def _cells(lines: DataFrame, dialect: str) -> DataFrame:
     cell, attribute = F.col("cell"), F.col("attribute")
     page = ("page_name", "table_name", "table_attributes", "line_no")
     before_pipe = F.substring_index(cell, "|", 1)
-    has_own = (
-        cell.contains("|")
-        & ~before_pipe.contains(m.LINK_OPEN)
-        & ~before_pipe.contains(m.TEMPLATE_OPEN)
-    )
-    has_span = cell.contains(m.LINK_OPEN) | cell.contains(m.TEMPLATE_OPEN)
+    has_own, has_span = cell.contains("|"), F.lit(False)
+    for char in _STOP:
+        has_own, has_span = has_own & ~before_pipe.contains(char), has_span | cell.contains(char)
     with_own = F.when(attribute == "", before_pipe).otherwise(
         F.concat_ws(" ", attribute, before_pipe)
     )
