@@ -2,7 +2,6 @@
 
 import bz2
 import html
-import os
 import uuid
 from collections.abc import Iterator
 
@@ -57,20 +56,31 @@ def names(range_key: str, dump: str = "fixture-20201220-pages-articles-multistre
     return f"{dump}1.xml-{range_key}.bz2", f"{dump}-index1.txt-{range_key}.bz2"
 
 
+def _file_system(folder: str):
+    from pyarrow import fs
+
+    if "://" in folder:
+        return fs.FileSystem.from_uri(folder)
+    return fs.LocalFileSystem(), folder.removeprefix("file:")
+
+
 def write_multistream(
     folder: str, range_key: str, pages: Iterator[tuple[int, str, str]], per_stream: int = 100
 ) -> tuple[int, int]:
     """One data file and its index: a header stream, page streams, a footer stream.
 
-    Both files get their names when they are complete. Gives the number of
-    streams and of pages.
+    Both files get their names when they are complete, so that a second attempt
+    of a task does no harm. Gives the number of streams and of pages.
     """
-    data_name, index_name = names(range_key)
-    attempt = f"_{uuid.uuid4().hex}"
-    os.makedirs(folder, exist_ok=True)
-    data_path, index_path = (os.path.join(folder, attempt + end) for end in (".data", ".index"))
+    system, place = _file_system(folder)
+    system.create_dir(place)
+    attempt = f"{place}/_{uuid.uuid4().hex}"
     streams = count = 0
-    with open(data_path, "wb") as data, bz2.open(index_path, "wt", encoding="utf-8") as index:
+    with (
+        system.open_output_stream(f"{attempt}.data", compression=None) as data,
+        system.open_output_stream(f"{attempt}.index", compression=None) as packed_index,
+        bz2.open(packed_index, "wt", encoding="utf-8") as index,
+    ):
         data.write(bz2.compress(HEADER.encode()))
         held: list[str] = []
         for page_id, title, text in pages:
@@ -84,13 +94,13 @@ def write_multistream(
             data.write(bz2.compress("".join(held).encode()))
             streams += 1
         data.write(bz2.compress(FOOTER.encode()))
-    os.replace(data_path, os.path.join(folder, data_name))
-    os.replace(index_path, os.path.join(folder, index_name))
+    for kind, name in zip(("data", "index"), names(range_key), strict=True):
+        system.move(f"{attempt}.{kind}", f"{place}/{name}")
     return streams, count
 
 
-def write_dump(pages: DataFrame, folder: str, per_stream: int = 100, files: int = 4) -> str:
-    """A multistream dump: page ids ``files * k + i`` go to file ``i``, in order."""
+def write_dump(pages: DataFrame, folder: str, per_stream: int = 100, per_file: int = 1000) -> str:
+    """A multistream dump: each file has the next ``per_file`` page ids, in order."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from itertools import chain, groupby
@@ -98,11 +108,14 @@ def write_dump(pages: DataFrame, folder: str, per_stream: int = 100, files: int
         rows = chain.from_iterable(batch.to_pylist() for batch in batches)
         for i, group in groupby(rows, key=lambda row: row["file"]):
             streams, count = write_multistream(
-                folder, f"f{i}", ((r["page_id"], r["page_name"], r["text"]) for r in group), per_stream
+                folder,
+                f"p{i * per_file}p{(i + 1) * per_file - 1}",
+                ((r["page_id"], r["page_name"], r["text"]) for r in group),
+                per_stream,
             )
             yield pa.RecordBatch.from_pydict({"streams": [streams], "pages": [count]})
 
-    numbered = pages.withColumn("file", (F.col("page_id") % files).cast("int"))
-    spread = numbered.repartition(files, "file").sortWithinPartitions("file", "page_id")
+    numbered = pages.withColumn("file", F.floor(F.col("page_id") / per_file))
+    spread = numbered.repartition("file").sortWithinPartitions("file", "page_id")
     spread.mapInArrow(write, "streams bigint, pages bigint").agg(F.sum("pages")).collect()
     return folder

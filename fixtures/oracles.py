@@ -163,10 +163,10 @@ FROM customer WHERE c_custkey % 7 <> 0""",
     "database_name": f"SELECT '{_DUMP}' AS database FROM customer GROUP BY 1",
     "selected_streams": f"""
 WITH placed AS (
-  SELECT *, c_custkey % 4 AS f, c_custkey // 80 AS s FROM customer
+  SELECT *, c_custkey // 20 AS s FROM customer
 )
 SELECT c_custkey AS page_id, c_name AS page_name, {_CUSTOMER_TEXT} AS text
-FROM placed WHERE (f, s) IN (SELECT (f, s) FROM placed WHERE c_acctbal > 9900)""",
+FROM placed WHERE s IN (SELECT s FROM placed WHERE c_acctbal > 9900)""",
     "compare_tables": f"""
 SELECT {_ORDER} || '_0' AS table_name, o_orderstatus AS cell_data,
        CAST(1 AS BIGINT) AS actual_copies, CAST(0 AS BIGINT) AS expected_copies

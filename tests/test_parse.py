@@ -78,6 +78,10 @@ OBSERVED = {
         "{|\nfoo | bar\n| a || b\n|-\nx\n! k=1 | c\n|}", NONE,
         [cell(0, 0, "\nfoo | bara "), cell(0, 1, " b"), cell(1, 0, " c", "\nx k=1 ", 1)],
     ),
+    "text before lone pipes": (
+        "{|\nx\n|\n| a\n|-\ny\n|\n! b\n|-\nz\n|\n|}", NONE,
+        [cell(0, 0, ""), cell(0, 1, "\nxa"), cell(1, 0, ""), cell(1, 1, "\ny b", header=1), cell(2, 0, "\nz")],
+    ),
     "text between marks goes to the next mark": (
         "{|\n|- s=1\nfoo\n|- t=1\n| [[a]]\n|}", NONE, [cell(0, 0, "[[a]]", "\nfoo t=1")],
     ),

@@ -335,10 +335,14 @@ def _row_text(line: Column, dialect: str) -> Column:
     if dialect == OBSERVED:
         entries = _lock(entries)
     entries = F.transform(entries, lambda entry: _flag_headers(entry, dialect))
+    # The lead goes to the first entry that is more than a lone pipe.
+    filled = F.transform(line["entries"], lambda entry: entry != "|")
+    place = F.array_position(filled, True)
+    place = F.when(place == 0, F.size(filled)).otherwise(place) - 1
     entries = F.transform(
         entries,
         lambda entry, i: F.when(
-            (i == 0) & (line["lead"] != ""), _lead_in(entry, m.as_literal(line["lead"]))
+            (line["lead"] != "") & (i == place), _lead_in(entry, m.as_literal(line["lead"]))
         ).otherwise(entry),
     )
     return F.array_join(entries, m.CELL_SEP)
