@@ -82,6 +82,10 @@ OBSERVED = {
         "{|\nx\n|\n| a\n|-\ny\n|\n! b\n|-\nz\n|\n|}", NONE,
         [cell(0, 0, ""), cell(0, 1, "\nxa"), cell(1, 0, ""), cell(1, 1, "\ny b", header=1), cell(2, 0, "\nz")],
     ),
+    "text before lone pipes and a mark": (
+        "{|\nx\n|\n|\n|- s\n| [[a]]\n|}", NONE,
+        [cell(0, 0, ""), cell(0, 1, ""), cell(1, 0, "[[a]]", "\nx s")],
+    ),
     "text between marks goes to the next mark": (
         "{|\n|- s=1\nfoo\n|- t=1\n| [[a]]\n|}", NONE, [cell(0, 0, "[[a]]", "\nfoo t=1")],
     ),
@@ -159,6 +163,11 @@ OBSERVED = {
         "{|\n! a!\n[[x]]\n! b!|{{y}}\n|}", NONE,
         [cell(0, 0, " a\n[![x]]", header=1), cell(0, 1, "{!{y}}", " b", 1)],
     ),
+    "open ! over double pipes and empty headers": (
+        "{|\n! a!||\n!\n|+ c\n! b!||||d\n|}", ("", "! c", ""),
+        [cell(0, 0, " a", header=1), cell(0, 1, ""), cell(0, 2, "", header=1), cell(0, 3, " b", header=1),
+         cell(0, 4, ""), cell(0, 5, "!d")],
+    ),
     "open ! is lost at the end": ("{|\n! a!\n|}", NONE, [cell(0, 0, " a", header=1)]),
     "settled !": (
         "{|\n! a!b ! c!\nd!\n! [[e!]]\n| f!\n|}", NONE,

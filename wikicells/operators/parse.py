@@ -30,13 +30,13 @@ _INFO_ROW = -1
 # What keeps a later pipe of a cell from ending an attribute.
 _STOP = (m.LINK_OPEN, m.TEMPLATE_OPEN, m.SPAN_GOES_ON)
 
-# A table head or row mark followed by lines that are no entries, up to a line
-# break that a span hides. Spans count only inside cells.
+# A table head, a row mark with lines behind it that are no entries, or a lone
+# pipe, up to a line break that a span hides. Spans count only inside cells.
 _HEAD_LINES = rf"[^\n{m.NEWLINE}]*+(?:\n(?![|!])[^\n{m.NEWLINE}]*+)*+"
-_HIDDEN_BREAK = rf"((?:^|\n\|-){_HEAD_LINES}){m.NEWLINE}"
+_HIDDEN_BREAK = rf"((?:^|\n\|-){_HEAD_LINES}|\n\|{m.SPAN_GOES_ON}?){m.NEWLINE}"
 # The same with an entry behind it, in which a link or template goes on.
 _CUT_SPAN = (
-    rf"((?:^|\n\|-)(?=[^{m.NEWLINE}]*[{''.join(_STOP)}]){_HEAD_LINES}){m.NEWLINE}"
+    rf"((?:^|\n\|-)(?=[^{m.NEWLINE}]*[{''.join(_STOP)}]){_HEAD_LINES}|\n\|{m.SPAN_GOES_ON}){m.NEWLINE}"
 )
 
 _ATTRIBUTE_STOP = "|" + "".join(_STOP)
@@ -78,7 +78,8 @@ def _show_hidden_entries(masked: Column) -> Column:
 
     def show_cut(text: Column) -> Column:
         text = F.regexp_replace(text, rf"{_CUT_SPAN}{m.PIPE}-", f"$1\n|-{m.SPAN_GOES_ON}")
-        text = F.regexp_replace(text, rf"{_CUT_SPAN}{m.PIPE}([^-])", f"$1\n|$2{m.SPAN_GOES_ON}")
+        text = F.regexp_replace(text, rf"{_CUT_SPAN}{m.PIPE}(?={m.NEWLINE})", f"$1\n|{m.SPAN_GOES_ON}")
+        text = F.regexp_replace(text, rf"{_CUT_SPAN}{m.PIPE}([^-{m.NEWLINE}])", f"$1\n|$2{m.SPAN_GOES_ON}")
         text = F.regexp_replace(text, f"{_CUT_SPAN}{m.BANG}", f"$1\n!{m.SPAN_GOES_ON}")
         return F.regexp_replace(text, f"{_CUT_SPAN}(?![{m.PIPE}{m.BANG}])", "$1\n")
 
@@ -89,21 +90,29 @@ def _show_hidden_entries(masked: Column) -> Column:
         return F.when(text.rlike(_CUT_SPAN), show_cut(text)).otherwise(shown)
 
     shown = rewrite_until_absent(masked, _HIDDEN_BREAK, show)
+    shown = F.replace(shown, F.lit(f"\n|{m.SPAN_GOES_ON}\n"), F.lit("\n|\n"))
     return F.when(masked.contains(m.NEWLINE), shown).otherwise(masked)
 
 
 # A header line up to an exclamation mark that no other character has settled.
 _SPAN_START = m.LINK_OPEN + m.TEMPLATE_OPEN + m.QUIET_CURLY_OPEN
 _OPEN_BANG = rf"(\n!(?:[^!\n{m.NEWLINE}]++|!!|!(?=[^!|\n{m.NEWLINE}]))*+)!"
-# It is passed on over row marks and entries of at most one character to the
-# next cell that has text, behind its first character ...
+# It is passed on over double pipes, row marks and entries of at most one
+# character to the next cell that has text, behind its first character ...
+_SPLITS = r"(?:\|\|)*+"
+_WITHOUT_TEXT = (
+    rf"(?:\|-[^\n]*+\n(?:[^|!\n][^\n]*+\n)*+|\|[^\n]?+{_SPLITS}\n(?=[|!])|!{_SPLITS}\n(?=[|!]))*+"
+)
+_NEXT_TEXT = (
+    rf"{_SPLITS}\n{_WITHOUT_TEXT}"
+    rf"(?:(?:\|[^\n-]|!){_SPLITS}\|[{_SPAN_START}]|\|\n[^|!]|\|[^\n-]{_SPLITS}(?=[^|\n])|!{_SPLITS}(?=[^|!\n]))"
+)
 _PASSED_ON = (
-    rf"{_OPEN_BANG}(\n(?:\|-[^\n]*+\n|\|[^\n]?+\n)*+(?:\|[^\n-]|!)(?=[^|!\n])"
-    rf"|\|\|(?=[^|!\n])|[\n|][{_SPAN_START}])"
+    rf"{_OPEN_BANG}({_NEXT_TEXT}|{_SPLITS}[\n|][{_SPAN_START}]|(?:\|\|)++(?=[^|!\n]|\n[^|!]))"
 )
 # ... and changes places with a lone pipe.
 _SWAPPED = rf"{_OPEN_BANG}\|([^|!\n{_SPAN_START}])"
-_LOST = rf"{_OPEN_BANG}(?=\n[|!]|\z)"
+_LOST = rf"{_OPEN_BANG}(?=(?:\|\|)*+\|?(?:\n[|!]|\z))"
 
 
 def _settle_bangs(masked: Column) -> Column:
@@ -140,7 +149,8 @@ def _rows(groups: Column) -> Column:
     """Groups as structs ``(attribute, lead, entries, last)``.
 
     ``lead`` is the text between the row mark and the first entry. It goes in
-    front of the first entry, or of the next row mark if there is no entry.
+    front of the first entry that is more than a lone pipe, or of the next row
+    mark if there is none.
     """
 
     def mark_text(head: Column, i: Column) -> Column:
@@ -149,17 +159,23 @@ def _rows(groups: Column) -> Column:
     def lead_text(head: Column, i: Column) -> Column:
         return F.substring(head, F.length(mark_text(head, i)) + 1, F.length(head))
 
+    def idle(group: Column) -> Column:
+        # The last entry tells for nearly all groups.
+        return (F.size(group) == 1) | (
+            (F.try_element_at(group, F.lit(-1)) == "|")
+            & F.forall(F.slice(group, 2, F.size(group)), lambda entry: entry == "|")
+        )
+
     def row(group: Column, i: Column) -> Column:
         head = group[0]
         before = F.get(groups, i - 1)
-        carried = F.when(
-            (i > 0) & (F.size(before) == 1), lead_text(before[0], i - 1)
-        ).otherwise(F.lit(""))
+        carried = F.when((i > 0) & idle(before), lead_text(before[0], i - 1))
+        last = i == F.size(groups) - 1
         return F.struct(
-            F.concat(carried, mark_text(head, i)).alias("attribute"),
-            lead_text(head, i).alias("lead"),
+            F.concat(F.coalesce(carried, F.lit("")), mark_text(head, i)).alias("attribute"),
+            F.when(last | ~idle(group), lead_text(head, i)).otherwise(F.lit("")).alias("lead"),
             F.slice(group, 2, F.size(group)).alias("entries"),
-            (i == F.size(groups) - 1).alias("last"),
+            last.alias("last"),
         )
 
     return F.transform(groups, row)
