@@ -128,6 +128,12 @@ SELECT o_orderkey, {_ORDER}, CAST(1 AS INTEGER), '{{| one line ' || o_orderstatu
         (0, 0, 1, f"{_NL} || c_mktsegment", "'k=' || c_custkey || ' '"),
         (0, 0, 2, "'{{{' || c_custkey || '}}} |{{' || c_mktsegment || '}}'", "'a '"),
     ]),
+    "cut_tables": _cells(
+        "lineitem", "'Item ' || l_orderkey || '.' || l_linenumber || '.' || l_partkey || '.' || l_suppkey", [
+            (3, 0, 0, "' order '", "''", 1), (3, 0, 1, "' line'"),
+            (3, 1, 0, "l_orderkey || ' '"), (3, 1, 1, "' ' || l_linenumber"),
+            (3, 1, 2, "' ' || l_returnflag", "'rowspan=' || l_linenumber || ' '", 0, "l_linenumber"),
+        ]),
     "document_lines": _document_lines("line"),
     "xml_escaped_cells": _document_lines(_escaped("line")),
     "html_cells": _cells("pages", "'Html ' || page_id", [

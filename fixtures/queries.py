@@ -151,6 +151,10 @@ def info_data_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """)
 
 
+def cut_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wc.parse_data(r.item_tables(spark, sf_dir))
+
+
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _data(r.document_pages, spark, sf_dir, wc.INTENDED)
 
@@ -169,6 +173,7 @@ QUERIES = {
     "continuation_lines": partial(_data, r.conversation_pages),
     "phantom_rows": partial(_data, r.customer_edge_pages),
     "lost_breaks": partial(_data, r.customer_break_pages),
+    "cut_tables": cut_tables,
     "document_lines": document_lines,
     "xml_escaped_cells": partial(_data, r.document_pages),
     "html_cells": partial(_data, r.html_pages),

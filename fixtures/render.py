@@ -160,3 +160,15 @@ def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         col("user_id"), "</pre>\n|}\ninline {| is no table |}",
     )
     return pages(table(spark, sf_dir, "events"), "event_id", text("Event ", col("event_id")), body)
+
+
+def item_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables that are cut out already, with other line breaks."""
+    raw = text(
+        "{| item\r\n! order || line\r|-\n| ", col("l_orderkey"), " || ", col("l_linenumber"),
+        "\r\n\r\n| rowspan=", col("l_linenumber"), " | ", col("l_returnflag"), "\n|}\r\n",
+    )
+    name = text("Item ", col("l_orderkey"), ".", col("l_linenumber"), ".", col("l_partkey"), ".", col("l_suppkey"))
+    return table(spark, sf_dir, "lineitem").select(
+        col("l_orderkey").alias("page_id"), name.alias("page_name"), F.lit(3).alias("table_idx"), raw.alias("raw")
+    )

@@ -86,6 +86,9 @@ OBSERVED = {
         "{|\nx\n|\n|\n|- s\n| [[a]]\n|}", NONE,
         [cell(0, 0, ""), cell(0, 1, ""), cell(1, 0, "[[a]]", "\nx s")],
     ),
+    "text before a lone pipe and a caption": (
+        "{|\nx\n|\n|+ c\n| a\n|}", ("", "\nx c", ""), [cell(0, 0, ""), cell(0, 1, "a")],
+    ),
     "text between marks goes to the next mark": (
         "{|\n|- s=1\nfoo\n|- t=1\n| [[a]]\n|}", NONE, [cell(0, 0, "[[a]]", "\nfoo t=1")],
     ),
@@ -128,6 +131,10 @@ OBSERVED = {
         [cell(0, 0, "\n{{foobar}} | x"), cell(1, 0, "\nv {{foobar}} | x", header=1),
          cell(2, 0, " x", "\nw {{{foobar}}} ")],
     ),
+    "span cut by a row mark and a lone pipe": (
+        "{|\n|- s[[x\n|\nk | y]] | z\n|- t{{\n|\n! || c}}\n|}", NONE,
+        [cell(0, 0, "\nk | y]] | z", " s[[x"), cell(1, 0, ""), cell(1, 1, " || c}}", " t{{", 1)],
+    ),
     "row span": ('{|\n| rowspan="3" colspan = 2 | a\n|}', NONE,
                  [cell(0, 0, " a", 'rowspan="3" colspan = 2 ', rows=3, cols=2)]),
     "span crossing": ('{|\n| rowspan="" colspan=3 | a\n|}', NONE,

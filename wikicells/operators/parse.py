@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wikicells.functions import marks as m
-from wikicells.functions.fold import rewrite_until_absent
 from wikicells.functions.spans import col_span, row_span
+from wikicells.operators.masked import SPAN_START, STOP, settle_bangs, show_hidden_entries
 from wikicells.operators.protect import protect, protect_literal_text
 from wikicells.options import INTENDED, OBSERVED, check_dialect
 
@@ -27,19 +27,7 @@ _LINE_BREAK = {
 _ENTRY_START = r"\n(?=[|!])"
 _INFO_ROW = -1
 
-# What keeps a later pipe of a cell from ending an attribute.
-_STOP = (m.LINK_OPEN, m.TEMPLATE_OPEN, m.SPAN_GOES_ON)
-
-# A table head, a row mark with lines behind it that are no entries, or a lone
-# pipe, up to a line break that a span hides. Spans count only inside cells.
-_HEAD_LINES = rf"[^\n{m.NEWLINE}]*+(?:\n(?![|!])[^\n{m.NEWLINE}]*+)*+"
-_HIDDEN_BREAK = rf"((?:^|\n\|-){_HEAD_LINES}|\n\|{m.SPAN_GOES_ON}?){m.NEWLINE}"
-# The same with an entry behind it, in which a link or template goes on.
-_CUT_SPAN = (
-    rf"((?:^|\n\|-)(?=[^{m.NEWLINE}]*[{''.join(_STOP)}]){_HEAD_LINES}|\n\|{m.SPAN_GOES_ON}){m.NEWLINE}"
-)
-
-_ATTRIBUTE_STOP = "|" + "".join(_STOP)
+_ATTRIBUTE_STOP = "|" + "".join(STOP)
 _SEPARATORS = m.CELL_SEP + m.HEADER_SEP
 
 
@@ -73,63 +61,6 @@ def _body(text: Column) -> Column:
     )
 
 
-def _show_hidden_entries(masked: Column) -> Column:
-    """Undo protection outside cells: a line there is a line, an entry an entry."""
-
-    def show_cut(text: Column) -> Column:
-        text = F.regexp_replace(text, rf"{_CUT_SPAN}{m.PIPE}-", f"$1\n|-{m.SPAN_GOES_ON}")
-        text = F.regexp_replace(text, rf"{_CUT_SPAN}{m.PIPE}(?={m.NEWLINE})", f"$1\n|{m.SPAN_GOES_ON}")
-        text = F.regexp_replace(text, rf"{_CUT_SPAN}{m.PIPE}([^-{m.NEWLINE}])", f"$1\n|$2{m.SPAN_GOES_ON}")
-        text = F.regexp_replace(text, f"{_CUT_SPAN}{m.BANG}", f"$1\n!{m.SPAN_GOES_ON}")
-        return F.regexp_replace(text, f"{_CUT_SPAN}(?![{m.PIPE}{m.BANG}])", "$1\n")
-
-    def show(text: Column) -> Column:
-        shown = F.regexp_replace(text, _HIDDEN_BREAK, "$1\n")
-        shown = F.replace(shown, F.lit("\n" + m.PIPE), F.lit("\n|"))
-        shown = F.replace(shown, F.lit("\n" + m.BANG), F.lit("\n!"))
-        return F.when(text.rlike(_CUT_SPAN), show_cut(text)).otherwise(shown)
-
-    shown = rewrite_until_absent(masked, _HIDDEN_BREAK, show)
-    shown = F.replace(shown, F.lit(f"\n|{m.SPAN_GOES_ON}\n"), F.lit("\n|\n"))
-    return F.when(masked.contains(m.NEWLINE), shown).otherwise(masked)
-
-
-# A header line up to an exclamation mark that no other character has settled.
-_SPAN_START = m.LINK_OPEN + m.TEMPLATE_OPEN + m.QUIET_CURLY_OPEN
-_OPEN_BANG = rf"(\n!(?:[^!\n{m.NEWLINE}]++|!!|!(?=[^!|\n{m.NEWLINE}]))*+)!"
-# It is passed on over double pipes, row marks and entries of at most one
-# character to the next cell that has text, behind its first character ...
-_SPLITS = r"(?:\|\|)*+"
-_WITHOUT_TEXT = (
-    rf"(?:\|-[^\n]*+\n(?:[^|!\n][^\n]*+\n)*+|\|[^\n]?+{_SPLITS}\n(?=[|!])|!{_SPLITS}\n(?=[|!]))*+"
-)
-_NEXT_TEXT = (
-    rf"{_SPLITS}\n{_WITHOUT_TEXT}"
-    rf"(?:(?:\|[^\n-]|!){_SPLITS}\|[{_SPAN_START}]|\|\n[^|!]|\|[^\n-]{_SPLITS}(?=[^|\n])|!{_SPLITS}(?=[^|!\n]))"
-)
-_PASSED_ON = (
-    rf"{_OPEN_BANG}({_NEXT_TEXT}|{_SPLITS}[\n|][{_SPAN_START}]|(?:\|\|)++(?=[^|!\n]|\n[^|!]))"
-)
-# ... and changes places with a lone pipe.
-_SWAPPED = rf"{_OPEN_BANG}\|([^|!\n{_SPAN_START}])"
-_LOST = rf"{_OPEN_BANG}(?=(?:\|\|)*+\|?(?:\n[|!]|\z))"
-
-
-def _settle_bangs(masked: Column) -> Column:
-    """Observed: a single ``!`` at the end of a header cell goes elsewhere.
-
-    It turns up in the next cell, or is lost at the end of the table.
-    """
-
-    def settle(text: Column) -> Column:
-        text = F.regexp_replace(text, _PASSED_ON, "$1$2" + m.BANG)
-        return F.regexp_replace(text, _SWAPPED, f"$1{m.BANG}$2|")
-
-    settled = rewrite_until_absent(masked, f"{_PASSED_ON}|{_SWAPPED}", settle)
-    at_end = masked.contains("!\n") | masked.contains("!|") | masked.endswith("!")
-    return F.when(at_end, F.regexp_replace(settled, _LOST, "$1")).otherwise(masked)
-
-
 def _is_caption(entry: Column) -> Column:
     return entry.startswith("|+")
 
@@ -146,11 +77,11 @@ def _row_groups(masked: Column) -> Column:
 
 
 def _rows(groups: Column) -> Column:
-    """Groups as structs ``(attribute, lead, entries, last)``.
+    """Groups as structs ``(attribute, lead, place, entries, last)``.
 
     ``lead`` is the text between the row mark and the first entry. It goes in
-    front of the first entry that is more than a lone pipe, or of the next row
-    mark if there is none.
+    front of the first entry that is more than a lone pipe (at ``place``), or of
+    the next row mark if there is none.
     """
 
     def mark_text(head: Column, i: Column) -> Column:
@@ -166,14 +97,21 @@ def _rows(groups: Column) -> Column:
             & F.forall(F.slice(group, 2, F.size(group)), lambda entry: entry == "|")
         )
 
+    def lead_place(group: Column) -> Column:
+        filled = F.transform(F.slice(group, 2, F.size(group)), lambda entry: entry != "|")
+        first = F.array_position(filled, True).cast("int")
+        return F.when(first == 0, F.size(filled)).otherwise(first) - 1
+
     def row(group: Column, i: Column) -> Column:
         head = group[0]
         before = F.get(groups, i - 1)
         carried = F.when((i > 0) & idle(before), lead_text(before[0], i - 1))
         last = i == F.size(groups) - 1
+        lead = F.when(last | ~idle(group), lead_text(head, i)).otherwise(F.lit(""))
         return F.struct(
             F.concat(F.coalesce(carried, F.lit("")), mark_text(head, i)).alias("attribute"),
-            F.when(last | ~idle(group), lead_text(head, i)).otherwise(F.lit("")).alias("lead"),
+            lead.alias("lead"),
+            F.when(lead != "", lead_place(group)).otherwise(F.lit(0)).alias("place"),
             F.slice(group, 2, F.size(group)).alias("entries"),
             last.alias("last"),
         )
@@ -206,7 +144,7 @@ def _caption_line(rows: Column, dialect: str) -> Column:
                     counts(row, entry, i),
                     _line(
                         row["attribute"],
-                        F.when(i == 0, row["lead"]).otherwise(F.lit("")),
+                        F.when(i == row["place"], row["lead"]).otherwise(F.lit("")),
                         F.array(entry),
                     ),
                 ),
@@ -237,8 +175,8 @@ def _cell_lines(rows: Column, dialect: str) -> Column:
         return ~_is_caption(entry) | (row["last"] & (i == F.size(row["entries"]) - 1))
 
     def with_cells(row: Column) -> Column:
-        # The lead belongs to the first entry, also if that is a caption.
-        leading = is_cell(row, row["entries"][0], F.lit(0))
+        # The lead may belong to a caption.
+        leading = is_cell(row, F.get(row["entries"], row["place"]), row["place"])
         return _line(
             row["attribute"],
             F.when(leading, row["lead"]).otherwise(F.lit("")),
@@ -389,9 +327,9 @@ def _lines(raw_tables: DataFrame, dialect: str, lines_of_rows) -> DataFrame:
     if dialect == INTENDED:
         staged = staged.withColumn("body", protect_literal_text(F.col("body")))
     staged = staged.withColumn("body", protect(F.col("body")))
-    staged = staged.withColumn("body", _show_hidden_entries(F.col("body")))
+    staged = staged.withColumn("body", show_hidden_entries(F.col("body")))
     if dialect == OBSERVED:
-        staged = staged.withColumn("body", _settle_bangs(F.col("body")))
+        staged = staged.withColumn("body", settle_bangs(F.col("body")))
     return (
         staged.select(*page, _row_groups(F.col("body")).alias("groups"))
         .select(*page, _rows(F.col("groups")).alias("rows"))
@@ -406,7 +344,7 @@ def _cells(lines: DataFrame, dialect: str) -> DataFrame:
     page = ("page_name", "table_name", "table_attributes", "line_no")
     before_pipe = F.substring_index(cell, "|", 1)
     has_own, has_span = cell.contains("|"), F.lit(False)
-    for char in _STOP:
+    for char in STOP:
         has_own, has_span = has_own & ~before_pipe.contains(char), has_span | cell.contains(char)
     with_own = F.when(attribute == "", before_pipe).otherwise(
         F.concat_ws(" ", attribute, before_pipe)
@@ -416,7 +354,7 @@ def _cells(lines: DataFrame, dialect: str) -> DataFrame:
     else:
         full = F.when(has_own, with_own).when(has_span, attribute).otherwise(F.lit(""))
         # A line break between a lone pipe and a span gets lost.
-        break_lost = rf"([|{m.PIPE}])\n(?=[{_SPAN_START}])"
+        break_lost = rf"([|{m.PIPE}])\n(?=[{SPAN_START}])"
     separated = (
         lines.select(
             *page,
