@@ -2,8 +2,10 @@
 
 import bz2
 import html
+import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,17 +15,18 @@ HEADER = '<mediawiki xml:lang="en">\n  <siteinfo>\n    <sitename>Fixture</sitena
 FOOTER = "</mediawiki>\n"
 
 
+@cache
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder where the cluster keeps its checkpoints."""
-    key = "spark.checkpoint.dir"
-    base = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key, None)
+    """A new folder where the cluster keeps its checkpoints, a local one in tests."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"{key} has to name a folder that all executors share")
-        import tempfile
-
-        base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set(key, base)
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+        base = _local_base()
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
