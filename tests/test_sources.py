@@ -156,3 +156,20 @@ def test_small_reads_give_the_same_chunks(dump, monkeypatch):
     monkeypatch.setattr(streams, "_READ_BYTES", 997)
     assert list(streams._chunks_of_range(path, 0, os.path.getsize(path))) == whole
     assert len(whole) == 700
+
+
+def test_shared_folder():
+    from types import SimpleNamespace
+
+    from fixtures.dump import shared_folder
+
+    def session(base, master):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: base), sparkContext=SimpleNamespace(master=master)
+        )
+
+    assert shared_folder(session("hdfs:///ck/", "yarn")).startswith("hdfs:///ck/")
+    first, second = (shared_folder(session(None, "local[2]")) for _ in range(2))
+    assert first.startswith("/tmp/run-") and first != second
+    with pytest.raises(ValueError):
+        shared_folder(session(None, "yarn"))
