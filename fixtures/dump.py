@@ -2,15 +2,20 @@
 
 import bz2
 import html
+import sys
 import tempfile
 import uuid
 from collections.abc import Iterator
 from functools import cache
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The writer travels with the tasks: executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 HEADER = '<mediawiki xml:lang="en">\n  <siteinfo>\n    <sitename>Fixture</sitename>\n  </siteinfo>\n'
 FOOTER = "</mediawiki>\n"
 

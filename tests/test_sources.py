@@ -173,3 +173,19 @@ def test_shared_folder():
     assert first.startswith("/tmp/run-") and first != second
     with pytest.raises(ValueError):
         shared_folder(session(None, "yarn"))
+
+
+def test_reader_travels_with_the_task(folder):
+    """Python workers elsewhere, without this package, can load the reader."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from wikicells.sources.streams import _read_batches
+
+    with open(f"{folder}/f", "wb") as file:
+        cloudpickle.dump(_read_batches, file)
+    code = f"import pickle; print(list(pickle.load(open('{folder}/f', 'rb'))(iter([]))))"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    assert subprocess.check_output([sys.executable, "-c", code], cwd="/tmp", env=env, text=True) == "[]\n"

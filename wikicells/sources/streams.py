@@ -1,13 +1,18 @@
 """Reading selected streams of a multistream dump by byte range."""
 
 import bz2
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
 from wikicells.sources.pages import PAGE_END, pages_of_chunks
 
+# The functions below travel with the tasks: executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _READ_BYTES = 1 << 20
 _BATCH_CHUNKS = 256
 
