@@ -4,6 +4,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from fixtures.oracles import ORACLES
+from fixtures.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
@@ -21,10 +23,11 @@ def sql():
 
 
 def test_every_query_has_an_oracle():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.items() <= entry.queries().items() and ORACLES.items() <= entry.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, sql, name):
     actual = entry.queries()[name](spark, SF).toPandas()
     expected = sql.sql(entry.oracle_sql()[name]).df()
