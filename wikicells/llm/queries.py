@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wikicells.llm.bpe import digests, encode
 from wikicells.llm.chat import rotate
+from wikicells.llm.minhash import near_duplicates
 from wikicells.llm.mixture import by_position, mix
 from wikicells.llm.shards import interleave
 
@@ -32,10 +35,23 @@ def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"), words=3, percent=85).select(
+        "doc_id", "n_shingles", "component_id", "kept"
+    )
+
+
+def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return digests(encode(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN), path)
+
+
 QUERIES = {
     "op2_chat_formatting": chat,
     "op4_mixture": mixture,
     "op5_sharding": sharding,
+    "op7_near_dedup": near_dedup,
+    "op9_byte_bpe": byte_bpe,
 }
 
 ORACLES = {
@@ -97,4 +113,29 @@ ORACLES = {
                     ELSE (sqrt((1 - slope) * (1 - slope) + 4 * slope * (ahead / target)) - (1 - slope)) / (2 * slope) END
             END AS position
         FROM taken""",
+    "op7_near_dedup": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                ELSE [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)] END) AS s
+            FROM words
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+            FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+        ), links AS (
+            SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * shared >= 85 * (x.n + y.n - shared)
+        ), reach AS (
+            SELECT doc_id AS id, doc_id AS other FROM documents
+            UNION SELECT r.id, l.b FROM reach r JOIN links l ON l.a = r.other
+        ), roots AS (
+            SELECT id, min(other) AS component_id FROM reach GROUP BY id
+        )
+        SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
+        FROM documents d JOIN roots ON id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id""",
 }
