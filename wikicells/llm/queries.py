@@ -11,12 +11,19 @@ from wikicells.llm.chat import rotate
 from wikicells.llm.minhash import near_duplicates
 from wikicells.llm.mixture import by_position, mix
 from wikicells.llm.shards import interleave
+from wikicells.llm.suffixes import without_repeats
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(read(spark, sf_dir, "documents"), threshold=200).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Masks as start-end pairs in text form, comma-joined."""
     masks = F.array_join(F.transform("masks", lambda m: F.concat_ws("-", m["start"], m["end"])), ",")
@@ -47,6 +54,7 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_dedup": suffix_dedup,
     "op2_chat_formatting": chat,
     "op4_mixture": mixture,
     "op5_sharding": sharding,
