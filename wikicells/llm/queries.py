@@ -10,8 +10,10 @@ from wikicells.llm.bpe import digests, encode
 from wikicells.llm.chat import rotate
 from wikicells.llm.minhash import near_duplicates
 from wikicells.llm.mixture import by_position, mix
+from wikicells.llm.nearest import nearest
 from wikicells.llm.shards import interleave
 from wikicells.llm.suffixes import without_repeats
+from wikicells.llm.voronoi import top_products
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -53,13 +55,23 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN), path)
 
 
+def block_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
+def voronoi_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products(read(spark, sf_dir, "embeddings"), k=20, every=20, scale=64)
+
+
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup,
     "op2_chat_formatting": chat,
     "op4_mixture": mixture,
     "op5_sharding": sharding,
     "op7_near_dedup": near_dedup,
+    "op8_block_nearest": block_nearest,
     "op9_byte_bpe": byte_bpe,
+    "op10_voronoi_products": voronoi_products,
 }
 
 ORACLES = {
@@ -146,4 +158,28 @@ ORACLES = {
         )
         SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
         FROM documents d JOIN roots ON id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id""",
+    "op8_block_nearest": r"""
+        WITH fine AS (
+            SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+            WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, x.vec_id, sqrt(list_reduce(
+                list_transform(range(1, len(q.v) + 1), lambda i: (x.v[i] - q.v[i]) * (x.v[i] - q.v[i])), lambda a, b: a + b)) AS score
+            FROM fine q JOIN fine x ON q.vec_id % 100 = 0 AND q.vec_id <> x.vec_id AND len(q.v) = len(x.v)
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INT AS rank FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM placed WHERE rank <= 10""",
+    "op10_voronoi_products": r"""
+        WITH fine AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+            WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, x.vec_id, list_inner_product(q.v, x.v)::BIGINT AS score
+            FROM fine q JOIN fine x ON q.vec_id % 20 = 0 AND q.vec_id <> x.vec_id AND len(q.v) = len(x.v)
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM placed WHERE rank <= 20""",
 }
