@@ -13,6 +13,7 @@ from wikicells.llm.mixture import by_position, mix
 from wikicells.llm.nearest import nearest
 from wikicells.llm.shards import interleave
 from wikicells.llm.suffixes import without_repeats
+from wikicells.llm.toxicity import held_out, learn, score
 from wikicells.llm.voronoi import top_products
 
 
@@ -44,6 +45,13 @@ def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scored = score(docs, learn(docs, read(spark, sf_dir, "labels")), threshold=0.7)
+    kept_back = F.coalesce(held_out(F.col("doc_id")), F.lit(False))
+    return scored.select("doc_id", kept_back.alias("held_out"), "score", "predicted", "n_plain", "n_misspelled", "n_quoted")
+
+
 def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), words=3, percent=85).select(
         "doc_id", "n_shingles", "component_id", "kept"
@@ -68,6 +76,7 @@ QUERIES = {
     "op2_chat_formatting": chat,
     "op4_mixture": mixture,
     "op5_sharding": sharding,
+    "op6_toxicity": toxicity,
     "op7_near_dedup": near_dedup,
     "op8_block_nearest": block_nearest,
     "op9_byte_bpe": byte_bpe,
