@@ -19,7 +19,7 @@ SAMPLE = 12_000
 #: Entries of the lexicon, at most.
 LEXICON = 2_000
 #: Lengths of word starts that can be entries.
-STEMS = (4, 5, 6)
+STEMS = (3, 4, 5, 6, 7, 8)
 #: Words before and after a hit that are its context.
 WINDOW = 25
 #: Words that a worker remembers, and moves of its automaton.
@@ -212,13 +212,19 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _lexicon(rows: list, toxic: int) -> list[str]:
-    """Terms without those that another one says already: a start of which one word is most, a longer start, a word of a start."""
-    count = {r["term"]: r["toxic"] for r in rows}
-    words = [t for t in count if not t.endswith("*")]
-    stems = {t for t in count if t.endswith("*") and not any(count[w] >= 0.9 * count[t] for w in words if w.startswith(t[:-1]))}
-    stems = {t for t in stems if not any(t[:n] + "*" in stems for n in range(1, len(t) - 1))}
-    return sorted(stems) + sorted(w for w in words if not any(w[:n] + "*" in stems for n in STEMS))
+def _lexicon(terms: list[str], most: int) -> list[str]:
+    """The surest terms, without such as begin with a word start taken before or are the start of a term taken before."""
+    taken: list[str] = []
+    starts: set[str] = set()
+    inner: set[str] = set()
+    for term in terms:
+        text = term.rstrip("*")
+        if len(taken) < most and not any(text[:n] in starts for n in STEMS) and not (term.endswith("*") and text in inner):
+            taken.append(term)
+            inner.update(text[:n] for n in STEMS)
+            if term.endswith("*"):
+                starts.add(text)
+    return taken
 
 
 def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -250,8 +256,10 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lexicon: int
         return Model([], np.zeros((0, 3)), np.array([-3.0 if not toxic else 3.0, 0, 0, 0]))
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1) / ((F.col("clean") + 0.5) / (clean + 1)))
     sure = odds - 1.64 * F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
-    rows = terms.where(F.col("toxic") >= max(3.0, 0.01 * toxic)).withColumn("sure", sure).where("sure > 1.2")
-    entries = _lexicon(rows.orderBy(F.desc("sure"), "term").limit(lexicon).collect(), toxic)
+    rows = terms.where(F.col("toxic") >= max(3.0, 0.01 * toxic)).withColumn("sure", sure).where("sure > 2")
+    # of a word and its starts that say the same, the word goes first
+    order = [F.desc("sure"), F.col("term").endswith("*"), F.length("term").desc(), "term"]
+    entries = _lexicon([r["term"] for r in rows.orderBy(*order).limit(20 * lexicon).collect()], lexicon)
     automaton = Automaton(entries)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,6 +273,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lexicon: int
         for entry, kind in {(e, k) for e, k, _ in document}:
             seen[label, entry, kind] += 1
     rate = (seen[1] + 0.5) / (toxic + 1) / ((seen[0] + 0.5) / (clean + 1))
+    rate *= np.exp(-np.sqrt(1 / (seen[1] + 0.5) + 1 / (seen[0] + 0.5)))
     believed = np.stack([rate[:, PLAIN], np.sqrt(rate[:, PLAIN]), np.ones(len(entries))], axis=1)
     ratio = (seen[1] / toxic + believed / clean) / (seen[0] / clean + 1 / clean)
     weights = np.maximum(np.log(np.where(np.arange(3) == PLAIN, rate, ratio)), 0)
