@@ -7,11 +7,12 @@ import hashlib
 import heapq
 import json
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +25,9 @@ LONGEST = 64
 #: Slots of the rank map.
 SLOTS = 1 << 16
 #: Rare words whose tokens a worker remembers.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 17
+#: Documents that a task encodes at a time.
+SLICE = 128
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -149,28 +152,71 @@ def encoder(ranks: dict[bytes, int], known: dict[str, bytes], pattern: str) -> C
     return lambda text: b"".join([get(word) or tokens(word) for word in words(text)])
 
 
+def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
+def _encoded(batches: Iterable[pa.RecordBatch], to_ids: Callable[[str], bytes]) -> Iterator[pa.RecordBatch]:
+    for batch in _slices(batches):
+        ids = [to_ids(text.as_py()) for text in batch.column("text")]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+
+
+def _decoded(batches: Iterable[pa.RecordBatch], to_bytes: Callable[[bytes], bytes]) -> Iterator[pa.RecordBatch]:
+    for batch in _slices(batches):
+        texts = [to_bytes(ids.as_py()) for ids in batch.column("ids")]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], names=["doc_id", "ids", "bytes"])
+
+
+def _digested(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids, texts = batch.column("ids").to_pylist(), batch.column("bytes").to_pylist()
+        yield pa.RecordBatch.from_arrays([
+            batch.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()),
+            *(pa.array([hashlib.sha256(x).hexdigest() for x in column], pa.string()) for column in (ids, texts)),
+        ], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+
+def _prepared(docs: DataFrame, path: str, pattern: str, size: int) -> tuple[DataFrame, Broadcast]:
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    ranks = read_ranks(path)
+    return texts, docs.sparkSession.sparkContext.broadcast((ranks, dictionary(texts, ranks, pattern, size)))
+
+
 def encode(docs: DataFrame, path: str, pattern: str, size: int = DICTIONARY) -> DataFrame:
-    """Adds `ids` (binary, little-endian unsigned 32-bit token ids) to doc_id and text.
+    """(doc_id, ids) of every document; ids are binary, little-endian unsigned 32-bit token ids.
 
     A word is a match of `pattern`, encoded by itself; there are no special tokens. The most
     frequent distinct words of the corpus are folded once by higher-order functions, see `folded`,
     and sent to the tasks, a table of fixed size. The other words, a few percent of all, are merged
     where they occur, as sending all distinct words, or shuffling every word of every text, would
     grow with the corpus. Texts are encoded whole and not shuffled. A null or empty text has no ids.
-    Repeated rows give repeated rows; other columns are left out.
+    Repeated rows give repeated rows, a null doc_id is carried along, an empty table gives no rows;
+    other columns are left out.
     """
-    spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    ranks = read_ranks(path)
-    sent = spark.sparkContext.broadcast((ranks, dictionary(texts, ranks, pattern, size)))
+    texts, sent = _prepared(docs, path, pattern, size)
+    return texts.mapInArrow(lambda batches: _encoded(batches, encoder(*sent.value, pattern)), "doc_id long, ids binary")
+
+
+def decode(encoded: DataFrame, path: str) -> DataFrame:
+    """Adds `bytes` to (doc_id, ids): the bytes of the tokens one after the other. No ids give no bytes."""
+    sent = encoded.sparkSession.sparkContext.broadcast(read_ranks(path))
+    return encoded.select("doc_id", "ids").mapInArrow(
+        lambda batches: _decoded(batches, decoder(sent.value)), "doc_id long, ids binary, bytes binary"
+    )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        to_ids = encoder(*sent.value, pattern)
-        for batch in batches:
-            ids = pa.array([to_ids(text) for text in batch.column("text").to_pylist()], pa.large_binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids.cast(pa.binary())], names=["doc_id", "text", "ids"])
 
-    return texts.mapInArrow(run, "doc_id long, text string, ids binary")
+def round_trip(docs: DataFrame, path: str, pattern: str, size: int = DICTIONARY) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): what `encode` and then `decode` give, as digests, in one go."""
+    texts, sent = _prepared(docs, path, pattern, size)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks, known = sent.value
+        return _digested(_decoded(_encoded(batches, encoder(ranks, known, pattern)), decoder(ranks)))
+
+    return texts.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def decoder(ranks: dict[bytes, int]) -> Callable[[bytes], bytes]:
@@ -179,20 +225,3 @@ def decoder(ranks: dict[bytes, int]) -> Callable[[bytes], bytes]:
     for token, rank in ranks.items():
         pieces[rank] = token
     return lambda ids: b"".join(map(pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-
-
-def digests(encoded: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of encoded documents; decodes the ids."""
-    sent = encoded.sparkSession.sparkContext.broadcast(read_ranks(path))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        to_bytes = decoder(sent.value)
-        for batch in batches:
-            all_ids = batch.column("ids").to_pylist()
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array([len(ids) // 4 for ids in all_ids], pa.int64()),
-                pa.array([hashlib.sha256(ids).hexdigest() for ids in all_ids], pa.string()),
-                pa.array([hashlib.sha256(to_bytes(ids)).hexdigest() for ids in all_ids], pa.string()),
-            ], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

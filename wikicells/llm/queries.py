@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wikicells.llm.bpe import digests, encode
+from wikicells.llm.bpe import round_trip
 from wikicells.llm.chat import rotate
 from wikicells.llm.minhash import near_duplicates
 from wikicells.llm.mixture import by_position, mix
@@ -60,7 +60,7 @@ def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return digests(encode(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN), path)
+    return round_trip(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
 def block_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
