@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wikicells.llm.components import components
@@ -227,3 +227,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
         "doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"), own.alias("component_id"),
         F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"),
     )
+
+
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of `docs`, all columns, without near-duplicates: of a component the document of smallest id stays.
+
+    Rows of one doc_id are one document, of which one row stays. Rows without doc_id all stay.
+    """
+    kept = near_duplicates(docs, words, percent).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    # the row as a whole, so that its columns may have any names
+    rows = docs.where("doc_id IS NOT NULL").select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text"))
+    first = Window.partitionBy("doc_id").orderBy("text")
+    named = rows.join(kept, "doc_id", "left_semi").withColumn("n", F.row_number().over(first)).where("n = 1")
+    return named.select("row.*").union(docs.where("doc_id IS NULL"))

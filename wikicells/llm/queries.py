@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wikicells.llm import secrets
 from wikicells.llm.bpe import round_trip
 from wikicells.llm.chat import rotate
 from wikicells.llm.minhash import near_duplicates
@@ -45,6 +46,10 @@ def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.find_secrets(read(spark, sf_dir, "documents"), threshold=0.5))
+
+
 def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     scored = score(docs, learn(docs, read(spark, sf_dir, "labels")), threshold=0.7)
@@ -74,6 +79,7 @@ def voronoi_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup,
     "op2_chat_formatting": chat,
+    "op3_secret_scan": secret_scan,
     "op4_mixture": mixture,
     "op5_sharding": sharding,
     "op6_toxicity": toxicity,

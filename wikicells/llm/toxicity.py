@@ -307,3 +307,15 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scored = texts.mapInArrow(run, "doc_id long, score double, n_plain long, n_misspelled long, n_quoted long")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
+    """The rows of `docs`, all columns, whose text scores below `threshold`; null and empty texts get the base score."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = Automaton(model.entries)
+        for batch in batches:
+            yield batch.filter(pa.array([model.score(hits(t.as_py() or "", automaton)) < threshold for t in batch.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
