@@ -24,7 +24,7 @@ def turn_parts(turns: DataFrame, span: int = TURNS) -> DataFrame:
     )
     first = F.lit(-(2**63)).cast("long")
     rows = rows.select(
-        "*", F.coalesce(F.floor(F.col("turn") / span), first).alias("block_"),
+        "*", F.coalesce(F.floor(F.col("turn") / span), F.lit(0)).alias("block_"),
         F.coalesce("turn", first).alias("turn_"), F.md5(F.concat_ws(":", F.coalesce("role", F.lit("")), "text")).alias("hash_"),
     )
     crowded = rows.groupBy("conv_id", "block_").agg((F.count("*") > 2 * span).alias("crowded_"))
@@ -50,7 +50,7 @@ def rotate(turns: DataFrame, not_speakers: Sequence[str] = ("system",), span: in
 
     Returns conv_id, perspective, part (from 0), text, masks (array of start, end), n_turns and
     n_own. A conversation is one part unless it is very long, see `turn_parts`. Turns are ordered by
-    turn number, null first, ties by a hash of role and text; repeated rows are repeated turns. A
+    turn number (null before 0), ties by a hash of role and text; repeated rows are repeated turns. A
     null text is empty. A null role is a user without name and has no view. Null conv_id is one
     conversation. A conversation without speakers, or an empty table, gives no rows. Other columns
     are left out.

@@ -147,7 +147,7 @@ def _windows(contexts: list[bytes], threshold: int) -> tuple[np.ndarray, ...]:
 def _spans(table: pa.Table, owner: np.ndarray, start: np.ndarray, threshold: int) -> pa.RecordBatch:
     """Spans that repeated windows cover; windows that start next to each other make one."""
     fresh = np.flatnonzero((np.diff(owner, prepend=-1) != 0) | (np.diff(start, prepend=-2) != 1))
-    last = np.append(fresh[1:], len(owner)) - 1
+    last = np.append(fresh[1:], len(owner))[: len(fresh)] - 1
     rows = pa.array(owner[fresh])
     low = table.column("low").take(rows).to_numpy() if len(fresh) else np.zeros(0, np.int64)
     return pa.RecordBatch.from_arrays([
