@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from wikicells.llm.scratch import settle
 
-GRAM = 32
+GRAM = 64
 #: Bytes of a text that are hashed at a time.
 CHUNK = 1 << 21
 #: Classes of a gram whose windows are compared in one task; those of commoner grams are counted by Spark.
@@ -106,7 +106,7 @@ def _find(threshold: int):
     return run
 
 
-_CONTEXT = "gram long, doc long, print long, low long, context binary, single boolean"
+_CONTEXT = "gram long, doc long, print long, low long, context binary, single boolean, crowded boolean"
 
 
 def _cut(threshold: int):
@@ -117,21 +117,18 @@ def _cut(threshold: int):
             for row in range(batch.num_rows):
                 raw = memoryview(batch.column("text")[row].as_buffer())
                 for want in of[row].as_py():
-                    rows.append((row, want["gram"], want["low"], want["single"]))
+                    rows.append((row, want["gram"], want["low"], want["single"], want["crowded"]))
                     contexts.append(bytes(raw[want["low"] : want["high"] + threshold]))
-            row, gram, low, single = zip(*rows, strict=True) if rows else ((), (), (), ())
+            row, gram, low, single, crowded = zip(*rows, strict=True) if rows else ((),) * 5
             row = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays([
                 pa.array(gram, pa.int64()), batch.column("doc").take(row), batch.column("print").take(row),
-                pa.array(low, pa.int64()), pa.array(contexts, pa.binary()), pa.array(single, pa.bool_()),
-            ], names=_CONTEXT_NAMES)
+                pa.array(low, pa.int64()), pa.array(contexts, pa.binary()), pa.array(single, pa.bool_()), pa.array(crowded, pa.bool_()),
+            ], names=["gram", "doc", "print", "low", "context", "single", "crowded"])
 
     return run
 
 
-_CONTEXT_NAMES = ["gram", "doc", "print", "low", "context", "single"]
-
-
 def _windows(contexts: list[bytes], threshold: int) -> tuple[np.ndarray, ...]:
     """(context, start, hash, other hash) of every window of each context."""
     raw = np.frombuffer(b"".join(contexts), np.uint8)
@@ -232,27 +229,21 @@ def repeated_spans(docs: DataFrame, threshold: int = 200) -> DataFrame:
     whole = found.join(classes.where("n > 1").select("gram", "cover"), ["gram", "cover"]).select(
         "doc", "print", F.col("low").alias("start"), (F.col("high") + threshold).alias("end")
     )
-    mixed = classes.where("kinds > 1")
-    quiet = _contexts(texts, mixed.where(F.col("kinds") <= CROWD), threshold).repartition("gram").sortWithinPartitions("gram")
-    spans = whole.union(quiet.mapInArrow(_compare(threshold), "doc long, print long, start long, end long"))
-    crowded = mixed.where(F.col("kinds") > CROWD)
-    if crowded.isEmpty():
-        return spans
+    wanted = classes.where("kinds > 1").groupBy("one.doc", "one.print").agg(F.collect_list(
+        F.struct("gram", "one.low", "one.high", (F.col("n") == 1).alias("single"), (F.col("kinds") > CROWD).alias("crowded"))
+    ).alias("wanted"))
+    contexts = settle(texts.join(wanted, ["doc", "print"]).mapInArrow(_cut(threshold), _CONTEXT))
+    quiet = contexts.where("NOT crowded").repartition("gram").sortWithinPartitions("gram")
+    quiet = quiet.mapInArrow(_compare(threshold), "doc long, print long, start long, end long")
     keys = ["gram", "hash_1", "hash_2"]
-    listed = settle(_contexts(texts, crowded, threshold).mapInArrow(
+    listed = contexts.where("crowded").mapInArrow(
         _listed(threshold), "gram long, doc long, print long, start long, hash_1 long, hash_2 long, single boolean"
-    ))
+    )
     twice = listed.groupBy(*keys).count().where("count > 1").select(*keys)
-    return spans.union(listed.where("single").join(twice, keys, "left_semi").select(
+    listed = listed.where("single").join(twice, keys, "left_semi").select(
         "doc", "print", "start", (F.col("start") + threshold).alias("end")
-    ))
-
-
-def _contexts(texts: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
-    wanted = classes.groupBy("one.doc", "one.print").agg(
-        F.collect_list(F.struct("gram", "one.low", "one.high", (F.col("n") == 1).alias("single"))).alias("wanted")
     )
-    return texts.join(wanted, ["doc", "print"]).mapInArrow(_cut(threshold), _CONTEXT)
+    return whole.union(quiet).union(listed)
 
 
 def _runs(spans: list[dict]) -> tuple[np.ndarray, np.ndarray]:
