@@ -105,7 +105,10 @@ def dictionary(docs: DataFrame, ranks: dict[bytes, int], pattern: str, size: int
         return {}
     found = counts.where(step >= least).repartition(spark.sparkContext.defaultParallelism * 4, "word")
     tokens = found.select("word", folded(F.encode("word", "UTF-8"), rank_map(ranks)).alias("ids"))
-    return {row["word"]: np.array(row["ids"], "<u4").tobytes() for row in tokens.collect()}
+    table = tokens.toArrow()  # of a bounded number of rows
+    ids = table.column("ids").combine_chunks()
+    data, places = ids.values.to_numpy().astype("<u4").tobytes(), (4 * ids.offsets.to_numpy()).tolist()
+    return {word.as_py(): data[places[i] : places[i + 1]] for i, word in enumerate(table.column("word"))}
 
 
 def merge(word: bytes, ranks: dict[bytes, int]) -> bytes:
