@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wikicells.llm.scratch import settle
 from wikicells.llm.vectors import QUERIES, ROWS, best, blocks, matrix, smallest, tiles, usable
 
 #: Pivots, a bounded sample of the rows: as many cells for each length of vectors.
@@ -125,7 +126,7 @@ def top_products(vectors: DataFrame, k: int = 20, every: int = 20, scale: int =
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = usable(vectors.select("vec_id", F.when(fine, whole).alias("embedding")), every, zero=True)
     chosen = _chosen(rows, pivots)
-    cells = _cells(rows, chosen)
+    cells = settle(_cells(rows, chosen))
     rare = rows.where(~F.col("dims").isin(*chosen)) if chosen else rows.limit(0)
     plan = _plan(spark, cells, chosen, k).union(rare.select("dims", F.lit(0), F.lit(0)).distinct())
     queries = blocks(cells.where("is_query"), ["dims", "cell"], QUERIES).select(
