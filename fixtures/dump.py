@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from functools import cache
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -51,32 +52,39 @@ def write_xml(pages: DataFrame, folder: str, mode: str = "errorifexists") -> str
     return folder
 
 
-def page_xml(page_id: int, title: str, text: str) -> str:
+def page_xml(page_id: int, title: str | None, text: str, broken: bool = False) -> str:
+    """A page of a dump; ``broken`` leaves out the end of the title, None the title."""
+    head = "" if title is None else f"    <title>{html.escape(title)}{'' if broken else '</title>'}\n"
     return (
-        f"  <page>\n    <title>{html.escape(title)}</title>\n    <ns>0</ns>\n    <id>{page_id}</id>\n"
+        f"  <page>\n{head}    <ns>0</ns>\n    <id>{page_id}</id>\n"
         f"    <revision>\n      <id>{page_id}</id>\n      <model>wikitext</model>\n"
         f'      <text bytes="{len(text)}" xml:space="preserve">{html.escape(text)}</text>\n'
         "    </revision>\n  </page>\n"
     )
 
 
-def names(range_key: str, dump: str = "fixture-20201220-pages-articles-multistream") -> tuple[str, str]:
+DUMP = "fixture-20201220-pages-articles-multistream"
+
+
+def names(range_key: str, dump: str = DUMP) -> tuple[str, str]:
     return f"{dump}1.xml-{range_key}.bz2", f"{dump}-index1.txt-{range_key}.bz2"
 
 
 def _file_system(folder: str):
     from pyarrow import fs
 
-    if "://" in folder:
-        return fs.FileSystem.from_uri(folder)
-    return fs.LocalFileSystem(), folder.removeprefix("file:")
+    if folder.startswith(("file:", "/")):
+        return fs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(quote(folder, safe="/:@"))
 
 
 def write_multistream(
-    folder: str, range_key: str, pages: Iterator[tuple[int, str, str]], per_stream: int = 100
+    folder: str, range_key: str, pages: Iterator[tuple], per_stream: int = 100, dump: str = DUMP, with_index: bool = True
 ) -> tuple[int, int]:
     """One data file and its index: a header stream, page streams, a footer stream.
 
+    ``pages`` are ``(page_id, title, text)``, or with a fourth field ``broken``.
+
     Both files get their names when they are complete, so that a second attempt
     of a task does no harm. Gives the number of streams and of pages.
     """
@@ -91,9 +99,9 @@ def write_multistream(
     ):
         data.write(bz2.compress(HEADER.encode()))
         held: list[str] = []
-        for page_id, title, text in pages:
-            index.write(f"{data.tell()}:{page_id}:{title}\n")
-            held.append(page_xml(page_id, title, text))
+        for page in pages:
+            index.write(f"{data.tell()}:{page[0]}:{page[1]}\n")
+            held.append(page_xml(*page))
             count += 1
             if len(held) == per_stream:
                 data.write(bz2.compress("".join(held).encode()))
@@ -102,13 +110,19 @@ def write_multistream(
             data.write(bz2.compress("".join(held).encode()))
             streams += 1
         data.write(bz2.compress(FOOTER.encode()))
-    for kind, name in zip(("data", "index"), names(range_key), strict=True):
-        system.move(f"{attempt}.{kind}", f"{place}/{name}")
+    for kind, name in zip(("data", "index"), names(range_key, dump), strict=True):
+        if with_index or kind == "data":
+            system.move(f"{attempt}.{kind}", f"{place}/{name}")
     return streams, count
 
 
-def write_dump(pages: DataFrame, folder: str, per_stream: int = 100, per_file: int = 1000) -> str:
-    """A multistream dump: each file has the next ``per_file`` page ids, in order."""
+def write_dump(
+    pages: DataFrame, folder: str, per_stream: int = 100, per_file: int = 1000, dump: str = DUMP, with_index: bool = True
+) -> str:
+    """A multistream dump: each file has the next ``per_file`` page ids, in order.
+
+    Pages with a true ``broken`` column get a title that does not end.
+    """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from itertools import chain, groupby
@@ -118,8 +132,8 @@ def write_dump(pages: DataFrame, folder: str, per_stream: int = 100, per_file: i
             streams, count = write_multistream(
                 folder,
                 f"p{i * per_file}p{(i + 1) * per_file - 1}",
-                ((r["page_id"], r["page_name"], r["text"]) for r in group),
-                per_stream,
+                ((r["page_id"], r["page_name"], r["text"], r.get("broken", False)) for r in group),
+                per_stream, dump, with_index,
             )
             yield pa.RecordBatch.from_pydict({"streams": [streams], "pages": [count]})
 

@@ -28,17 +28,20 @@ def _without_blank_lines(expression: str) -> str:
     return f"rtrim(regexp_replace({expression}, chr(10) || '+', chr(10), 'g'), chr(10))"
 
 
-def _document_lines(data: str) -> str:
+def _document_lines(show) -> str:
+    """A row per line; what stands before the first pipe of a line is the attribute of its cell."""
     return f"""
 WITH split AS (
-  SELECT doc_id, string_split(translate(text, '|', '/'), chr(10)) AS lines FROM documents
+  SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents
 ), numbered AS (
   SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS i FROM split
+), cut AS (
+  SELECT doc_id, i, substr(line, instr(line, '|') + 1) AS line, left(line, greatest(instr(line, '|') - 1, 0)) AS attribute FROM numbered
 )
 SELECT 'Doc ' || doc_id || '_0' AS table_name, CAST(i AS INTEGER) AS row, CAST(0 AS INTEGER) AS col,
-       {data} AS cell_data, '' AS cell_attributes, CAST(0 AS INTEGER) AS is_header,
+       {show("line")} AS cell_data, {show("attribute")} AS cell_attributes, CAST(0 AS INTEGER) AS is_header,
        CAST(1 AS BIGINT) AS row_span, CAST(1 AS BIGINT) AS col_span
-FROM numbered"""
+FROM cut"""
 
 
 _ORDER = "'Order ' || o_orderkey"
@@ -53,14 +56,14 @@ _CUSTOMER_TEXT = (
     "chr(10) || 'A & <b>' || chr(10) || '{|' || chr(10) || '| ' || c_mktsegment || "
     "' & <i> || ' || chr(233) || ' ' || c_nationkey || chr(10) || '|}'"
 )
-_DUMP = "enwiki-20201220-pages-articles-multistream"
+_ORDER_CELLS = [
+    (0, 0, 0, "'status '"), (0, 0, 1, "' ' || o_orderstatus"),
+    (0, 1, 0, "'priority '"), (0, 1, 1, "' ' || o_orderpriority"),
+    (0, 2, 0, "'customer'"), (0, 2, 1, "CAST(o_custkey AS VARCHAR)"),
+]
 
 ORACLES = {
-    "cells_basic": _cells("orders", _ORDER, [
-        (0, 0, 0, "'status '"), (0, 0, 1, "' ' || o_orderstatus"),
-        (0, 1, 0, "'priority '"), (0, 1, 1, "' ' || o_orderpriority"),
-        (0, 2, 0, "'customer'"), (0, 2, 1, "CAST(o_custkey AS VARCHAR)"),
-    ]),
+    "cells_basic": _cells("orders", _ORDER, _ORDER_CELLS),
     "cells_headers": _cells("part", _PART, [
         (0, 0, 0, "' key '", "''", 1), (0, 0, 1, "' ' || p_type", "''", 1),
         (0, 0, 2, "'brand '", "''", 1), (0, 0, 3, "' plain '"), (0, 0, 4, "' more'"),
@@ -134,8 +137,8 @@ SELECT o_orderkey, {_ORDER}, CAST(1 AS INTEGER), '{{| one line ' || o_orderstatu
             (3, 1, 0, "l_orderkey || ' '"), (3, 1, 1, "' ' || l_linenumber"),
             (3, 1, 2, "' ' || l_returnflag", "'rowspan=' || l_linenumber || ' '", 0, "l_linenumber"),
         ]),
-    "document_lines": _document_lines("line"),
-    "xml_escaped_cells": _document_lines(_escaped("line")),
+    "document_lines": _document_lines(str),
+    "xml_escaped_cells": _document_lines(_escaped),
     "html_cells": _cells("pages", "'Html ' || page_id", [
         (0, 0, 0, "'{{html|' || " + _escaped(_without_blank_lines("html")) + " || '}}'"),
         (0, 0, 1, _escaped("url")),
@@ -146,27 +149,57 @@ SELECT o_orderkey, {_ORDER}, CAST(1 AS INTEGER), '{{| one line ' || o_orderstatu
         (0, 0, 2, "' <pre>d|' || user_id || '</pre>'"),
     ]),
     "dump_pages": f"SELECT c_custkey AS page_id, c_name AS page_name, {_CUSTOMER_TEXT} AS text FROM customer",
-    "dump_cells": _CUSTOMER_CELLS,
+    "dump_cells": f"""
+SELECT CASE WHEN CAST(string_split(table_name, '#')[2][:9] AS INTEGER) % 2 = 0 THEN 'enwiki' ELSE 'dewiki' END
+       || '-20201220-pages-articles-multistream' AS dump_id, * FROM ({_CUSTOMER_CELLS})""",
+    "mixed_load": _CUSTOMER_CELLS,
+    "rejected_rows": """
+SELECT 'rejected' AS kind, CAST(c_custkey AS VARCHAR) AS name FROM customer WHERE c_custkey % 5 = 0 OR c_custkey % 7 = 0
+UNION ALL
+SELECT 'cell', c_name || '_0' FROM customer, range(2) WHERE c_custkey % 5 <> 0 AND c_custkey % 7 <> 0""",
+    "table_pages": f"""
+SELECT o_orderkey AS page_id, {_ORDER} AS page_name, CAST(0 AS INTEGER) AS table_idx,
+       '{{|' || {_NL} || '| ' || o_orderkey || {_NL} || '|}}' AS raw FROM orders WHERE o_orderkey % 3 = 0""",
+    "check_records": f"""
+WITH items AS (
+  SELECT *, 'Item ' || l_orderkey || '.' || l_linenumber || '.' || l_partkey || '.' || l_suppkey || '_3' AS name FROM lineitem
+), found AS (
+  SELECT 'information' AS kind, name AS table_name, unnest(['', '?']) AS value, unnest([1, 0]) AS actual, unnest([0, 1]) AS expected
+  FROM items WHERE l_orderkey % 7 = 0
+  UNION ALL
+  SELECT 'data', name, ' ' || l_returnflag, 1, 0 FROM items WHERE l_orderkey % 11 = 0
+)
+SELECT kind, table_name, value, CAST(count(*) * actual AS BIGINT) AS actual_copies, CAST(count(*) * expected AS BIGINT) AS expected_copies
+FROM found GROUP BY kind, table_name, value, actual, expected""",
+    "lines_before_entry": _cells("documents", "'Doc ' || doc_id", [
+        (0, 0, 0, _escaped(_without_blank_lines(f"{_NL} || '{{{{lead' || {_NL} || text || {_NL} || '}}}}'")) + " || doc_id"),
+    ]),
     "dump_appended": "SELECT c_name || '_0' AS table_name, CAST(2 AS BIGINT) AS copies FROM customer",
     "multistream_cells": _CUSTOMER_CELLS,
     "incremental_load": _CUSTOMER_CELLS,
     "dump_index_streams": """
-WITH streams AS (
-  SELECT c_custkey % 4 AS part, (c_custkey // 200) * 1000 + 600 AS start, count(*) AS pages,
-         min(c_custkey) AS first_page_id, max(c_custkey) AS last_page_id
-  FROM customer GROUP BY 1, 2
+WITH placed AS (
+  SELECT c_custkey, c_custkey // 500 AS file, (row_number() OVER (PARTITION BY c_custkey // 500 ORDER BY c_custkey) - 1) // 40 + 1 AS stream
+  FROM customer
+)
+SELECT 'fixture-20201220-pages-articles-multistream' AS dump_id, 'p' || file * 500 || 'p' || file * 500 + 499 || '.bz2' AS file, stream,
+       count(*) AS pages, min(c_custkey) AS first_page_id, max(c_custkey) AS last_page_id, CAST(0 AS BIGINT) AS gap
+FROM placed GROUP BY file, stream""",
+    "file_pairs": """
+WITH named AS (
+  SELECT *, 'enwiki-' || (20000000 + c_custkey) || '-pages-articles-multistream' AS dump,
+         'p' || c_custkey * 100 || 'p' || c_custkey * 100 + 99 || '.bz2' AS range_key FROM customer
+)
+SELECT dump AS dump_id, range_key, 'hdfs:/dumps/' || dump || '.xml-' || range_key AS data_path,
+       c_custkey * 1000 AS data_length, 'hdfs:/dumps/' || dump || '-index.txt-' || range_key AS index_path
+FROM named WHERE c_custkey % 7 <> 0""",
+    "database_name": """
+WITH names AS (
+  SELECT 'enwiki-' || (20000000 + c_custkey) || '-pages' AS name FROM customer
+), ends AS (
+  SELECT min(name) AS a, max(name) AS b FROM names
 )
-SELECT 'data' || part AS data_path, start,
-       coalesce(lead(start) OVER (PARTITION BY part ORDER BY start), 1000000000) AS "end",
-       pages, first_page_id, last_page_id
-FROM streams""",
-    "file_pairs": f"""
-SELECT '{_DUMP}' AS dump_id, 'p' || c_custkey * 100 || 'p' || c_custkey * 100 + 99 || '.bz2' AS range_key,
-       'hdfs:/dumps/{_DUMP}.xml-p' || c_custkey * 100 || 'p' || c_custkey * 100 + 99 || '.bz2' AS data_path,
-       c_custkey * 1000 AS data_length,
-       'hdfs:/dumps/{_DUMP}-index.txt-p' || c_custkey * 100 || 'p' || c_custkey * 100 + 99 || '.bz2' AS index_path
-FROM customer WHERE c_custkey % 7 <> 0""",
-    "database_name": f"SELECT '{_DUMP}' AS database FROM customer GROUP BY 1",
+SELECT left(a, CAST(max(n) AS BIGINT)) AS database FROM ends, range(0, 15) r(n) WHERE left(a, n) = left(b, n) GROUP BY a""",
     "selected_streams": f"""
 WITH placed AS (
   SELECT *, c_custkey // 20 AS s FROM customer
@@ -174,11 +207,20 @@ WITH placed AS (
 SELECT c_custkey AS page_id, c_name AS page_name, {_CUSTOMER_TEXT} AS text
 FROM placed WHERE s IN (SELECT s FROM placed WHERE c_acctbal > 9900)""",
     "compare_tables": f"""
-SELECT {_ORDER} || '_0' AS table_name, o_orderstatus AS cell_data,
-       CAST(1 AS BIGINT) AS actual_copies, CAST(0 AS BIGINT) AS expected_copies
-FROM orders WHERE o_orderkey % 5 = 0
-UNION ALL
-SELECT {_ORDER} || '_0', '?', CAST(0 AS BIGINT), CAST(1 AS BIGINT) FROM orders WHERE o_orderkey % 5 = 0""",
+WITH actual AS (
+  {_cells("orders", _ORDER, _ORDER_CELLS)}
+), cells AS (
+  {_cells("orders", _ORDER, _ORDER_CELLS)}
+), expected AS (
+  SELECT c.* REPLACE (CASE WHEN row = 0 AND col = 1 AND k % 5 = 0 THEN ' ?' ELSE cell_data END AS cell_data)
+  FROM (SELECT *, CAST(table_name[7:-3] AS BIGINT) AS k FROM cells) c, range(2) r(n)
+  WHERE (n = 0 OR k % 11 = 0) AND NOT (k % 7 = 0 AND row = 2 AND col = 1)
+), counted AS (
+  SELECT *, 1 AS a, 0 AS e FROM actual UNION ALL SELECT * EXCLUDE (k), 0, 1 FROM expected
+)
+SELECT table_name, row, col, cell_data, cell_attributes, is_header, row_span, col_span,
+       CAST(sum(a) AS BIGINT) AS actual_copies, CAST(sum(e) AS BIGINT) AS expected_copies
+FROM counted GROUP BY ALL HAVING sum(a) <> sum(e)""",
     "info_data_join": f"""
 SELECT {_PART} AS page_name, {_PART} || '_0' AS table_name, CAST(7 AS BIGINT) AS cells,
        CAST(4 AS BIGINT) AS headers FROM part""",

@@ -2,13 +2,14 @@
 
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import wikicells as wc
 from fixtures import render as r
 from fixtures.dump import shared_folder, write_dump, write_xml
 from wikicells.plans.tables import write_records
+from wikicells.streaming.incremental import write_batch
 from wikicells.sources.files import common_name, describe_files, pair_files
 from wikicells.sources.index import read_index, stream_offsets, stream_ranges, streams_with_pages
 
@@ -38,11 +39,20 @@ def dump_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wc.read_pages(spark, folder).select("page_id", "page_name", "text")
 
 
+# A folder name with characters that paths of Spark encode.
+_ODD = "/my dump 100% é+1"
+
+
 def dump_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = write_xml(customer_pages(spark, sf_dir), shared_folder(spark))
+    """A folder with the dumps of two wikis, a data file without index and a file of another kind."""
+    pages, folder = customer_pages(spark, sf_dir), shared_folder(spark) + _ODD
+    for odd, wiki in enumerate(("enwiki", "dewiki")):
+        write_dump(pages.where(r.col("page_id") % 2 == odd), folder, dump=f"{wiki}-20201220-pages-articles-multistream")
+    write_dump(pages, folder, per_file=10**9, dump="frwiki-20201220-pages-articles-multistream", with_index=False)
+    write_dump(pages, folder, per_file=10**9, dump="notes", with_index=False)
     out = shared_folder(spark)
     wc.load_dump(spark, folder, out)
-    return wc.read_tables(spark, out)[1]
+    return wc.read_tables(spark, out, with_dump_id=True)[1]
 
 
 def dump_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +61,7 @@ def dump_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shared_folder(spark)
     wc.create_tables(spark, out)
     for _ in range(2):
-        wc.load_dump(spark, folder, out, mode="append")
+        wc.load_dump(spark, folder, out, mode="append", paired=False)
     information, _ = wc.read_tables(spark, out)
     return information.groupBy("table_name").agg(F.count(F.lit(1)).alias("copies"))
 
@@ -66,9 +76,71 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wc.read_tables(spark, out)[1]
 
 
+def mixed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One database from a batch load, an incremental one whose batch is written twice, and an appended one."""
+    pages = customer_pages(spark, sf_dir)
+    out, log = shared_folder(spark), shared_folder(spark)
+    first, second, third = (write_xml(pages.where(r.col("page_id") % 3 == k), shared_folder(spark)) for k in range(3))
+    wc.load_dump(spark, first, out, paired=False)
+    wc.load_new_files(spark, second, out, log).awaitTermination()
+    wc.load_dump(spark, third, out, mode="append", paired=False)
+    write_batch(wc.dump_records(spark, second), 0, out, log)
+    return wc.read_tables(spark, out)[1]
+
+
+def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth page is not well-formed, every seventh has no title; the others are complete."""
+    pages = customer_pages(spark, sf_dir)
+    pages = pages.withColumn("broken", r.col("page_id") % 5 == 0).withColumn(
+        "page_name", F.when((r.col("page_id") % 7 != 0) | r.col("broken"), r.col("page_name"))
+    )
+    folder, out = write_dump(pages, shared_folder(spark)), shared_folder(spark)
+    wc.load_dump(spark, folder, out)
+    rejected = wc.read_rejected(spark, out).select(
+        F.lit("rejected").alias("kind"), F.regexp_extract("page", "<id>([0-9]+)</id>", 1).alias("name")
+    )
+    return rejected.union(wc.read_tables(spark, out)[1].select(F.lit("cell"), "table_name"))
+
+
+def table_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages without tables, or with an unclosed one, leave nothing."""
+    folder = write_xml(r.order_mixed_pages(spark, sf_dir), shared_folder(spark))
+    return wc.extract_tables(wc.read_pages(spark, folder, with_tables_only=True)).select("page_id", "page_name", "table_idx", "raw")
+
+
+def check_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A record per line item, every seventh with a wrong caption, every eleventh without its last cell."""
+    key = r.col("l_orderkey")
+    tables = r.item_tables(spark, sf_dir)
+    number = F.element_at(F.split("page_name", r"\."), 2)
+    name = r.text(r.col("page_name"), "_3")
+    info = F.array(r.col("page_name"), name, F.lit(" item"), F.when(r.col("page_id") % 7 == 0, F.lit("?")).otherwise(F.lit("")), F.lit(""))
+
+    def row(at: int, to: int, data, attributes=F.lit(""), header: int = 0, rows=F.lit("1")):
+        return F.array(name, F.lit(str(at)), F.lit(str(to)), data, attributes, F.lit(str(header)), rows, F.lit("1"))
+
+    flag = F.regexp_extract("raw", r"\| ([A-Z])\n\|\}", 1)
+    cells = F.array(
+        row(0, 0, F.lit(" order "), header=1), row(0, 1, F.lit(" line")), row(1, 0, r.text(r.col("page_id"), " ")),
+        row(1, 1, r.text(" ", number)), row(1, 2, r.text(" ", flag), r.text("rowspan=", number, " "), 0, number),
+    )
+    cells = F.when(r.col("page_id") % 11 == 0, F.slice(cells, 1, 4)).otherwise(cells)
+    raw = F.to_json(F.struct(
+        r.col("page_name").alias("PageName"), r.col("page_id").cast("string").alias("PageId"), F.lit(3).alias("TableId"), r.col("raw").alias("WikitableData"),
+    ))
+    path = shared_folder(spark)
+    tables.select(r.text('{"raw": ', raw, ', "parsed": [', F.to_json(info), ", ", F.to_json(cells), "]}").alias("value")).write.text(path)
+    information, data = wc.record_differences(spark, path, lines=True)
+    both = [
+        diff.select(F.lit(kind).alias("kind"), "table_name", value.alias("value"), "actual_copies", "expected_copies")
+        for kind, diff, value in (("information", information, F.col("caption")), ("data", data, F.col("cell_data")))
+    ]
+    return both[0].union(both[1])
+
+
 def selected_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages of the streams that hold a customer with a high balance."""
-    folder = write_dump(customer_pages(spark, sf_dir), shared_folder(spark), per_stream=20)
+    folder = write_dump(customer_pages(spark, sf_dir), shared_folder(spark) + _ODD, per_stream=20)
     pairs = wc.pair_files(wc.dump_files(spark, folder))
     index = read_index(spark, f"{folder}/*index*")
     ranges = stream_ranges(stream_offsets(index), pairs)
@@ -86,13 +158,13 @@ def multistream_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A made-up name pair per customer, some without an index."""
+    """A made-up name pair per customer, some without an index; names hold the number of the customer."""
     key = r.col("c_custkey")
-    base = "hdfs:/dumps/enwiki-20201220-pages-articles-multistream"
+    base = r.text("hdfs:/dumps/enwiki-", 20_000_000 + key, "-pages-articles-multistream")
     ends = r.text(key, "-p", key * 100, "p", key * 100 + 99, ".bz2")
     kinds = F.when(key % 7 == 0, F.array(F.lit(".xml"))).otherwise(F.array(F.lit(".xml"), F.lit("-index.txt")))
     listed = r.table(spark, sf_dir, "customer").select(
-        F.explode(F.transform(kinds, lambda kind: F.concat(F.lit(base), kind, ends))).alias("path"),
+        F.explode(F.transform(kinds, lambda kind: F.concat(base, kind, ends))).alias("path"),
         (key * 1000).alias("length"),
     )
     return describe_files(listed.withColumn("path", F.regexp_replace("path", r"(xml|txt)\d+-", "$1-")))
@@ -107,35 +179,38 @@ def database_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dump_index_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Index text of 50 pages per stream over four files, to byte ranges."""
-    key = r.col("c_custkey")
-    folder = shared_folder(spark)
-    r.table(spark, sf_dir, "customer").select(
-        r.text(F.floor(key / 200) * 1000 + 600, ":", key, ":Title: ", r.col("c_name")).alias("value"),
-        r.text(key % 4).alias("part"),
-    ).write.partitionBy("part").option("compression", "bzip2").text(folder)
-    index = read_index(spark, folder).withColumn(
-        "index_path", F.regexp_extract("index_path", r"part=(\d)", 1)
-    )
-    pairs = spark.range(4).select(
-        F.col("id").cast("string").alias("index_path"),
-        F.concat(F.lit("data"), F.col("id")).alias("data_path"),
-        F.lit(10**9).cast("bigint").alias("data_length"),
+    """The streams of a dump's real files in an odd folder: their pages, and how far they are from one another."""
+    folder = write_dump(customer_pages(spark, sf_dir), shared_folder(spark) + _ODD, per_stream=40, per_file=500)
+    pairs = pair_files(wc.dump_files(spark, folder))
+    ranges = stream_ranges(stream_offsets(read_index(spark, f"{folder}/*index*")), pairs)
+    following = Window.partitionBy("data_path").orderBy("start")
+    return ranges.join(pairs.select("data_path", "data_length"), "data_path").select(
+        "dump_id", F.substring_index("data_path", ".xml-", -1).alias("file"),
+        F.row_number().over(following).cast("bigint").alias("stream"), "pages", "first_page_id", "last_page_id",
+        (F.coalesce(F.lead("start").over(following), r.col("data_length")) - r.col("end")).alias("gap"),
     )
-    return stream_ranges(stream_offsets(index), pairs).drop("index_path")
 
 
 def compare_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parsed cells against the order table with every fifth status changed."""
-    parsed = _data(r.order_pages, spark, sf_dir).where("row = 0 and col = 1").select(
-        "table_name", F.trim("cell_data").alias("cell_data")
-    )
-    key = r.col("o_orderkey")
-    expected = r.table(spark, sf_dir, "orders").select(
-        r.text("Order ", key, "_0").alias("table_name"),
-        F.when(key % 5 == 0, F.lit("?")).otherwise(r.col("o_orderstatus")).alias("cell_data"),
+    """Parsed cells against the orders with every fifth status changed, every seventh customer missing, every eleventh cell doubled."""
+    key, name = r.col("o_orderkey"), r.text("Order ", r.col("o_orderkey"), "_0")
+
+    def cell(row: int, col: int, data):
+        number = lambda n, kind: F.lit(n).cast(kind)
+        return F.struct(
+            number(row, "int").alias("row"), number(col, "int").alias("col"), data.alias("cell_data"), F.lit("").alias("cell_attributes"),
+            number(0, "int").alias("is_header"), number(1, "bigint").alias("row_span"), number(1, "bigint").alias("col_span"),
+        )
+
+    status = r.text(" ", F.when(key % 5 == 0, F.lit("?")).otherwise(r.col("o_orderstatus")))
+    doubled = F.when(key % 11 == 0, F.lit(2)).otherwise(1)
+    cells = F.array(
+        cell(0, 0, F.lit("status ")), cell(0, 1, status), cell(1, 0, F.lit("priority ")), cell(1, 1, r.text(" ", r.col("o_orderpriority"))),
+        cell(2, 0, F.lit("customer")), cell(2, 1, r.col("o_custkey").cast("string")),
     )
-    return wc.diff_rows(parsed, expected)
+    cells = F.when(key % 7 == 0, F.slice(cells, 1, 5)).otherwise(cells)
+    expected = r.table(spark, sf_dir, "orders").select(name.alias("table_name"), F.explode(F.flatten(F.array_repeat(cells, doubled))).alias("c"))
+    return wc.diff_rows(_data(r.order_pages, spark, sf_dir), expected.select("table_name", "c.*"))
 
 
 def info_data_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,7 +221,7 @@ def info_data_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     wc.register_views(spark, out)
     return spark.sql("""
         SELECT i.page_name, i.table_name, count(*) AS cells, sum(d.is_header) AS headers
-        FROM wikitable_information i JOIN wikitable_data d ON i.table_name = d.table_name
+        FROM wikitable_information i JOIN wikitable_data d ON i.dump_id = d.dump_id AND i.table_name = d.table_name
         GROUP BY i.page_name, i.table_name
     """)
 
@@ -189,4 +264,9 @@ QUERIES = {
     "incremental_load": incremental_load,
     "compare_tables": compare_tables,
     "info_data_join": info_data_join,
+    "mixed_load": mixed_load,
+    "rejected_rows": rejected_rows,
+    "table_pages": table_pages,
+    "check_records": check_records,
+    "lines_before_entry": partial(_data, r.head_pages),
 }

@@ -140,12 +140,29 @@ def conversation_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole texts, one table row per line. Pipes would be markup, so they go."""
-    lines = F.regexp_replace(F.translate("text", "|", "/"), "\n", "\n|-\n| ")
+    """Whole texts, one table row per line. A pipe in a line ends an attribute."""
+    lines = F.regexp_replace("text", "\n", "\n|-\n| ")
     source = table(spark, sf_dir, "documents")
     return pages(source, "doc_id", text("Doc ", col("doc_id")), text("\n{|\n| ", lines, "\n|}"))
 
 
+def head_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts as a template before the first entry, all on lines of their own."""
+    body = text("\n{|\n{{lead\n", col("text"), "\n}}\n| ", col("doc_id"), "\n|}")
+    return pages(table(spark, sf_dir, "documents"), "doc_id", text("Doc ", col("doc_id")), body)
+
+
+def order_mixed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the pages has a table, a third only an unclosed one, a third none."""
+    key = col("o_orderkey")
+    body = (
+        F.when(key % 3 == 0, text("\n{|\n| ", key, "\n|}"))
+        .when(key % 3 == 1, text("\n{|\n| unclosed ", key))
+        .otherwise(text("\n| no table ", key, " |}"))
+    )
+    return pages(table(spark, sf_dir, "orders"), "o_orderkey", text("Order ", key), body)
+
+
 def html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole HTML pages as a template argument in one cell."""
     body = text("\n{|\n| {{html|", col("html"), "}}\n| ", col("url"), "\n|}")

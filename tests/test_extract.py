@@ -69,3 +69,14 @@ def test_xml_escape(spark):
     assert [r[0] for r in df.select(xml_escape(df.t)).collect()] == [
         "a&amp;b&lt;c&gt;\"'&#233;&#8232;&#128512;", "plain", None,
     ]
+
+
+def test_control_characters_are_refused(spark):
+    """They stand in for markup; XML text cannot hold them."""
+    for code in (1, 5, 8, 14, 20, 27):
+        pages = spark.createDataFrame([(1, "p", f"\n{{| a{chr(code)}b |}}")], "page_id long, page_name string, text string")
+        with pytest.raises(Exception, match="control characters"):
+            wc.extract_tables(pages).collect()
+        raw = spark.createDataFrame([("p", 0, f"{{|\n| a{chr(code)}b\n|}}")], "page_name string, table_idx int, raw string")
+        with pytest.raises(Exception, match="control characters"):
+            wc.parse_data(raw).collect()

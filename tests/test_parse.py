@@ -1,5 +1,6 @@
 """Hand-derived parser cases: table text, information, cells."""
 
+import time
 from collections import defaultdict
 
 import pytest
@@ -266,3 +267,24 @@ def test_long_table(spark):
     cells = wc.parse_data(spark.createDataFrame([("p", 0, raw)], "page_name string, table_idx int, raw string"))
     found = cells.selectExpr("count(*)", "max(row)", "count_if(col = 0 and cell_data = '[[a' || row || '|b]] ')").first()
     assert tuple(found) == (2 * n, n - 1, n)
+
+
+def seconds(spark, lines):
+    raw = "{|\n{{t\n" + "x\n" * lines + "}}\n| a\n|}"
+    tables = spark.createDataFrame([("p", 0, raw)], "page_name string, table_idx int, raw string")
+    started = time.perf_counter()
+    (row,) = wc.parse_data(tables).collect()
+    assert row.cell_data == "\n{{t\n" + "x\n" * lines + "}}a"
+    return time.perf_counter() - started
+
+
+def test_lines_before_the_first_entry_take_linear_time(spark):
+    seconds(spark, 10)
+    few, many = min(seconds(spark, 8_000) for _ in range(2)), min(seconds(spark, 80_000) for _ in range(2))
+    assert many < 15 * few + 2
+
+
+def test_spans_beyond_64_bits(spark):
+    raw = "{|\n| rowspan=99999999999999999999 colspan=3 | a\n|}"
+    (row,) = wc.parse_data(spark.createDataFrame([("p", 0, raw)], "page_name string, table_idx int, raw string")).collect()
+    assert (row.row_span, row.col_span) == (2**63 - 1, 3)

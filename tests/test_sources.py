@@ -131,7 +131,7 @@ def test_ranges_over_blocks(spark):
     gib = 1 << 30
     starts = [600, 700, gib - 1, gib, gib + 5, 7 * gib, 7 * gib + 1]
     index = spark.createDataFrame([("i", s, n) for n, s in enumerate(starts)], "index_path string, offset bigint, page_id bigint")
-    pairs = spark.createDataFrame([("i", "d", 9 * gib)], "index_path string, data_path string, data_length bigint")
+    pairs = spark.createDataFrame([("i", "w", "d", 9 * gib)], "index_path string, dump_id string, data_path string, data_length bigint")
     found = wc.stream_ranges(wc.stream_offsets(index), pairs).collect()
     assert sorted((r.start, r.end) for r in found) == list(zip(starts, [*starts[1:], 9 * gib]))
 
@@ -189,3 +189,79 @@ def test_reader_travels_with_the_task(folder):
     code = f"import pickle; print(list(pickle.load(open('{folder}/f', 'rb'))(iter([]))))"
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     assert subprocess.check_output([sys.executable, "-c", code], cwd="/tmp", env=env, text=True) == "[]\n"
+
+
+def odd_dump(folder):
+    """A dump in a folder whose name Spark and URIs encode, with titles that hold other line ends."""
+    folder = f"{folder}/my dump 100% é+1"
+    pages = [(i, f"Title\x85{i}\u2028:x", f"\n{{| t\n| {i}\n|}}") for i in range(250)]
+    write_multistream(folder, "p0p249", iter(pages))
+    return folder, pages
+
+
+def test_odd_names_of_folders_and_pages(spark, folder):
+    folder, pages = odd_dump(folder)
+    pairs, index = wc.pair_files(wc.dump_files(spark, folder)), index_of(spark, folder)
+    assert sorted((r.page_id, r.title) for r in index.collect()) == [p[:2] for p in pages]
+    assert {r.dump_id for r in index.collect()} == {"fixture-20201220-pages-articles-multistream"}
+    ranges = wc.stream_ranges(wc.stream_offsets(index), pairs)
+    assert ranges.count() == 3
+    read = wc.read_streams(ranges, partitions=2).orderBy("page_id").collect()
+    assert [(r.page_id, r.page_name, r.text) for r in read] == pages and {r.dump_id for r in read} == {names("")[0].split("1.xml")[0]}
+
+
+def test_a_broken_index_line_stops_the_job(spark, folder):
+    with open(f"{folder}/x-index.txt", "w", encoding="utf-8") as file:
+        file.write("600:1:A\n\n600:2\n")
+    with pytest.raises(Exception, match="no index line in .*600:2"):
+        wc.read_index(spark, folder).collect()
+
+
+def test_pages_of_one_wiki(spark, folder):
+    for wiki in ("enwiki", "dewiki"):
+        write_multistream(folder, "p0p9", map(page, range(10)), dump=f"{wiki}-20201220-pages-articles-multistream")
+    pairs, index = wc.pair_files(wc.dump_files(spark, folder)), index_of(spark, folder)
+    ranges = wc.stream_ranges(wc.stream_offsets(index), pairs)
+    wanted = spark.createDataFrame([("dewiki-20201220-pages-articles-multistream", 3)], "dump_id string, page_id bigint")
+    assert wc.streams_with_pages(ranges, index, wanted.select("page_id")).count() == 2
+    (chosen,) = wc.streams_with_pages(ranges, index, wanted).collect()
+    assert chosen.dump_id.startswith("dewiki")
+
+
+def test_ranges_read_the_index_once(spark, dump):
+    ranges = wc.stream_ranges(wc.stream_offsets(index_of(spark, dump)), wc.pair_files(wc.dump_files(spark, dump)))
+    plan = ranges._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1
+    assert plan.index("Generate explode") < plan.index("Join"), "streams are cut out of blocks after the join"
+
+
+def cut_stream(folder, keep):
+    data, _ = names("p0p9")
+    write_multistream(folder, "p0p9", map(page, range(10)))
+    packed = bz2.compress(bz2.decompress(open(os.path.join(folder, data), "rb").read())[:keep])
+    path = os.path.join(folder, "cut.xml.bz2")
+    with open(path, "wb") as file:
+        file.write(packed)
+    return path, len(packed)
+
+
+def test_damaged_ranges(spark, folder):
+    """A page that its range cuts off is kept as corrupt; a range that the file does not hold is an error."""
+    path, length = cut_stream(folder, 700)
+    ranges = spark.createDataFrame([(path, 0, length)], "data_path string, start bigint, end bigint")
+    rows = wc.read_streams(ranges, partitions=1).collect()
+    assert sum(r.corrupt is not None for r in rows) == 1 and "<page>" in rows[-1].corrupt
+    with pytest.raises(Exception, match="ends 5 bytes before its byte range"):
+        wc.read_streams(ranges.withColumn("end", F.col("end") + 5), partitions=1).collect()
+
+
+def test_unknown_stores_fail_on_the_driver(spark):
+    ranges = spark.createDataFrame([("ofs://x/y", 0, 1), ("/x", 0, 1), ("s3a://b/c d", 0, 1)], "data_path string, start bigint, end bigint")
+    with pytest.raises(ValueError, match="from ofs"):
+        wc.read_streams(ranges)
+
+
+def test_untitled_pages_are_corrupt(spark):
+    chunks = spark.createDataFrame([("<page><id>1</id><revision><text>\n{| x |}</text></revision>",)], "value string")
+    (row,) = pages_of_chunks(chunks).collect()
+    assert (row.page_id, row.page_name, row.text) == (None, None, None) and "<id>1</id>" in row.corrupt

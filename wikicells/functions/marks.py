@@ -93,3 +93,9 @@ def as_literal(col: Column) -> Column:
         FIRST_PIPE + BANG + QUIET_SQUARE_OPEN + QUIET_CURLY_OPEN,
     )
     return F.replace(literal, F.lit(SPAN_GOES_ON), F.lit(""))
+
+
+def checked(text: Column) -> Column:
+    """The text; stops the job if it holds a stand-in, which no XML text does."""
+    broken = F.raise_error(F.concat(F.lit("control characters in a table text: "), F.left(text, F.lit(80))))
+    return F.when(text.rlike("[\\x01-\\x08\\x0e-\\x1b]"), broken).otherwise(text)

@@ -86,21 +86,25 @@ def extract_tables(pages: DataFrame, dialect: str = OBSERVED) -> DataFrame:
     A narrow transformation: pages without tables vanish, the others give one
     row per outermost table, numbered from 0 in the page. In the ``observed``
     dialect the table text is in XML text form, as in the dump file.
+    ``dump_id`` goes along if there is one; with ``corrupt``, a corrupt page
+    gives one row that has only that. Control characters that XML forbids stop
+    the job, as they stand in for markup here.
     """
     check_dialect(dialect)
+    kept = [name for name in ("dump_id", "corrupt") if name in pages.columns]
     mark = _mark_line_starts if dialect == INTENDED else _mark_anywhere
     text = F.col("text")
     tables = (
         # One select per stage: a column used twice by the next stage is not
         # inlined there, so each stage is evaluated once per page.
         pages.select(
-            "page_id", "page_name", F.when(text.contains("{|"), mark(text)).alias("marked")
+            "page_id", "page_name", *kept, F.when(text.contains("{|"), mark(m.checked(text))).alias("marked")
         )
-        .select("page_id", "page_name", _outermost(_matched(F.col("marked"))).alias("tables"))
+        .select("page_id", "page_name", *kept, _outermost(_matched(F.col("marked"))).alias("tables"))
         # The outer form keeps the optimizer from inferring a "not empty"
         # filter below the generator, which would evaluate the array again.
-        .select("page_id", "page_name", F.posexplode_outer("tables").alias("table_idx", "raw"))
-        .where(F.col("raw").isNotNull())
+        .select("page_id", "page_name", *kept, F.posexplode_outer("tables").alias("table_idx", "raw"))
+        .where(F.col("raw").isNotNull() | (F.col("corrupt").isNotNull() if "corrupt" in kept else F.lit(False)))
     )
     if dialect == OBSERVED:
         tables = tables.withColumn("raw", escape_markup(F.col("raw"))).withColumn(

@@ -21,6 +21,11 @@ _CUT_SPAN = (
 )
 
 
+# Hidden breaks of one head one after the other, with no entry behind them: each match goes on where the
+# last one ended, so a head takes one pass however many lines it has.
+_HEAD_BREAKS = rf"((?:^|\n\|-|\G(?!^)){_HEAD_LINES}){m.NEWLINE}(?![|!{m.PIPE}{m.BANG}])"
+
+
 def show_hidden_entries(masked: Column) -> Column:
     """Undo protection outside cells: a line there is a line, an entry an entry."""
 
@@ -37,9 +42,12 @@ def show_hidden_entries(masked: Column) -> Column:
         shown = F.regexp_replace(text, _HIDDEN_BREAK, "$1\n")
         shown = F.replace(shown, F.lit("\n" + m.PIPE), F.lit("\n|"))
         shown = F.replace(shown, F.lit("\n" + m.BANG), F.lit("\n!"))
-        return F.when(text.rlike(_CUT_SPAN), show_cut(text)).otherwise(shown)
+        return show_heads(F.when(text.rlike(_CUT_SPAN), show_cut(text)).otherwise(shown))
+
+    def show_heads(text: Column) -> Column:
+        return F.regexp_replace(text, _HEAD_BREAKS, "$1\n")
 
-    shown = rewrite_until_absent(masked, _HIDDEN_BREAK, show)
+    shown = rewrite_until_absent(show_heads(masked), _HIDDEN_BREAK, show)
     shown = F.replace(shown, F.lit(f"\n|{m.SPAN_GOES_ON}\n"), F.lit("\n|\n"))
     return F.when(masked.contains(m.NEWLINE), shown).otherwise(masked)
 

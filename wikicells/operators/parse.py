@@ -306,19 +306,22 @@ def _lines(raw_tables: DataFrame, dialect: str, lines_of_rows) -> DataFrame:
     """Tables cut into lines: a row per element of ``lines_of_rows(rows)``."""
     check_dialect(dialect)
     raw = F.col("raw")
-    page = ("page_name", "table_name", "table_attributes")
+    kept = [name for name in ("dump_id", "corrupt") if name in raw_tables.columns]
+    page = ("page_name", "table_name", "table_attributes", *kept)
     # One select per stage, see ``extract_tables``.
     staged = (
         raw_tables.select(
             "page_name",
+            *kept,
             F.concat_ws("_", "page_name", F.col("table_idx").cast("string")).alias("table_name"),
             F.when(_has_other_break(raw), F.regexp_replace(raw, _LINE_BREAK[dialect], "\n"))
-            .otherwise(raw)
+            .otherwise(m.checked(raw))
             .alias("raw"),
         )
         .withColumn("raw", _drop_last_break(raw))
         .select(
             "page_name",
+            *kept,
             "table_name",
             F.substring(F.substring_index(raw, "\n", 1), 3, F.length(raw)).alias("table_attributes"),
             _body(raw).alias("body"),
@@ -334,14 +337,16 @@ def _lines(raw_tables: DataFrame, dialect: str, lines_of_rows) -> DataFrame:
         staged.select(*page, _row_groups(F.col("body")).alias("groups"))
         .select(*page, _rows(F.col("groups")).alias("rows"))
         .select(*page, F.posexplode_outer(lines_of_rows(F.col("rows"))).alias("line_no", "line"))
-        .where(F.col("line").isNotNull())
+        .where(F.col("line").isNotNull() | (F.col("corrupt").isNotNull() if "corrupt" in kept else F.lit(False)))
     )
 
 
 def _cells(lines: DataFrame, dialect: str) -> DataFrame:
     """Lines cut into cells, with their data, attributes and header flag."""
     cell, attribute = F.col("cell"), F.col("attribute")
-    page = ("page_name", "table_name", "table_attributes", "line_no")
+    kept = [name for name in ("dump_id", "corrupt") if name in lines.columns]
+    page = ("page_name", "table_name", "table_attributes", *kept, "line_no")
+    explode = F.posexplode_outer if "corrupt" in kept else F.posexplode
     before_pipe = F.substring_index(cell, "|", 1)
     has_own, has_span = cell.contains("|"), F.lit(False)
     for char in STOP:
@@ -361,7 +366,7 @@ def _cells(lines: DataFrame, dialect: str) -> DataFrame:
             F.col("line.attribute").alias("attribute"),
             _row_text(F.col("line"), dialect).alias("text"),
         )
-        .select(*page, "attribute", F.posexplode(F.split("text", m.CELL_SEP, -1)).alias("col", "cell"))
+        .select(*page, "attribute", explode(F.split("text", m.CELL_SEP, -1)).alias("col", "cell"))
         .select(
             *page,
             "attribute",
@@ -393,7 +398,8 @@ def parse_records(raw_tables: DataFrame, dialect: str = OBSERVED) -> DataFrame:
     """Both result tables in one pass, told apart by ``row``.
 
     Per table, row -1 is its information (the caption as the only cell), the
-    rows from 0 on are its cells.
+    rows from 0 on are its cells. Corrupt pages of ``extract_tables`` are rows
+    with only ``corrupt``.
     """
     lines = _lines(
         raw_tables,
@@ -405,7 +411,9 @@ def parse_records(raw_tables: DataFrame, dialect: str = OBSERVED) -> DataFrame:
 
 def _with_spans(cells: DataFrame) -> DataFrame:
     attributes = F.col("cell_attributes")
+    kept = [name for name in ("dump_id", "corrupt") if name in cells.columns]
     return cells.select(
+        *kept,
         "page_name", "table_name", "table_attributes", "row", "col", "cell_data",
         "cell_attributes", "is_header",
         row_span(attributes).alias("row_span"), col_span(attributes).alias("col_span"),
@@ -428,15 +436,20 @@ def data_of(records: DataFrame) -> DataFrame:
     )
 
 
+def _without_corrupt(raw_tables: DataFrame) -> DataFrame:
+    whole = raw_tables.where("corrupt IS NULL") if "corrupt" in raw_tables.columns else raw_tables
+    return whole.drop("corrupt", "dump_id")
+
+
 def parse_info(raw_tables: DataFrame, dialect: str = OBSERVED) -> DataFrame:
     """Raw tables to ``wikitable_information``, one row per table."""
-    lines = _lines(raw_tables, dialect, lambda rows: F.array(_caption_line(rows, dialect)))
+    lines = _lines(_without_corrupt(raw_tables), dialect, lambda rows: F.array(_caption_line(rows, dialect)))
     return info_of(_cells(lines, dialect))
 
 
 def parse_data(raw_tables: DataFrame, dialect: str = OBSERVED) -> DataFrame:
     """Raw tables to ``wikitable_data``, one row per cell."""
-    lines = _lines(raw_tables, dialect, lambda rows: _cell_lines(rows, dialect))
+    lines = _lines(_without_corrupt(raw_tables), dialect, lambda rows: _cell_lines(rows, dialect))
     cells = _cells(lines, dialect).withColumnRenamed("line_no", "row")
     return data_of(_with_spans(cells))
 

@@ -1,24 +1,45 @@
 """From a dump to the result tables."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wikicells.operators.extract import extract_tables
-from wikicells.operators.parse import ParsedTables, parse_records, parse_tables
+from wikicells.operators.parse import ParsedTables, data_of, info_of, parse_records
 from wikicells.options import OBSERVED
 from wikicells.plans.tables import write_records
+from wikicells.sources.files import dump_files, pair_files, without_glob
 from wikicells.sources.pages import read_pages
 
 
-def dump_records(spark: SparkSession, path: str, dialect: str = OBSERVED) -> DataFrame:
-    """All result rows of a dump file or folder, by one narrow pass."""
+def paired_files(spark: SparkSession, folder: str) -> list[str]:
+    """The data files of a folder that have an index file, as paths for Spark's readers.
+
+    Like any listing, this is as long as there are files.
+    """
+    pairs = pair_files(dump_files(spark, without_glob(folder)))
+    paths = [without_glob(row.data_path) for row in pairs.select("data_path").collect()]
+    if not paths:
+        raise ValueError(f"{folder} has no data file with an index file")
+    return sorted(paths)
+
+
+def dump_records(spark: SparkSession, path: str | list[str], dialect: str = OBSERVED) -> DataFrame:
+    """All result rows of dump files or a folder, by one narrow pass.
+
+    Rows with ``corrupt`` are pages with tables that could not be read.
+    """
     pages = read_pages(spark, path, with_tables_only=True)
     return parse_records(extract_tables(pages, dialect), dialect)
 
 
-def parse_dump(spark: SparkSession, path: str, dialect: str = OBSERVED) -> ParsedTables:
-    """A dump file or folder to its two result tables, lazily."""
-    pages = read_pages(spark, path, with_tables_only=True)
-    return parse_tables(extract_tables(pages, dialect), dialect)
+def parse_dump(spark: SparkSession, path: str | list[str], dialect: str = OBSERVED) -> ParsedTables:
+    """Dump files or a folder to their two result tables, lazily.
+
+    Each of the two reads and parses the dump; to have both from one pass, use
+    ``dump_records`` or ``load_dump``.
+    """
+    records = dump_records(spark, path, dialect).where("corrupt IS NULL")
+    return ParsedTables(info_of(records.where(F.col("row") < 0)), data_of(records.where(F.col("row") >= 0)))
 
 
 def load_dump(
@@ -27,10 +48,19 @@ def load_dump(
     out: str,
     mode: str = "errorifexists",
     dialect: str = OBSERVED,
+    paired: bool = True,
+    target_bytes: int | None = None,
 ) -> None:
     """Load a dump into result tables at ``out``.
 
+    Of the folder ``path``, the data files that have an index file are loaded,
+    under the dump's name. With ``paired=False``, all of ``path`` is: a file, or
+    every file of a folder that is named like XML.
+
     ``mode`` is ``errorifexists`` for a new database and ``append`` to add to an
-    existing one, which keeps what is there and does not look for duplicates.
+    existing one, however it was made, which keeps what is there and does not
+    look for duplicates. Pages with tables that cannot be read are kept aside,
+    see ``read_rejected``. ``target_bytes``: see ``write_records``.
     """
-    write_records(dump_records(spark, path, dialect), out, mode)
+    files = paired_files(spark, path) if paired else path
+    write_records(dump_records(spark, files, dialect), out, mode, target_bytes=target_bytes)

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wikicells.operators.compare import same_rows
+from wikicells.operators.compare import diff_rows
 from wikicells.operators.parse import parse_tables
 from wikicells.options import OBSERVED
 from wikicells.plans.tables import DATA_SCHEMA, INFORMATION_SCHEMA
@@ -16,9 +16,12 @@ RECORD_SCHEMA = (
 )
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Records of a JSON file that holds an array of them."""
-    return spark.read.schema(RECORD_SCHEMA).option("multiLine", True).json(path)
+def read_records(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Records of a JSON file that holds an array of them; with ``lines``, one to a line, in any number of files.
+
+    An array is read in one task. It suits a file of test cases, lines suit more.
+    """
+    return spark.read.schema(RECORD_SCHEMA).option("multiLine", not lines).json(path)
 
 
 def raw_of_records(records: DataFrame) -> DataFrame:
@@ -48,10 +51,15 @@ def expected_data(records: DataFrame) -> DataFrame:
     return rows.select(*_columns("r", DATA_SCHEMA))
 
 
-def check_records(spark: SparkSession, path: str, dialect: str = OBSERVED) -> bool:
+def check_records(spark: SparkSession, path: str, dialect: str = OBSERVED, lines: bool = False) -> bool:
     """Whether parsing the raw tables of a record file gives its expected rows."""
-    records = read_records(spark, path)
+    return all(diff.isEmpty() for diff in record_differences(spark, path, dialect, lines))
+
+
+def record_differences(
+    spark: SparkSession, path: str, dialect: str = OBSERVED, lines: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Information and data rows that differ, as ``diff_rows`` gives them; each reads the file twice."""
+    records = read_records(spark, path, lines)
     parsed = parse_tables(raw_of_records(records), dialect)
-    return same_rows(parsed.info, expected_information(records)) and same_rows(
-        parsed.data, expected_data(records)
-    )
+    return diff_rows(parsed.info, expected_information(records)), diff_rows(parsed.data, expected_data(records))

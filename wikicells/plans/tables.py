@@ -1,12 +1,14 @@
-"""The two result tables on disk and in SQL."""
+"""The result tables on disk and in SQL."""
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-INFORMATION, DATA = "wikitable_information", "wikitable_data"
+INFORMATION, DATA, REJECTED = "wikitable_information", "wikitable_data", "rejected_pages"
 
 INFORMATION_SCHEMA = (
     "page_name STRING, table_name STRING, table_attributes STRING, "
@@ -16,20 +18,28 @@ DATA_SCHEMA = (
     "table_name STRING, row INT, col INT, cell_data STRING, cell_attributes STRING, "
     "is_header INT, row_span BIGINT, col_span BIGINT"
 )
-_KIND = "result"
+# One folder for the rows of a dump, of a load (a batch load, or a batch of an
+# incremental one), of a table.
+_DUMP, _LOAD, _KIND = "dump_id", "load", "result"
+_STORED = f"{_DUMP} STRING, {_LOAD} STRING, {_KIND} STRING, {INFORMATION_SCHEMA}, {DATA_SCHEMA.split(',', 1)[1]}, page STRING"
 
 
-def as_stored(records: DataFrame) -> DataFrame:
-    """Records of ``parse_records`` with the columns of both result tables.
+def as_stored(records: DataFrame, load: str) -> DataFrame:
+    """Records of ``parse_records`` with the columns of all result tables.
 
-    The columns of the other table are null, which takes no space in Parquet.
+    The columns of the other tables are null, which takes no space in Parquet.
     """
+    dump_id = F.col(_DUMP) if _DUMP in records.columns else F.lit("unknown")
+    corrupt = F.col("corrupt") if "corrupt" in records.columns else F.lit(None).cast("string")
     is_info = F.col("row") < 0
+    is_data = F.col("row") >= 0
     info_only = lambda col: F.when(is_info, F.col(col))
-    data_only = lambda col: F.when(~is_info, F.col(col))
+    data_only = lambda col: F.when(is_data, F.col(col))
     return records.select(
-        F.when(is_info, F.lit(INFORMATION)).otherwise(F.lit(DATA)).alias(_KIND),
-        "table_name",
+        dump_id.alias(_DUMP),
+        F.lit(load).alias(_LOAD),
+        F.when(corrupt.isNotNull(), F.lit(REJECTED)).when(is_info, F.lit(INFORMATION)).otherwise(F.lit(DATA)).alias(_KIND),
+        F.when(corrupt.isNull(), F.col("table_name")).alias("table_name"),
         info_only("page_name").alias("page_name"),
         info_only("table_attributes").alias("table_attributes"),
         info_only("cell_data").alias("caption"),
@@ -38,51 +48,95 @@ def as_stored(records: DataFrame) -> DataFrame:
             data_only(col).alias(col)
             for col in ("row", "col", "cell_data", "cell_attributes", "is_header", "row_span", "col_span")
         ),
+        corrupt.alias("page"),
     )
 
 
 @contextmanager
-def one_file_per_table(spark: SparkSession) -> Iterator[None]:
-    """Let a task keep a file per result table open, so it need not sort its rows."""
-    key = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(key)
-    spark.conf.set(key, 2)
+def settings(spark: SparkSession, values: dict[str, object]) -> Iterator[None]:
+    """Session settings for as long as the block lasts."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, str(value))
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
 
 
-def write_records(records: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write both result tables in one job.
+def check_layout(spark: SparkSession, path: str) -> None:
+    """Fails if a file sink wrote to ``path``: readers would see nothing but the files in its log."""
+    try:
+        spark.read.text(f"{path.rstrip('/')}/_spark_metadata")
+    except AnalysisException:
+        return
+    raise ValueError(f"{path} holds the log of a file sink, next to which other loads would not be seen")
+
+
+def write_records(
+    records: DataFrame, path: str, mode: str = "errorifexists", load: str | None = None, target_bytes: int | None = None
+) -> None:
+    """Write all result tables in one job.
 
-    The dump is read and parsed once, and one commit makes both tables visible.
+    The dump is read and parsed once, and one commit makes the tables visible.
+    A load gets a folder of its own, so loads of any kind add up in one
+    database; with ``load``, rows that a load of this name has written before
+    are replaced, which makes it safe to repeat.
+
+    Without ``target_bytes`` a task writes its rows where they are, a file per
+    table: many files when splits are small. With it, rows are shuffled into
+    files of about that size (of rows before compression).
     """
-    with one_file_per_table(records.sparkSession):
-        as_stored(records).write.mode(mode).partitionBy(_KIND).parquet(path)
+    spark = records.sparkSession
+    check_layout(spark, path)
+    stored = as_stored(records, load or f"batch-{uuid.uuid4().hex}")
+    # A task keeps a file per table open, so it need not sort its rows.
+    values: dict[str, object] = {"spark.sql.maxConcurrentOutputFileWriters": 8}
+    if target_bytes:
+        stored = stored.hint("rebalance", _DUMP, _KIND)
+        values["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = target_bytes
+    with settings(spark, values):
+        writer = stored.write.mode("overwrite" if load else mode).partitionBy(_DUMP, _LOAD, _KIND)
+        if load:
+            writer = writer.option("partitionOverwriteMode", "dynamic")
+        writer.parquet(path)
 
 
 def create_tables(spark: SparkSession, path: str) -> None:
-    """Create both result tables, empty; fails if there is something at ``path``."""
-    stored = f"{_KIND} STRING, {INFORMATION_SCHEMA}, {DATA_SCHEMA.split(',', 1)[1]}"
-    spark.createDataFrame([], stored).write.mode("errorifexists").partitionBy(_KIND).parquet(path)
+    """Create the result tables, empty; fails if there is something at ``path``."""
+    spark.createDataFrame([], _STORED).write.mode("errorifexists").partitionBy(_DUMP, _LOAD, _KIND).parquet(path)
+
 
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    check_layout(spark, path)
+    return spark.read.schema(_STORED).parquet(path)
 
-def read_tables(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """``(information, data)`` as written by a load, batch or incremental."""
-    stored = f"{_KIND} STRING, {INFORMATION_SCHEMA}, {DATA_SCHEMA.split(',', 1)[1]}"
-    rows = spark.read.schema(stored).parquet(path)
+
+def read_tables(spark: SparkSession, path: str, with_dump_id: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``(information, data)`` as written by all loads, batch and incremental.
+
+    Table names are unique within a dump; ``with_dump_id`` adds ``dump_id``, by
+    which dumps are told apart, and a filter on it reads only their files.
+    """
+    rows = _stored(spark, path)
 
     def columns(schema: str) -> list[str]:
-        return [field.split()[0] for field in schema.split(", ")]
+        return [_DUMP] * with_dump_id + [field.split()[0] for field in schema.split(", ")]
 
     information = rows.where(F.col(_KIND) == INFORMATION).select(columns(INFORMATION_SCHEMA))
     data = rows.where(F.col(_KIND) == DATA).select(columns(DATA_SCHEMA))
     return information, data
 
 
+def read_rejected(spark: SparkSession, path: str) -> DataFrame:
+    """``(dump_id, page)``: the XML of pages with tables that loads could not read."""
+    return _stored(spark, path).where(F.col(_KIND) == REJECTED).select(_DUMP, "page")
+
+
 def register_views(spark: SparkSession, path: str) -> None:
-    """Make both result tables queryable by name in Spark SQL."""
-    information, data = read_tables(spark, path)
+    """Make the result tables queryable by name in Spark SQL, with ``dump_id``."""
+    information, data = read_tables(spark, path, with_dump_id=True)
     information.createOrReplaceTempView(INFORMATION)
     data.createOrReplaceTempView(DATA)
+    read_rejected(spark, path).createOrReplaceTempView(REJECTED)

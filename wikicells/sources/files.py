@@ -1,6 +1,8 @@
 """The files of a dump folder."""
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The name convention of multistream dumps,
@@ -10,16 +12,36 @@ _KIND = r"\.([^.\-/]+)-[^-/]+$"
 _DUMP_ID = r"([^/]+?-\d{8}-pages-articles-multistream)"
 
 
+def plain_path(encoded: Column) -> Column:
+    """A file path as ``_metadata.file_path`` has it, percent-encoded, in plain form.
+
+    All paths of this package's tables are plain ones, so they can be joined.
+    """
+    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+
+
+def dump_id_of(path: Column) -> Column:
+    """The dump a file belongs to, by its name; ``unknown`` for other names."""
+    found = F.regexp_extract(path, _DUMP_ID, 1)
+    return F.when(found == "", F.lit("unknown")).otherwise(found)
+
+
+def without_glob(path: str) -> str:
+    """A plain path for Spark's readers, which would take some characters as patterns."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def dump_files(spark: SparkSession, folder: str, pattern: str = "*.bz2") -> DataFrame:
     """The files of a folder, as ``describe_files`` gives them.
 
-    Only the listing is read, not the content.
+    Folders below are listed as well. Only the listing is read, not the content.
     """
     return describe_files(
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", True)
         .load(folder)
-        .select("path", "length")
+        .select(plain_path(F.col("_metadata.file_path")).alias("path"), "length")
     )
 
 

@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wikicells.sources.files import dump_id_of, plain_path
+
 # The page elements of the dump format that are used.
 PAGE_SCHEMA = (
     "title STRING, id BIGINT, revision STRUCT<text: STRUCT<_VALUE: STRING>>, "
@@ -19,8 +21,9 @@ def pages_of_chunks(chunks: DataFrame, with_tables_only: bool = False) -> DataFr
     """``value`` chunks that end before ``</page>`` to pages.
 
     What comes before ``<page>`` (the header of a dump) is cut off; a chunk
-    without it (the footer) is dropped. A page that is not well-formed XML
-    keeps its text in ``corrupt`` and has nulls elsewhere.
+    without it (the footer) is dropped. A page that is not well-formed XML or
+    has no title keeps its XML in ``corrupt`` and has nulls elsewhere.
+    ``dump_id`` goes along if there is one.
 
     ``with_tables_only`` drops pages without an opening table marker before
     they are decoded.
@@ -32,35 +35,46 @@ def pages_of_chunks(chunks: DataFrame, with_tables_only: bool = False) -> DataFr
     page = F.concat(
         F.substring(value, F.instr(value, PAGE_START), F.length(value)), F.lit(PAGE_END)
     )
-    decoded = kept.select(F.from_xml(page, PAGE_SCHEMA, _XML_OPTIONS).alias("page"))
+    known = [name for name in ("dump_id",) if name in chunks.columns]
+    decoded = kept.select(*known, page.alias("xml")).select(
+        *known, "xml", F.from_xml("xml", PAGE_SCHEMA, _XML_OPTIONS).alias("page")
+    )
+    titled = F.col("page._corrupt_record").isNull() & F.col("page.title").isNotNull()
     return decoded.select(
-        F.col("page.id").alias("page_id"),
-        F.col("page.title").alias("page_name"),
-        F.col("page.revision.text._VALUE").alias("text"),
-        F.col("page._corrupt_record").alias("corrupt"),
+        F.when(titled, F.col("page.id")).alias("page_id"),
+        F.when(titled, F.col("page.title")).alias("page_name"),
+        F.when(titled, F.col("page.revision.text._VALUE")).alias("text"),
+        F.when(~titled, F.col("xml")).alias("corrupt"),
+        *known,
     )
 
 
-def read_chunks(spark: SparkSession, path: str, pattern: str = DATA_FILES) -> DataFrame:
-    """The XML between page ends, one chunk per page.
+def with_dump_id(texts: DataFrame) -> DataFrame:
+    """``(value, dump_id)`` of a text source."""
+    return texts.select("value", dump_id_of(plain_path(F.col("_metadata.file_path"))).alias("dump_id"))
+
+
+def read_chunks(spark: SparkSession, path: str | list[str], pattern: str = DATA_FILES) -> DataFrame:
+    """The XML between page ends, one chunk per page, and the dump it is from.
 
     The text source splits bz2 files at block borders, so one file is read by
     many tasks. ``</page>`` cannot occur in a page text, where ``<`` is escaped.
     """
-    return (
+    return with_dump_id(
         spark.read.option("lineSep", PAGE_END).option("pathGlobFilter", pattern).text(path)
     )
 
 
-def read_pages(spark: SparkSession, path: str, with_tables_only: bool = False) -> DataFrame:
-    """``(page_id, page_name, text, corrupt)`` of a dump file or folder."""
+def read_pages(spark: SparkSession, path: str | list[str], with_tables_only: bool = False) -> DataFrame:
+    """``(page_id, page_name, text, corrupt, dump_id)`` of dump files or a folder."""
     return pages_of_chunks(read_chunks(spark, path), with_tables_only)
 
 
 def rejected_pages(spark: SparkSession, path: str) -> DataFrame:
-    """``(value)``: the pages of a dump that are not well-formed XML.
+    """``(value)``: the pages of a dump that are not well-formed XML or have no title.
 
-    A load skips them, so that one broken page does not stop it.
+    A load keeps those with tables aside, see ``read_rejected``, so that one
+    broken page does not stop it.
     """
     pages = read_pages(spark, path)
     return pages.where(F.col("corrupt").isNotNull()).select(F.col("corrupt").alias("value"))

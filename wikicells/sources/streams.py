@@ -7,28 +7,47 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from wikicells.sources.pages import PAGE_END, pages_of_chunks
+from wikicells.sources.files import dump_id_of
+from wikicells.sources.pages import PAGE_END, PAGE_START, pages_of_chunks
 
 # The functions below travel with the tasks: executors need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _READ_BYTES = 1 << 20
-_BATCH_CHUNKS = 256
+_BATCH_CHARACTERS = 8 << 20
+
+# Hadoop's names of stores, and Arrow's.
+_STORES = {
+    "": "file", "file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs",
+    "abfs": "abfs", "abfss": "abfss",
+}
 
 
 def _open(path: str):
+    from urllib.parse import quote
+
     from pyarrow import fs
 
-    # Spark writes local paths as file:/x, which is not a URI for Arrow.
-    if path.startswith("file:/") and not path.startswith("file://"):
-        path = path[len("file:"):]
-    if "://" not in path:
-        return fs.LocalFileSystem().open_input_file(path)
-    system, name = fs.FileSystem.from_uri(path)
+    scheme, colon, rest = path.partition(":")
+    if not colon or "/" in scheme:
+        scheme, rest = "", path
+    if _STORES.get(scheme) == "file":
+        return fs.LocalFileSystem().open_input_file("/" + rest.lstrip("/"))
+    # plain paths here, URIs there
+    system, name = fs.FileSystem.from_uri(f"{_STORES[scheme]}:{quote(rest, safe='/:@')}")
     return system.open_input_file(name)
 
 
+def check_stores(ranges: DataFrame) -> None:
+    """Fails on the driver if a path is in a store that the reader of byte ranges does not know."""
+    scheme = F.regexp_extract("data_path", r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
+    unknown = [r.scheme for r in ranges.select(scheme.alias("scheme")).distinct().where(~F.col("scheme").isin(*_STORES)).limit(9).collect()]
+    if unknown:
+        raise ValueError(f"byte ranges cannot be read from {', '.join(sorted(unknown))}; known are {', '.join(filter(None, _STORES))}")
+
+
 def _chunks_of_range(path: str, start: int, end: int) -> Iterator[str]:
     """Page chunks of the bytes ``[start, end)``, decompressed as they are read."""
     unzip, rest, mark = bz2.BZ2Decompressor(), b"", PAGE_END.encode()
@@ -37,7 +56,7 @@ def _chunks_of_range(path: str, start: int, end: int) -> Iterator[str]:
         while start < end:
             packed = source.read(min(_READ_BYTES, end - start))
             if not packed:
-                break
+                raise ValueError(f"{path} ends {end - start} bytes before its byte range")
             start += len(packed)
             while packed:
                 *pages, rest = (rest + unzip.decompress(packed)).split(mark)
@@ -45,24 +64,35 @@ def _chunks_of_range(path: str, start: int, end: int) -> Iterator[str]:
                 packed = unzip.unused_data
                 if unzip.eof:
                     unzip = bz2.BZ2Decompressor()
+    if PAGE_START.encode() in rest:  # a page that the stream cuts off
+        yield rest.decode("utf-8", "replace")
 
 
 def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[str] = []
+    def packed(dump: str, held: list[str]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"value": held, "dump_id": [dump] * len(held)})
+
     for batch in batches:
         for row in batch.to_pylist():
+            held: list[str] = []
+            size = 0
             for chunk in _chunks_of_range(row["data_path"], row["start"], row["end"]):
                 held.append(chunk)
-                if len(held) >= _BATCH_CHUNKS:
-                    yield pa.RecordBatch.from_pydict({"value": held})
-                    held = []
-    if held:
-        yield pa.RecordBatch.from_pydict({"value": held})
+                size += len(chunk)
+                if size >= _BATCH_CHARACTERS:
+                    yield packed(row["dump_id"], held)
+                    held, size = [], 0
+            if held:
+                yield packed(row["dump_id"], held)
 
 
 def read_streams(ranges: DataFrame, partitions: int | None = None, with_tables_only: bool = False) -> DataFrame:
     """Pages of the streams in ``ranges(data_path, start, end)``.
 
+    Local files, HDFS, S3, Google and Azure stores can be read by byte range;
+    another one raises an error here. A range that its file does not hold stops
+    the job, a page cut off by the end of its range is kept as corrupt.
+
     The rows are few and small but each stands for about 100 pages of work, so
     they are spread over a fixed number of tasks, which adaptive execution does
     not merge.
@@ -73,6 +103,7 @@ def read_streams(ranges: DataFrame, partitions: int | None = None, with_tables_o
             spark.sparkContext.defaultParallelism * 4,
             int(spark.conf.get("spark.sql.shuffle.partitions")),
         )
-    spread = ranges.select("data_path", "start", "end").repartition(partitions, "data_path", "start")
-    chunks = spread.mapInArrow(_read_batches, "value string")
+    check_stores(ranges)
+    named = ranges.select("data_path", dump_id_of(F.col("data_path")).alias("dump_id"), "start", "end")
+    chunks = named.repartition(partitions, "data_path", "start").mapInArrow(_read_batches, "value string, dump_id string")
     return pages_of_chunks(chunks, with_tables_only)
