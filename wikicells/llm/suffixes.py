@@ -220,16 +220,16 @@ def repeated_spans(docs: DataFrame, threshold: int = 200) -> DataFrame:
     """
     texts = _texts(docs)
     found = settle(texts.where(F.octet_length("text") >= threshold).select("doc", "print", "text").mapInArrow(_find(threshold), _ANCHOR))
-    often = found.groupBy("gram").count().where("count > 1").select("gram")
+    # settled counts are joined anew, so that Spark can split a gram that is very common
+    often = settle(found.groupBy("gram").count().where("count > 1").select("gram"))
     found = settle(found.join(often, "gram", "left_semi"))
     one = F.min(F.struct("doc", "print", "place", "low", "high")).alias("one")
-    classes = found.groupBy("gram", "cover").agg(F.count("*").alias("n"), one)
-    kinds = classes.groupBy("gram").agg(F.count("*").alias("kinds"))
-    classes = settle(classes.join(kinds, "gram"))
+    classes = settle(found.groupBy("gram", "cover").agg(F.count("*").alias("n"), one))
+    kinds = settle(classes.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1"))
     whole = found.join(classes.where("n > 1").select("gram", "cover"), ["gram", "cover"]).select(
         "doc", "print", F.col("low").alias("start"), (F.col("high") + threshold).alias("end")
     )
-    wanted = classes.where("kinds > 1").groupBy("one.doc", "one.print").agg(F.collect_list(
+    wanted = classes.join(kinds, "gram").groupBy("one.doc", "one.print").agg(F.collect_list(
         F.struct("gram", "one.low", "one.high", (F.col("n") == 1).alias("single"), (F.col("kinds") > CROWD).alias("crowded"))
     ).alias("wanted"))
     contexts = settle(texts.join(wanted, ["doc", "print"]).mapInArrow(_cut(threshold), _CONTEXT))
