@@ -13,7 +13,8 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     Large-star ties the larger neighbours of every node to its smallest neighbour, small-star the
     smaller ones; in the end all links are stars around the smallest ids. Every round settles its
-    links. A node with very many links is only aggregated and joined, both of which Spark splits.
+    links, and the smallest neighbours before they are joined, so that Spark can split the links of
+    a node with very many.
     Null ids and self-links are no links; repeated links count once. No links give no rows.
     """
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct()
@@ -21,7 +22,7 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     before = None
     for _ in range(most_rounds):
         both = edges.union(edges.select("v", "u"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        least = settle(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")))
         edges = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = edges.groupBy("u").agg(F.min("v").alias("m"))
         joined = edges.join(least, "u")
