@@ -148,6 +148,31 @@ ORACLES = {
                     ELSE (sqrt((1 - slope) * (1 - slope) + 4 * slope * (ahead / target)) - (1 - slope)) / (2 * slope) END
             END AS position
         FROM taken""",
+    "op5_sharding": r"""
+        WITH crc AS (
+            SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+                lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS step
+        ), docs AS (
+            SELECT doc_id, source, strlen(coalesce(text, '')) + 1 AS size, hex(coalesce(text, '')) AS hex,
+                md5('interleave:' || coalesce(doc_id::VARCHAR, '')) AS key
+            FROM documents
+        ), summed AS (
+            SELECT * EXCLUDE (hex, step), xor(4294967295, list_reduce(
+                list_prepend(4294967295::BIGINT, list_transform(range(1, len(hex), 2), lambda i: ('0x' || substr(hex, i, 2))::BIGINT)),
+                lambda c, b: xor(c >> 8, step[xor(c & 255, b) + 1]))) AS text_crc32
+            FROM docs CROSS JOIN crc
+        ), ranked AS (
+            SELECT *, (2 * row_number() OVER (PARTITION BY source ORDER BY key, doc_id, text_crc32, size) - 1)
+                / (2.0::DOUBLE * count(*) OVER (PARTITION BY source)) AS fraction
+            FROM summed
+        ), placed AS (
+            SELECT *, row_number() OVER (ORDER BY fraction, source NULLS LAST) - 1 AS place, count(*) OVER () AS n FROM ranked
+        ), cut AS (
+            SELECT *, place * 8 // n AS shard FROM placed
+        )
+        SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'rows' AS law, shard::INT AS shard,
+            (place - (shard * n + 7) // 8)::BIGINT AS slot, NULL::DOUBLE AS grown_shard, source
+        FROM cut""",
     "op7_near_dedup": r"""
         WITH RECURSIVE words AS (
             SELECT doc_id, regexp_extract_all(
