@@ -30,6 +30,8 @@ from wikicells.llm.scratch import settle
 GRAM = 64
 #: Bytes of a text that are hashed at a time.
 CHUNK = 1 << 21
+#: Texts that a task works on at a time.
+SLICE = 512
 #: Classes of a gram whose windows are compared in one task; those of commoner grams are counted by Spark.
 CROWD = 4096
 #: Bytes of contexts that a task compares at a time, at least one gram.
@@ -85,12 +87,18 @@ def anchors(raw: np.ndarray, threshold: int) -> tuple[np.ndarray, ...]:
     return place, low, high, grams[place], _hashes(sums, low, high + threshold, 0)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 _ANCHOR = "doc long, print long, place long, low long, high long, gram long, cover long"
 
 
 def _find(threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             found = []
             for i, text in enumerate(batch.column("text")):
                 raw = np.frombuffer(text.as_buffer(), np.uint8)
@@ -112,7 +120,7 @@ _CONTEXT = "gram long, doc long, print long, low long, context binary, single bo
 def _cut(threshold: int):
     """Contexts of a document's anchors: the bytes that their windows cover."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             rows, contexts, of = [], [], batch.column("wanted")
             for row in range(batch.num_rows):
                 raw = memoryview(batch.column("text")[row].as_buffer())
@@ -270,7 +278,7 @@ def without_repeats(docs: DataFrame, threshold: int = 200) -> DataFrame:
     spans = repeated_spans(docs, threshold).groupBy("doc", "print").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             out = []
             for i in range(batch.num_rows):
                 raw, spans = memoryview(batch.column("text")[i].as_buffer()), batch.column("spans")[i].as_py()
