@@ -265,3 +265,16 @@ def test_untitled_pages_are_corrupt(spark):
     chunks = spark.createDataFrame([("<page><id>1</id><revision><text>\n{| x |}</text></revision>",)], "value string")
     (row,) = pages_of_chunks(chunks).collect()
     assert (row.page_id, row.page_name, row.text) == (None, None, None) and "<id>1</id>" in row.corrupt
+
+
+def test_streams_of_many_blocks(spark, folder, split_bytes):
+    """Streams whose blocks are spread over splits give every page once."""
+    noise = random.Random(1)
+    filler = ["".join(noise.choices("abcdefgh é\n", k=30_000)) for _ in range(7)]
+    pages = [(i, f"P{i}", f"\n{{| t\n| {i}\n|}}\n{filler[i % 7][i:]}") for i in range(120)]
+    write_multistream(folder, "p0p119", iter(pages), per_stream=60)
+    for size in (40_000, 150_000):
+        split_bytes(size)
+        assert read_chunks(spark, folder).rdd.getNumPartitions() > 3
+        rows = wc.read_pages(spark, folder).select("page_id", "page_name", "text").collect()
+        assert sorted(map(tuple, rows)) == pages
