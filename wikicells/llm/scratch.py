@@ -20,12 +20,19 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def settle(df: DataFrame) -> DataFrame:
+def settle(df: DataFrame, batch_rows: int | None = None) -> DataFrame:
     """Writes the rows as a table in the shared folder and reads them back.
 
     The table outlives the loss of any executor. It stays until the cluster clears the folder, as a
-    lazy result may still read it.
+    lazy result may still read it. `batch_rows` bounds the rows that go to Python at a time, for rows
+    of whole texts.
     """
-    path = f"{shared_folder(df.sparkSession)}/wikicells-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    path, before = f"{shared_folder(spark)}/wikicells-{uuid.uuid4().hex}", spark.conf.get(key)
+    try:
+        if batch_rows:
+            spark.conf.set(key, batch_rows)
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(key, before)
+    return spark.read.schema(df.schema).parquet(path)
