@@ -227,7 +227,7 @@ def repeated_spans(docs: DataFrame, threshold: int = 200) -> DataFrame:
     for null, and `print` tells rows of one doc_id apart by a hash of the text.
     """
     texts = _texts(docs)
-    found = settle(texts.where(F.octet_length("text") >= threshold).select("doc", "print", "text").mapInArrow(_find(threshold), _ANCHOR))
+    found = settle(texts.where(F.octet_length("text") >= threshold).select("doc", "print", "text").mapInArrow(_find(threshold), _ANCHOR), SLICE)
     # settled counts are joined anew, so that Spark can split a gram that is very common
     often = settle(found.groupBy("gram").count().where("count > 1").select("gram"))
     found = settle(found.join(often, "gram", "left_semi"))
@@ -240,7 +240,7 @@ def repeated_spans(docs: DataFrame, threshold: int = 200) -> DataFrame:
     wanted = classes.join(kinds, "gram").groupBy("one.doc", "one.print").agg(F.collect_list(
         F.struct("gram", "one.low", "one.high", (F.col("n") == 1).alias("single"), (F.col("kinds") > CROWD).alias("crowded"))
     ).alias("wanted"))
-    contexts = settle(texts.join(wanted, ["doc", "print"]).mapInArrow(_cut(threshold), _CONTEXT))
+    contexts = settle(texts.join(wanted, ["doc", "print"]).mapInArrow(_cut(threshold), _CONTEXT), SLICE)
     quiet = contexts.where("NOT crowded").repartition("gram").sortWithinPartitions("gram")
     quiet = quiet.mapInArrow(_compare(threshold), "doc long, print long, start long, end long")
     keys = ["gram", "hash_1", "hash_2"]
