@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wikicells.llm.vectors import QUERIES, ROWS, best, blocks, matrix, smallest, tiles, usable
+from wikicells.llm.vectors import QUERIES, ROWS, best, blocks, matrix, tiles, usable
 
 #: Rounding of bounds, relative; far above that of double precision.
 SLACK = 1e-9
@@ -59,13 +61,13 @@ def _tile(k: int):
                 other = np.flatnonzero(row != query_row[i])
                 if len(other) > k:
                     other = other[low[i][other] <= np.partition(high[i][other], k - 1)[k - 1]]
-                score = np.full(len(rows), np.inf)
-                score[other] = distances(queries[i], rows[other])
-                found = smallest(other, score, ids, k)
-                out.append((np.full(len(found), query_row[i]), row[found], ids[found], score[found]))
-        query_row, row, ids, score = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0),) * 4
-        ids = pa.array(ids.astype(np.int64), mask=ids == NO_ID)
-        return pa.table({"query_row": query_row.astype(np.int64), "row": row.astype(np.int64), "vec_id": ids, "score": score.astype(np.float64)})
+                survivors = zip(distances(queries[i], rows[other]).tolist(), ids[other].tolist(), row[other].tolist(), strict=True)
+                out += [(int(query_row[i]), *hit) for hit in heapq.nsmallest(k, survivors)]
+        query_row, score, ids, row = zip(*out, strict=True) if out else ((),) * 4
+        return pa.table({
+            "query_row": pa.array(query_row, pa.int64()), "row": pa.array(row, pa.int64()),
+            "vec_id": pa.array([None if i == NO_ID else i for i in ids], pa.int64()), "score": pa.array(score, pa.float64()),
+        })
 
     return run
 
@@ -76,7 +78,8 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
     Queries and rows are cut into blocks; a pair of blocks is a tile and a task. In it int8 products
     give each distance up to the quantisation errors of the two vectors; rows whose lower bound
     exceeds the k-th least upper bound are out, the others' distances are computed from the original
-    vectors in double precision. A tile hands on its k first answers a query, and those are merged.
+    vectors in double precision. A heap keeps the k first answers of a query and tile, and those of
+    all tiles are merged.
 
     Queries are rows whose vec_id is divisible by `every`; candidates are all other rows (a repeated
     vec_id is another row), also such of null vec_id. Ties go to the smaller vec_id, null last. Null,
