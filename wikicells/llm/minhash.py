@@ -20,6 +20,8 @@ BLOCK = 150_000
 DOCUMENTS = 512
 #: Columns of the matrices that are multiplied at a time.
 COLUMNS = 4096
+#: Texts that go to Python at a time.
+SLICE = 1024
 #: Hashes that are minimised at a time.
 CHUNK = 1 << 18
 
@@ -192,7 +194,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     otherwise. An empty table gives no rows. Other columns are left out.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = settle(signatures(texts, words, bands, rows))
+    signed = settle(signatures(texts, words, bands, rows), SLICE)
     prints = ["print_1", "print_2", "n_shingles"]
     classes = settle(
         signed.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy(*prints).agg(
