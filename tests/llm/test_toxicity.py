@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -80,6 +81,17 @@ def test_held_out_labels_are_not_learned(corpus):
     assert a.entries == b.entries and a.logistic.tolist() == b.logistic.tolist()
 
 
+def test_only_copies_of_one_label_are_left_out(spark):
+    head, tail = "from the archive of the town hall , page", "all rights reserved by the town hall archive ."
+    texts = [f"{head} {body} {tail}" for body in ("you grubber", "you grubber", "a quiet walk", "two fopdoodles met", "a fine day")]
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 3 != 1][:6]
+    docs = spark.createDataFrame(list(zip(ids, [*texts, texts[2]], strict=True)), "doc_id long, text string")
+    labels = spark.createDataFrame(list(zip(ids, [1, 1, 0, 1, 0, 1], strict=True)), "doc_id long, toxic int")
+    found, counts = toxicity.training_texts(docs, labels, 100)
+    expected = [(texts[0], 1), (texts[2], 0), (texts[2], 1), (texts[3], 1), (texts[4], 0)]
+    assert sorted(map(tuple, found.collect())) == sorted(expected) and counts == {0: 2, 1: 4}
+
+
 def test_misspelled_and_quoted(spark, corpus):
     model = learn(*corpus)
     texts = ["you grubber and snollygoster", "you grubbar, you snolygoster, fopdoddle and scober", 'he wrote "grubber" and "snollygoster"', None, ""]

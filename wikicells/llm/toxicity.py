@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wikicells.llm.scratch import settle
@@ -178,8 +178,8 @@ def held_out(doc_id):
 def training_texts(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[DataFrame, dict[int, int]]:
     """(text, toxic) of at most `sample` labelled documents a class, none held out, and all such labels' counts.
 
-    The sample is that of the least hashes of doc_id. Of documents that begin or end with the same
-    eight words one stays, so that many copies of a text do not count as many.
+    The sample is that of the least hashes of doc_id. Equal texts of one label count as one, so that
+    many copies of a text do not count as many.
     """
     known = labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.max("toxic").cast("int").alias("toxic")
@@ -189,14 +189,7 @@ def training_texts(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[Dat
     chosen = [known.where(F.col("toxic") == t).orderBy(order, "doc_id").limit(sample) for t in (0, 1)]
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = texts.join(F.broadcast(chosen[0].union(chosen[1])), "doc_id").where("text IS NOT NULL")
-    ends = F.split(F.trim("text"), r"\s+")
-    texts = settle(texts.select("doc_id", "text", "toxic", *(
-        F.md5(F.concat_ws(" ", part)).alias(name) for name, part in (("head", F.slice(ends, 1, 8)), ("tail", F.slice(F.reverse(ends), 1, 8)))
-    )))
-    for name in ("head", "tail"):
-        window = Window.partitionBy(name).orderBy("doc_id", "toxic", "text")
-        texts = texts.withColumn("n", F.row_number().over(window)).where("n = 1").drop("n")
-    return settle(texts.select("text", "toxic")), counts
+    return settle(texts.select("text", "toxic").distinct()), counts
 
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
