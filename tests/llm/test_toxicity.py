@@ -92,6 +92,15 @@ def test_only_copies_of_one_label_are_left_out(spark):
     assert sorted(map(tuple, found.collect())) == sorted(expected) and counts == {0: 2, 1: 4}
 
 
+def test_rare_terms_of_large_samples_are_learned(spark):
+    # 8 toxic documents of 1,600 hold the term, no clean one of 16,000
+    ids = [i for i in range(30_000) if zlib.crc32(str(i).encode()) % 3 != 1][:17_600]
+    rows = [(i, f"plain text {n}" + (" zounderkite" if n < 8 else " grubber" if n < 1600 else ""), int(n < 1600)) for n, i in enumerate(ids)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = learn(df.select("doc_id", "text"), df.select("doc_id", "toxic"), sample=20_000)
+    assert {"zounderkite", "grubber"} <= set(model.entries)
+
+
 def test_misspelled_and_quoted(spark, corpus):
     model = learn(*corpus)
     texts = ["you grubber and snollygoster", "you grubbar, you snolygoster, fopdoddle and scober", 'he wrote "grubber" and "snollygoster"', None, ""]

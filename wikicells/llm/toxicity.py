@@ -18,6 +18,8 @@ from wikicells.llm.scratch import settle
 SAMPLE = 12_000
 #: Entries of the lexicon, at most.
 LEXICON = 2_000
+#: Toxic documents that hold an entry, at least, whatever the size of the sample.
+LEAST = 3
 #: Lengths of word starts that can be entries.
 STEMS = (3, 4, 5, 6, 7, 8)
 #: Words before and after a hit that are its context.
@@ -238,8 +240,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lexicon: int
     """Learns lexicon and weights from labelled documents that are not held out.
 
     Entries are words, and starts of words, that are surely commoner in toxic documents (the lower
-    bound of the log odds ratio), at least in one toxic document of a hundred. A misspelled hit
-    weighs half as much as the entry, a quoted one nothing, unless the sample says otherwise.
+    bound of the log odds ratio), in `LEAST` toxic documents or more at any size of the sample. A
+    misspelled hit weighs half as much as the entry, a quoted one nothing, unless the sample says
+    otherwise.
     """
     texts, counts = training_texts(docs, labels, sample)
     terms = texts.mapInArrow(_terms, "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
@@ -249,7 +252,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lexicon: int
         return Model([], np.zeros((0, 3)), np.array([-3.0 if not toxic else 3.0, 0, 0, 0]))
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1) / ((F.col("clean") + 0.5) / (clean + 1)))
     sure = odds - 1.64 * F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
-    rows = terms.where(F.col("toxic") >= max(3.0, 0.01 * toxic)).withColumn("sure", sure).where("sure > 2")
+    rows = terms.where(F.col("toxic") >= LEAST).withColumn("sure", sure).where("sure > 2")
     # of a word and its starts that say the same, the word goes first
     order = [F.desc("sure"), F.col("term").endswith("*"), F.length("term").desc(), "term"]
     entries = _lexicon([r["term"] for r in rows.orderBy(*order).limit(20 * lexicon).collect()], lexicon)
