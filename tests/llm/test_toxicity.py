@@ -101,6 +101,24 @@ def test_rare_terms_of_large_samples_are_learned(spark):
     assert {"zounderkite", "grubber"} <= set(model.entries)
 
 
+def test_words_stay_beside_their_start(spark):
+    assert toxicity._lexicon(["idiot*", "idiots", "idiotic*", "idio*", "idiot"], 9) == ["idiot*", "idiots", "idiot"]
+    ids = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 3 != 1][:1000]
+    forms = ["idiotic", "idiots", "idiotism"]
+    rows = [(i, f"plain text {n} " + (forms[n % 3] if n < 90 else ""), int(n < 90)) for n, i in enumerate(ids)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = learn(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    start = next(e for e in model.entries if e.endswith("*"))
+    assert {*forms} <= set(model.entries) and "idiotic".startswith(start[:-1])
+    automaton = Automaton(model.entries)
+    assert [automaton.match(w) for w in ("idiots", "id1ots", start[:-1] + "zzzzzz")] == [
+        (0, model.entries.index("idiots")), (1, model.entries.index("idiots")), (0, model.entries.index(start))
+    ]
+    # a start weighs what all words that it covers say
+    weights = model.weights[:, toxicity.PLAIN]
+    assert weights[model.entries.index(start)] >= weights[model.entries.index("idiots")] > 2
+
+
 def test_misspelled_and_quoted(spark, corpus):
     model = learn(*corpus)
     texts = ["you grubber and snollygoster", "you grubbar, you snolygoster, fopdoddle and scober", 'he wrote "grubber" and "snollygoster"', None, ""]

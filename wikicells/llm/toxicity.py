@@ -208,13 +208,18 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _lexicon(terms: list[str], most: int) -> list[str]:
-    """The surest terms, without such as begin with a word start taken before or are the start of a term taken before."""
+    """The surest terms, without word starts that begin with one taken before or are the start of a term taken before.
+
+    A word stays beside a start that covers it, as misspelled forms are found by words only.
+    """
     taken: list[str] = []
     starts: set[str] = set()
     inner: set[str] = set()
     for term in terms:
         text = term.rstrip("*")
-        if len(taken) < most and not any(text[:n] in starts for n in STEMS) and not (term.endswith("*") and text in inner):
+        if len(taken) == most:
+            break
+        if not term.endswith("*") or not (text in inner or any(text[:n] in starts for n in STEMS)):
             taken.append(term)
             inner.update(text[:n] for n in STEMS)
             if term.endswith("*"):
@@ -264,9 +269,13 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lexicon: int
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(flat, pa.list_(pa.int32()))], names=["toxic", "hits"])
 
     found = [(r["toxic"], [tuple(r["hits"][i : i + 3]) for i in range(0, len(r["hits"]), 3)]) for r in texts.mapInArrow(run, "toxic int, hits array<int>").collect()]
+    # the exact hits of a word are told of the start that covers it, too
+    number = {e: n for n, e in enumerate(entries)}
+    covering = {n: number[f"{e[:k]}*"] for n, e in enumerate(entries) if not e.endswith("*") for k in STEMS if len(e) > k and f"{e[:k]}*" in number}
     seen = np.zeros((2, len(entries), 3))
     for label, document in found:
-        for entry, kind in {(e, k) for e, k, _ in document}:
+        pairs = {(e, k) for e, k, _ in document}
+        for entry, kind in pairs | {(covering[e], k) for e, k in pairs if e in covering and k != MISSPELLED}:
             seen[label, entry, kind] += 1
     rate = (seen[1] + 0.5) / (toxic + 1) / ((seen[0] + 0.5) / (clean + 1))
     rate *= np.exp(-np.sqrt(1 / (seen[1] + 0.5) + 1 / (seen[0] + 0.5)))
