@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import string
 
 from wikicells.llm import secrets
 from wikicells.llm.secrets import KINDS, base_spans, digests, find_secrets, hidden, named_spans, pairs, redact
@@ -62,6 +64,18 @@ def test_long_texts_take_linear_time():
         base_spans(text), named_spans(text, 0.5)
 
 
+def test_literals_of_any_length_and_all_parts():
+    rng = random.Random(3)
+    key = "".join(rng.choices(string.ascii_letters + string.digits, k=50_000))
+    for text in (f'private_key = "{key}"', f"private_key = {key}", f"a = '{key}'\nprivate_key = a + a"):
+        assert [text[s:e] for s, _, e in named_spans(text, 0.5)] == [key] and key[-20:] not in hidden(text)
+    parts = [key[i : i + 8] for i in range(0, 800, 8)]
+    text = "private_key = " + " + ".join(f'"{p}"' for p in parts)
+    assert [text[s:e] for s, _, e in named_spans(text, 0.5)] == parts and pairs(text)[0].value == key[:800]
+    text = 'v = "aB3x"\n' + "v = v + v\n" * 3000 + 'secret_key = v + "Zq9"\n' + 'w = "qW7"\n' + 'w = w + "k2Xz81Pq"\n' * 3000 + "auth_key = w\n"
+    assert len(named_spans(text, 0.5)) == 3003
+
+
 def test_rows(spark, odd, nothing):
     df = odd.union(spark.createDataFrame([(50, TEXT, "en", "s", 1, 1, "k", 2.0, [1])], odd.schema))
     rows = {r.doc_id: r for r in digests(find_secrets(df)).collect()}

@@ -7,7 +7,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,14 +29,13 @@ OPERATOR = re.compile(r"(?::=|=>|[:=])(?![:=/~])")
 # What stands before an operator, from right to left: a type annotation, a quotation mark, an index, the name.
 TARGET = re.compile(r"""[ \t]*(?:[\w.<>\[\]]{1,40}[ \t]*:[ \t]*)?["']?(?:\]["']([\w.-]{1,64})["']\[)?([\w$.>-]{0,64}[A-Za-z_$])""", re.A)
 SPACE = re.compile(r"[ \t]*")
-QUOTED = re.compile(r'''[rbuf]{0,2}(?:"((?:[^"\\\n]|\\.){0,4096})"|'((?:[^'\\\n]|\\.){0,4096})'|`((?:[^`\\\n]|\\.){0,4096})`)''', re.I | re.A)
+# Possessive loops, which take linear time: between two quotation marks of a kind each character is read once.
+QUOTED = re.compile(r'''[rbuf]{0,2}(?:"((?:[^"\\\n]++|\\.)*+)"|'((?:[^'\\\n]++|\\.)*+)'|`((?:[^`\\\n]++|\\.)*+)`)''', re.I | re.A)
 NAME = re.compile(r"[A-Za-z_$][\w$]{0,63}(?:\.[A-Za-z_]\w{0,63}){0,4}(?![\w$.(\[/+=-])", re.A)
-BARE = re.compile(r"""[^\s"'`,;(){}\[\]<>#|]{1,4096}""")
+BARE = re.compile(r"""[^\s"'`,;(){}\[\]<>#|]++""")
 JOIN = re.compile(r"[ \t]*(?:\+|\.\.|\.)[ \t]*(?=[\"'`A-Za-z_$])")
 #: Characters before an operator that may belong to its target.
 REACH = 120
-#: Parts of a joined literal that are followed.
-PARTS = 16
 #: How much the words of a target name tell of a secret.
 SENSITIVE = {
     "password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 0.9, "pw": 0.9, "secret": 1.0, "token": 0.9, "apikey": 1.0,
@@ -50,18 +49,78 @@ HARMLESS = {
     "count", "field", "file", "filename", "header", "hint", "id", "label", "length", "limit", "max", "min", "name", "path",
     "placeholder", "policy", "prompt", "public", "regex", "size", "type", "url",
 }
-#: Values that stand for a secret without being one.
-PLACEHOLDER = re.compile(r"(?i)^(?:(?:your|my|some|the)[-_ ].*|.*(?:example|changeme|change[-_]me|placeholder|redacted).*|x+|\*+|\.+|none|null|true|false|undefined|test|dummy|todo|[<$%{].*)$")
+#: Values that stand for a secret without being one: by how they begin, by what they mention, or as a whole.
+BEGINS = re.compile(r"(?i)(?:your|my|some|the)[-_ ]|[<$%{]")
+MENTIONS = re.compile(r"(?i)example|changeme|change[-_]me|placeholder|redacted")
+STANDS = re.compile(r"(?i)(?:none|null|true|false|undefined|test|dummy|todo)$")
+#: Characters at the ends of a value that are kept to judge joined values; no match of the patterns above is longer.
+EDGE = 16
 PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
 
 @dataclass(frozen=True)
+class Look:
+    """What tells whether a value is a secret. Looks of joined values come from those of their parts."""
+    size: int
+    counts: Counter
+    head: str
+    tail: str
+    mentions: bool
+
+    @staticmethod
+    def of(value: str) -> Look:
+        return Look(len(value), Counter(value), value[:EDGE], value[-EDGE:], bool(MENTIONS.search(value)))
+
+
+@dataclass(frozen=True, eq=False)
 class Pair:
-    """A literal, or a part of one, that an assignment gives to a name."""
+    """A literal, or literals joined, that an assignment gives to a name.
+
+    Parts are spans of literals in the text, and pairs whose names stand there. These are referred
+    to, never copied: a name that is joined to itself again and again stands for ever more spans.
+    """
     name: str
-    value: str
-    spans: tuple[tuple[int, int], ...]
+    parts: tuple[tuple[int, int] | Pair, ...]
     quoted: bool
+    look: Look
+    text: str = field(repr=False)
+
+    def leaves(self, seen: set[int] | None = None) -> Iterator[tuple[int, int]]:
+        """Spans of literals in order; with `seen`, each pair once, those in it not at all."""
+        todo = [self]
+        while todo:
+            part = todo.pop()
+            if not isinstance(part, Pair):
+                yield part
+            elif seen is None or id(part) not in seen:
+                if seen is not None:
+                    seen.add(id(part))
+                todo.extend(reversed(part.parts))
+
+    @property
+    def value(self) -> str:
+        return "".join(self.text[start:end] for start, end in self.leaves())
+
+    @property
+    def spans(self) -> tuple[tuple[int, int], ...]:
+        return tuple(dict.fromkeys(self.leaves(set())))
+
+
+def joined(looks: list[Look]) -> Look:
+    """The look of the values one after another."""
+    if len(looks) == 1:
+        return looks[0]
+    times, by_id = Counter(map(id, looks)), {id(look): look for look in looks}
+    counts: Counter = Counter()
+    for key, n in times.items():
+        for character, count in by_id[key].counts.items():
+            counts[character] += n * count
+    head, tail, mentions = "", "", False
+    for look in looks:
+        mentions = mentions or look.mentions or bool(MENTIONS.search(tail + look.head))
+        head = (head + look.head)[:EDGE] if len(head) < EDGE else head
+        tail = (tail + look.tail)[-EDGE:]
+    return Look(sum(look.size for look in looks), counts, head, tail, mentions)
 
 
 def sensitivity(name: str) -> float:
@@ -73,13 +132,20 @@ def sensitivity(name: str) -> float:
     return 1.0 if any(pair in PAIRS for pair in zip(words, words[1:], strict=False)) else most
 
 
-def randomness(value: str, quoted: bool) -> float:
+def stands_in(look: Look) -> bool:
+    """Whether a value stands for a secret without being one."""
+    if look.mentions or BEGINS.match(look.head) or set(look.counts) <= {"x", "X"} or set(look.counts) in ({"*"}, {"."}):
+        return True
+    return look.size <= EDGE and bool(STANDS.match(look.head))
+
+
+def randomness(look: Look, quoted: bool) -> float:
     """0 to 1: how much a literal looks like a secret, by its alphabet and the entropy of its characters."""
-    if len(value) < 6 or PLACEHOLDER.match(value) or any(c.isspace() for c in value):
+    counts, size = look.counts, look.size
+    if size < 6 or stands_in(look) or any(c.isspace() for c in counts):
         return 0.0
-    counts = Counter(value)
-    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
-    classes = sum(any(test(c) for c in value) for test in (str.isdigit, str.islower, str.isupper, lambda c: not c.isalnum()))
+    entropy = -sum(share * math.log2(share) for n in counts.values() if (share := n / size) > 0)
+    classes = sum(any(test(c) for c in counts) for test in (str.isdigit, str.islower, str.isupper, lambda c: not c.isalnum()))
     if not quoted and classes < 2:
         return 0.0
     return min(1.0, entropy / 3.0) * (0.6 if classes < 2 else 0.85 if classes < 3 else 1.0)
@@ -89,7 +155,8 @@ def pairs(text: str) -> list[Pair]:
     """Name-literal pairs of assignments, in order.
 
     An operator within a bare value belongs to it. Read are quoted literals, bare configuration values, literals joined by `+`, `.` or `..`, and
-    names of earlier assignments, whose literals are propagated.
+    names of earlier assignments, whose literals are propagated. Literals of any length are read
+    whole, and all parts of a join.
     """
     known: dict[str, Pair] = {}
     out, bare = [], 0
@@ -102,29 +169,28 @@ def pairs(text: str) -> list[Pair]:
         if not target:
             continue
         name = (target[1] or target[2])[::-1].lstrip("0123456789.->")
-        place, values, spans, quoted = SPACE.match(text, operator.end()).end(), [], [], False
+        place, parts, looks, quoted = SPACE.match(text, operator.end()).end(), [], [], False
         while True:
             if m := QUOTED.match(text, place):
                 group = next((g for g in (1, 2, 3) if m[g] is not None), 1)
-                values.append(m[group])
-                spans.append(m.span(group))
+                parts.append(m.span(group))
+                looks.append(Look.of(m[group]))
                 quoted = True
             elif (m := NAME.match(text, place)) and (source := known.get(m[0])):
-                values.append(source.value)
-                spans.extend(source.spans[:PARTS])
+                parts.append(source)
+                looks.append(source.look)
                 quoted |= source.quoted
-            elif not values and (m := BARE.match(text, place)):
-                values.append(m[0])
-                spans.append(m.span())
+            elif not parts and (m := BARE.match(text, place)):
+                parts.append(m.span())
+                looks.append(Look.of(m[0]))
                 bare = m.end()
             else:
                 break
-            if len(spans) >= PARTS or not (quoted and (joined := JOIN.match(text, m.end()))):
+            if not (quoted and (join := JOIN.match(text, m.end()))):
                 break
-            place = joined.end()
-        value = "".join(values)
-        if value:
-            found = Pair(name, value, tuple(spans), quoted)
+            place = join.end()
+        if any(look.size for look in looks):
+            found = Pair(name, tuple(parts), quoted, joined(looks), text)
             known[name] = found
             out.append(found)
     return out
@@ -146,10 +212,11 @@ def named_spans(text: str, threshold: float) -> list[tuple[int, int, int]]:
     """(start, kind, end) of literals whose name and look say that they are secrets."""
     if "=" not in text and ":" not in text:
         return []
+    seen: set[int] = set()
     return sorted({
         (start, 3, end) for pair in pairs(text)
-        if (told := sensitivity(pair.name)) >= threshold and told * randomness(pair.value, pair.quoted) >= threshold
-        for start, end in pair.spans if end > start
+        if (told := sensitivity(pair.name)) >= threshold and told * randomness(pair.look, pair.quoted) >= threshold
+        for start, end in pair.leaves(seen) if end > start
     })
 
 
