@@ -29,8 +29,8 @@ OPERATOR = re.compile(r"(?::=|=>|[:=])(?![:=/~])")
 # What stands before an operator, from right to left: a type annotation, a quotation mark, an index, the name.
 TARGET = re.compile(r"""[ \t]*(?:[\w.<>\[\]]{1,40}[ \t]*:[ \t]*)?["']?(?:\]["']([\w.-]{1,64})["']\[)?([\w$.>-]{0,64}[A-Za-z_$])""", re.A)
 SPACE = re.compile(r"[ \t]*")
-# Possessive loops, which take linear time: between two quotation marks of a kind each character is read once.
-QUOTED = re.compile(r'''[rbuf]{0,2}(?:"((?:[^"\\\n]++|\\.)*+)"|'((?:[^'\\\n]++|\\.)*+)'|`((?:[^`\\\n]++|\\.)*+)`)''', re.I | re.A)
+# Key material in PEM form may go over several lines. Possessive loops, which take linear time: between two quotation marks of a kind each character is read once.
+QUOTED = re.compile(r'''[rbuf]{0,2}(?:"((?:[^"\\\n]++|\\.)*+|\s*+-----BEGIN\x20(?:[^"\\]++|\\.)*+)"|'((?:[^'\\\n]++|\\.)*+|\s*+-----BEGIN\x20(?:[^'\\]++|\\.)*+)'|`((?:[^`\\\n]++|\\.)*+|\s*+-----BEGIN\x20(?:[^`\\]++|\\.)*+)`)''', re.I | re.A)
 NAME = re.compile(r"[A-Za-z_$][\w$]{0,63}(?:\.[A-Za-z_]\w{0,63}){0,4}(?![\w$.(\[/+=-])", re.A)
 BARE = re.compile(r"""[^\s"'`,;(){}\[\]<>#|]++""")
 JOIN = re.compile(r"[ \t]*(?:\+|\.\.|\.)[ \t]*(?=[\"'`A-Za-z_$])")
@@ -55,6 +55,16 @@ MENTIONS = re.compile(r"(?i)example|changeme|change[-_]me|placeholder|redacted")
 STANDS = re.compile(r"(?i)(?:none|null|true|false|undefined|test|dummy|todo)$")
 #: Characters at the ends of a value that are kept to judge joined values; no match of the patterns above is longer.
 EDGE = 16
+#: The armour of key material, and the line breaks in it.
+ARMOUR = re.compile(r"-----(?:BEGIN|END)\x20([A-Z0-9\x20]+)-----|\\[nr]|\s+")
+#: What armour says of material that is no secret.
+OPEN = ("PUBLIC", "CERTIFICATE", "PARAMETERS")
+#: Characters other than blanks that a passphrase has, at least.
+PHRASE = 12
+#: What a name must tell at least for a value with blanks to be a passphrase; `key` and `auth` also name texts.
+SURE = 0.9
+#: Words of sentences about secrets, which are no secrets.
+ABOUT = {"enter", "please", "invalid", "required", "must", "your", "forgot", "reset", "confirm", "is", "are", "cannot", "should"}
 PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
 
@@ -66,10 +76,24 @@ class Look:
     head: str
     tail: str
     mentions: bool
+    armoured: bool = False
+    about: bool = False
+
+    @property
+    def phrase(self) -> bool:
+        """Whether it has blanks without being key material."""
+        return not self.armoured and any(c.isspace() for c in self.counts)
 
     @staticmethod
     def of(value: str) -> Look:
-        return Look(len(value), Counter(value), value[:EDGE], value[-EDGE:], bool(MENTIONS.search(value)))
+        mentions, about = bool(MENTIONS.search(value)), False
+        kinds = [m[1] for m in ARMOUR.finditer(value) if m[1]] if "-----" in value else []
+        if kinds:  # what is left of public material is nothing
+            value = "" if any(word in kind for kind in kinds for word in OPEN) else ARMOUR.sub("", value)
+        elif any(c.isspace() for c in value):
+            words = {w.lower() for w in PART.findall(value)}
+            about = not words.isdisjoint(ABOUT) or not words.isdisjoint(SENSITIVE)
+        return Look(len(value), Counter(value), value[:EDGE], value[-EDGE:], mentions, bool(kinds), about)
 
 
 @dataclass(frozen=True, eq=False)
@@ -120,7 +144,8 @@ def joined(looks: list[Look]) -> Look:
         mentions = mentions or look.mentions or bool(MENTIONS.search(tail + look.head))
         head = (head + look.head)[:EDGE] if len(head) < EDGE else head
         tail = (tail + look.tail)[-EDGE:]
-    return Look(sum(look.size for look in looks), counts, head, tail, mentions)
+    armoured, about = any(look.armoured for look in looks), any(look.about for look in looks)
+    return Look(sum(look.size for look in looks), counts, head, tail, mentions, armoured, about)
 
 
 def sensitivity(name: str) -> float:
@@ -140,15 +165,27 @@ def stands_in(look: Look) -> bool:
 
 
 def randomness(look: Look, quoted: bool) -> float:
-    """0 to 1: how much a literal looks like a secret, by its alphabet and the entropy of its characters."""
-    counts, size = look.counts, look.size
-    if size < 6 or stands_in(look) or any(c.isspace() for c in counts):
+    """0 to 1: how much a literal looks like a secret, by its alphabet and the entropy of its characters.
+
+    Key material is judged without its armour and line breaks. Of other quoted values with blanks, as
+    passphrases are, the other characters are judged, of which there must be `PHRASE`; sentences
+    about secrets are none.
+    """
+    counts, size, full = look.counts, look.size, 3.0
+    if blank := sum(n for c, n in counts.items() if c.isspace()):
+        counts = Counter({c: n for c, n in counts.items() if not c.isspace()})
+        size -= blank
+        if look.phrase:
+            full = 3.5
+            if not quoted or look.about or size < PHRASE:
+                return 0.0
+    if size < 6 or stands_in(look):
         return 0.0
     entropy = -sum(share * math.log2(share) for n in counts.values() if (share := n / size) > 0)
     classes = sum(any(test(c) for c in counts) for test in (str.isdigit, str.islower, str.isupper, lambda c: not c.isalnum()))
     if not quoted and classes < 2:
         return 0.0
-    return min(1.0, entropy / 3.0) * (0.6 if classes < 2 else 0.85 if classes < 3 else 1.0)
+    return min(1.0, entropy / full) * (0.6 if classes < 2 else 0.85 if classes < 3 else 1.0)
 
 
 def pairs(text: str) -> list[Pair]:
@@ -189,7 +226,7 @@ def pairs(text: str) -> list[Pair]:
             if not (quoted and (join := JOIN.match(text, m.end()))):
                 break
             place = join.end()
-        if any(look.size for look in looks):
+        if any(end > start for part in parts for start, end in ([(0, 1)] if isinstance(part, Pair) else [part])):
             found = Pair(name, tuple(parts), quoted, joined(looks), text)
             known[name] = found
             out.append(found)
@@ -215,7 +252,7 @@ def named_spans(text: str, threshold: float) -> list[tuple[int, int, int]]:
     seen: set[int] = set()
     return sorted({
         (start, 3, end) for pair in pairs(text)
-        if (told := sensitivity(pair.name)) >= threshold and told * randomness(pair.look, pair.quoted) >= threshold
+        if (told := sensitivity(pair.name)) >= (max(threshold, SURE) if pair.look.phrase else threshold) and told * randomness(pair.look, pair.quoted) >= threshold
         for start, end in pair.leaves(seen) if end > start
     })
 
