@@ -31,7 +31,7 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Whole documents are taken until each source meets its target; one that is taken twice is there twice."""
+    """Whole documents are taken until each source meets its target; one that is taken twice is there twice. Rows come in training order."""
     return mixture.repeat_rows(docs.select(*COLUMNS), mixture.mix(docs, cut=False)).select(*COLUMNS)
 
 

@@ -61,3 +61,10 @@ def test_repeat_rows(odd):
     out = repeat_rows(odd, mixed)
     assert out.columns == odd.columns
     assert out.count() == mixed.agg(F.sum("copies")).first()[0]
+
+
+def test_repeated_rows_follow_the_curriculum(small):
+    for slopes in ((0.9, -0.9, 0.0), (-0.9, 0.9, 0.5)):
+        mixed = mix(small, slopes=slopes, cut=False)
+        expected = sorted((p, r.doc_id) for r in mixed.collect() for p in r.positions)
+        assert [r.doc_id for r in repeat_rows(small, mixed).collect()] == [i for _, i in expected]

@@ -115,16 +115,19 @@ def by_position(mixed: DataFrame) -> DataFrame:
 
 
 def repeat_rows(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The rows of `docs`, all columns, each as often as `mixed` takes it; rows not taken go.
+    """The rows of `docs`, all columns, each as often as `mixed` takes it, range-sorted by training position; rows not taken go.
 
-    Rows equal in doc_id and text share their copies. This joins, and so shuffles, the texts.
+    Each copy stands at its own position. Rows equal in doc_id and text share their copies. This joins
+    and sorts, and so shuffles, the texts.
     """
     no_id = F.lit(-(2**63)).cast("long")
     keys = ["id", "text_key"]
-    copies = mixed.select(F.coalesce("doc_id", no_id).alias("id"), "text_key", "copies")
-    copies = copies.groupBy(*keys).agg(F.sum("copies").alias("copies"), F.count("*").alias("equals"))
+    same = Window.partitionBy(*keys)
+    copies = mixed.select(F.coalesce("doc_id", no_id).alias("id"), "text_key", "positions").withColumn("equals", F.count("*").over(same))
+    copies = copies.select(*keys, "equals", F.explode("positions").alias("position")).withColumn("turn", F.row_number().over(same.orderBy("position")))
+    # the copies of equal rows are dealt to them in turn
+    copies = copies.select(*keys, ((F.col("turn") - 1) % F.col("equals") + 1).cast("int").alias("n"), "position")
     # the row as a whole, so that its columns may have any names
     rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), no_id).alias("id"), F.xxhash64("text").alias("text_key"))
-    rows = rows.withColumn("n", F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))).join(copies, keys)
-    times = F.expr("CAST(copies DIV equals + IF(n <= copies % equals, 1, 0) AS INT)")
-    return rows.withColumn("times", times).where("times > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
+    rows = rows.withColumn("n", F.row_number().over(same.orderBy(F.lit(0)))).join(copies, [*keys, "n"])
+    return rows.orderBy("position", *keys, "n").select("row.*")
