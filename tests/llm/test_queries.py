@@ -19,7 +19,7 @@ def sql():
 
 def test_all_are_registered():
     assert QUERIES.keys() | {"pipeline"} <= entry.queries().keys()
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", ORACLES)

@@ -7,11 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wikicells.llm import secrets
+from wikicells.llm.alignment import align
 from wikicells.llm.bpe import round_trip
 from wikicells.llm.chat import rotate
+from wikicells.llm.collocations import collocations
 from wikicells.llm.minhash import near_duplicates
 from wikicells.llm.mixture import by_position, mix
 from wikicells.llm.nearest import nearest
+from wikicells.llm.passages import without_passages
 from wikicells.llm.shards import interleave
 from wikicells.llm.suffixes import without_repeats
 from wikicells.llm.toxicity import held_out, learn, score
@@ -76,6 +79,21 @@ def voronoi_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_products(read(spark, sf_dir, "embeddings"), k=20, every=20, scale=64)
 
 
+def passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_passages(read(spark, sf_dir, "documents"), window=50).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
+def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align(read(spark, sf_dir, "documents"), *paths)
+
+
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read(spark, sf_dir, "documents"), top=2000, least=10, share=50)
+
+
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup,
     "op2_chat_formatting": chat,
@@ -87,6 +105,9 @@ QUERIES = {
     "op8_block_nearest": block_nearest,
     "op9_byte_bpe": byte_bpe,
     "op10_voronoi_products": voronoi_products,
+    "op11_passage_automata": passage_dedup,
+    "op12_token_alignment": token_alignment,
+    "op13_phrase_collocations": phrase_collocations,
 }
 
 ORACLES = {
@@ -222,4 +243,56 @@ ORACLES = {
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored
         )
         SELECT query_id, rank, vec_id, score FROM placed WHERE rank <= 20""",
+    "op11_passage_automata": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), starts AS (
+            SELECT row, doc_id, w, unnest(range(1, len(w) - 48)) AS start FROM docs WHERE doc_id IS NOT NULL
+        ), windows AS (
+            SELECT row, doc_id, start, md5(array_to_string(w[start:start + 49], ' ')) AS key FROM starts
+        ), firsts AS (
+            SELECT key, min(doc_id) AS first FROM windows GROUP BY key
+        ), gone AS (
+            SELECT row, list(start) AS found FROM windows JOIN firsts USING (key) WHERE first < doc_id GROUP BY row
+        ), places AS (
+            SELECT DISTINCT row, unnest(flatten(list_transform(found, lambda x: range(x, x + 50)))) AS place FROM gone
+        ), covered AS (
+            SELECT row, list(place) AS places FROM places GROUP BY row
+        )
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(places), 0)::BIGINT AS n_removed, sha256(coalesce(array_to_string(
+            CASE WHEN places IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(places, i)) END, ' '), '')) AS kept_sha256
+        FROM docs LEFT JOIN covered USING (row)""",
+    "op13_phrase_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), runs AS (
+            SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+        ), grams AS (
+            SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+            FROM runs CROSS JOIN (VALUES (1), (2), (3)) sizes(k)
+        ), counts AS (
+            SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL
+        ), totals AS (
+            SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang
+        ), candidates AS (
+            SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1 AND f >= 10
+        ), cuts AS (
+            SELECT c.lang, c.k, c.phrase, a, cut, x.f AS l, y.f AS r, ((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+            FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) c
+            JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:cut], ' ')
+            JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(w[cut + 1:c.k], ' ')
+        ), scored AS (
+            SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+        ), within AS (
+            SELECT lang, phrase, max(a) AS wider FROM (
+                SELECT lang, array_to_string(w[1:2], ' ') AS phrase, a FROM candidates WHERE k = 3
+                UNION ALL SELECT lang, array_to_string(w[2:3], ' '), a FROM candidates WHERE k = 3) GROUP BY ALL
+        ), left_over AS (
+            SELECT s.* FROM scored s LEFT JOIN within v ON v.lang = s.lang AND v.phrase = s.phrase AND s.k = 2
+            WHERE wider IS NULL OR 100 * wider < 50 * a
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM left_over JOIN totals USING (lang) QUALIFY rank <= 2000""",
 }
