@@ -206,6 +206,15 @@ WITH placed AS (
 )
 SELECT c_custkey AS page_id, c_name AS page_name, {_CUSTOMER_TEXT} AS text
 FROM placed WHERE s IN (SELECT s FROM placed WHERE c_acctbal > 9900)""",
+    "indexed_streams": f"""
+WITH pages AS (
+  SELECT 'enwiki-20201220-pages-articles-multistream' AS dump_id, c_custkey AS page_id, * FROM customer
+  UNION ALL SELECT 'dewiki-20201220-pages-articles-multistream', c_custkey * 7, * FROM customer
+), placed AS (
+  SELECT *, page_id // 7000 AS f, (row_number() OVER (PARTITION BY dump_id, page_id // 7000 ORDER BY page_id) - 1) // 20 AS s FROM pages
+)
+SELECT dump_id, page_id, c_name AS page_name, {_CUSTOMER_TEXT} AS text
+FROM placed WHERE (dump_id, f, s) IN (SELECT (dump_id, f, s) FROM placed WHERE c_acctbal < -950)""",
     "compare_tables": f"""
 WITH actual AS (
   {_cells("orders", _ORDER, _ORDER_CELLS)}

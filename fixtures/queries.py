@@ -151,6 +151,26 @@ def selected_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wc.read_streams(chosen).select("page_id", "page_name", "text")
 
 
+def indexed_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by a stored index of two dumps: all pages of the streams that hold a customer deep in debt."""
+    folder, stored, pages = shared_folder(spark), shared_folder(spark), customer_pages(spark, sf_dir)
+    for wiki, at in (("enwiki", r.col("page_id")), ("dewiki", r.col("page_id") * 7)):
+        dump = f"{wiki}-20201220-pages-articles-multistream"
+        write_dump(pages.withColumn("page_id", at), folder, per_stream=20, per_file=7000, dump=dump)
+    streams = wc.streams_with_ids(read_index(spark, f"{folder}/*index*"), wc.pair_files(wc.dump_files(spark, folder)))
+    wc.write_stream_index(streams, stored, group_rows=8)
+    key = r.col("c_custkey")
+    wanted = r.table(spark, sf_dir, "customer").where("c_acctbal < -950").select(
+        F.explode(F.array(
+            F.struct(F.lit("enwiki-20201220-pages-articles-multistream").alias("dump_id"), key.alias("page_id")),
+            F.struct(F.lit("dewiki-20201220-pages-articles-multistream").alias("dump_id"), (key * 7).alias("page_id")),
+            F.struct(F.lit("dewiki-20201220-pages-articles-multistream").alias("dump_id"), (key * 7 + 1).alias("page_id")),
+        )).alias("w")
+    ).select("w.*")
+    found = wc.read_streams(wc.find_streams(spark, stored, wanted))
+    return found.select("dump_id", "page_id", "page_name", "text")
+
+
 def multistream_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A multistream dump, read in full without its index."""
     folder = write_dump(customer_pages(spark, sf_dir), shared_folder(spark))
@@ -261,6 +281,7 @@ QUERIES = {
     "file_pairs": file_pairs,
     "database_name": database_name,
     "selected_streams": selected_streams,
+    "indexed_streams": indexed_streams,
     "incremental_load": incremental_load,
     "compare_tables": compare_tables,
     "info_data_join": info_data_join,
