@@ -174,6 +174,11 @@ FROM found GROUP BY kind, table_name, value, actual, expected""",
     "lines_before_entry": _cells("documents", "'Doc ' || doc_id", [
         (0, 0, 0, _escaped(_without_blank_lines(f"{_NL} || '{{{{lead' || {_NL} || text || {_NL} || '}}}}'")) + " || doc_id"),
     ]),
+    "hidden_rows": _cells("documents", "'Doc ' || doc_id", [
+        # Text before the first row mark goes in front of that mark's attribute, which is the last one of a single line.
+        (0, 0, 0, "chr(10) || '}}[[' || doc_id || ']]'", "CASE WHEN contains(text, chr(10)) THEN '' ELSE chr(10) || '{{rows' END || "
+            + _escaped("string_split(text, chr(10))[-1]")),
+    ]),
     "dump_appended": "SELECT c_name || '_0' AS table_name, CAST(2 AS BIGINT) AS copies FROM customer",
     "multistream_cells": _CUSTOMER_CELLS,
     "incremental_load": _CUSTOMER_CELLS,

@@ -290,4 +290,5 @@ QUERIES = {
     "table_pages": table_pages,
     "check_records": check_records,
     "lines_before_entry": partial(_data, r.head_pages),
+    "hidden_rows": partial(_data, r.hidden_row_pages),
 }

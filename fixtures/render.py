@@ -152,6 +152,13 @@ def head_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages(table(spark, sf_dir, "documents"), "doc_id", text("Doc ", col("doc_id")), body)
 
 
+def hidden_row_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts as a template before the first entry, every line a row mark; only cells hide such marks."""
+    rows = F.regexp_replace("text", "\n", "\n|-")
+    body = text("\n{|\n{{rows\n|-", rows, "\n}}\n| [[", col("doc_id"), "]]\n|}")
+    return pages(table(spark, sf_dir, "documents"), "doc_id", text("Doc ", col("doc_id")), body)
+
+
 def order_mixed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A third of the pages has a table, a third only an unclosed one, a third none."""
     key = col("o_orderkey")

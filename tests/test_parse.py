@@ -269,22 +269,38 @@ def test_long_table(spark):
     assert tuple(found) == (2 * n, n - 1, n)
 
 
-def seconds(spark, lines):
-    raw = "{|\n{{t\n" + "x\n" * lines + "}}\n| a\n|}"
+def seconds(spark, lines, line, expected):
+    raw = "{|\n{{t\n" + line * lines + "}}\n| a\n|}"
     tables = spark.createDataFrame([("p", 0, raw)], "page_name string, table_idx int, raw string")
     started = time.perf_counter()
     (row,) = wc.parse_data(tables).collect()
-    assert row.cell_data == "\n{{t\n" + "x\n" * lines + "}}a"
+    assert row.cell_data == expected(lines)
     return time.perf_counter() - started
 
 
-def test_lines_before_the_first_entry_take_linear_time(spark):
-    seconds(spark, 10)
-    few, many = min(seconds(spark, 8_000) for _ in range(2)), min(seconds(spark, 80_000) for _ in range(2))
-    assert many < 15 * few + 2
+@pytest.mark.parametrize(("line", "expected"), [
+    ("x\n", lambda n: "\n{{t\n" + "x\n" * n + "}}a"),
+    ("|- x\n", lambda n: "\n}}a"),
+    ("|- x\ny\n", lambda n: "\ny\n}}a"),
+])
+def test_lines_before_the_first_entry_take_linear_time(spark, line, expected):
+    seconds(spark, 10, line, expected)
+    few, many = (min(seconds(spark, n, line, expected) for _ in range(2)) for n in (1_000, 100_000))
+    assert many < 150 * few + 2
 
 
-def test_spans_beyond_64_bits(spark):
-    raw = "{|\n| rowspan=99999999999999999999 colspan=3 | a\n|}"
-    (row,) = wc.parse_data(spark.createDataFrame([("p", 0, raw)], "page_name string, table_idx int, raw string")).collect()
-    assert (row.row_span, row.col_span) == (2**63 - 1, 3)
+HIDDEN_MARKS = {
+    "an entry ends the head": ("{|\n{{t\n|- a\nx\n|- b\n| c\n|- d\n| e}}|f\n|}", [cell(0, 0, "c\n|- d\n| e}}|f", "\nx b")]),
+    "a link goes on behind marks": ("{|\n|-\n[[t\n|- a\n|- b\n! c|d]]\n| e\n|}", [cell(0, 0, " c|d]]", " b", 1), cell(0, 1, "e")]),
+    "an argument does not": ("{|\n|-\n{{{t\n|- a\n|- b\n! c|d}}}\n| e\n|}", [cell(0, 0, " c|d}}}", "", 1), cell(0, 1, "e")]),
+    "marks of one head in two spans": (
+        "{|\n{{{t\n|- a}}}{{u\n|- b\n| c|d}}\n|-\n| g\n|}", [cell(0, 0, "c|d}}", " b"), cell(1, 0, "g")],
+    ),
+}
+
+
+@pytest.mark.parametrize("name", HIDDEN_MARKS)
+def test_hidden_marks(spark, name):
+    raw, expected = HIDDEN_MARKS[name]
+    tables = spark.createDataFrame([("p", 0, raw)], "page_name string, table_idx int, raw string")
+    assert sorted(tuple(r)[1:] for r in wc.parse_data(tables).collect()) == expected

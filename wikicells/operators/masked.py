@@ -25,9 +25,25 @@ _CUT_SPAN = (
 # last one ended, so a head takes one pass however many lines it has.
 _HEAD_BREAKS = rf"((?:^|\n\|-|\G(?!^)){_HEAD_LINES}){m.NEWLINE}(?![|!{m.PIPE}{m.BANG}])"
 
+# Hidden row marks of one head, the lines between them hidden or not, in one pass as well: a match ends with
+# a row mark, and the next goes on there. From the first link or template of a head on, it goes on in the
+# rows behind it, so marks before it and marks behind it are two chains.
+def _chain(stop: str) -> str:
+    line = rf"[^\n{m.NEWLINE}{stop}]*+"
+    return rf"{line}(?:(?:\n(?![|!])|{m.NEWLINE}(?![|!{m.PIPE}{m.BANG}])){line})*+"
+
+
+_HIDDEN_MARK = rf"{m.NEWLINE}{m.PIPE}-"
+_MARKS_BEFORE = rf"((?:^|\n\|-|\G(?!^)){_chain(''.join(STOP))}){_HIDDEN_MARK}"
+_MARKS_BEHIND = rf"((?:(?:^|\n\|-){_chain(''.join(STOP))}[{''.join(STOP)}]|\G(?!^)){_chain('')}){_HIDDEN_MARK}"
+
 
 def show_hidden_entries(masked: Column) -> Column:
-    """Undo protection outside cells: a line there is a line, an entry an entry."""
+    """Undo protection outside cells: a line there is a line, an entry an entry.
+
+    Row marks and lines that are no entries take one pass over the text, however many there are. What is
+    left for the rounds is one entry a head, as an entry ends the head, and lone pipes.
+    """
 
     def show_cut(text: Column) -> Column:
         text = F.regexp_replace(text, rf"{_CUT_SPAN}{m.PIPE}-", f"$1\n|-{m.SPAN_GOES_ON}")
@@ -47,7 +63,9 @@ def show_hidden_entries(masked: Column) -> Column:
     def show_heads(text: Column) -> Column:
         return F.regexp_replace(text, _HEAD_BREAKS, "$1\n")
 
-    shown = rewrite_until_absent(show_heads(masked), _HIDDEN_BREAK, show)
+    marked = F.regexp_replace(masked, _MARKS_BEFORE, "$1\n|-")
+    marked = F.regexp_replace(marked, _MARKS_BEHIND, f"$1\n|-{m.SPAN_GOES_ON}")
+    shown = rewrite_until_absent(show_heads(marked), _HIDDEN_BREAK, show)
     shown = F.replace(shown, F.lit(f"\n|{m.SPAN_GOES_ON}\n"), F.lit("\n|\n"))
     return F.when(masked.contains(m.NEWLINE), shown).otherwise(masked)
 
