@@ -174,6 +174,15 @@ FROM found GROUP BY kind, table_name, value, actual, expected""",
     "lines_before_entry": _cells("documents", "'Doc ' || doc_id", [
         (0, 0, 0, _escaped(_without_blank_lines(f"{_NL} || '{{{{lead' || {_NL} || text || {_NL} || '}}}}'")) + " || doc_id"),
     ]),
+    # A closer that meets an open run of the other kind is discarded; a template that is not closed protects nothing.
+    "unbalanced_links": _cells("customer", "c_name", [
+        (0, 0, 0, "' ' || c_mktsegment", "'[[ {{ ' || c_custkey || ' ]] '"),
+        (1, 0, 0, "'{{t ]] | ' || c_mktsegment || ' }} | x'"),
+        (2, 0, 0, "'{{ [[ ' || c_name || ' | b ]]]] | c }} | d'"),
+        (3, 0, 0, "'[[' || c_name || '|b]' || chr(10) || '] | c'"),
+        (4, 0, 0, "']] }} [[' || c_custkey || '|a]] '"),
+        (4, 0, 1, "' }}} {{{1|' || c_mktsegment || '}}} | z'"),
+    ]),
     "hidden_rows": _cells("documents", "'Doc ' || doc_id", [
         # Text before the first row mark goes in front of that mark's attribute, which is the last one of a single line.
         (0, 0, 0, "chr(10) || '}}[[' || doc_id || ']]'", "CASE WHEN contains(text, chr(10)) THEN '' ELSE chr(10) || '{{rows' END || "

@@ -262,6 +262,7 @@ QUERIES = {
     "captions_info": partial(_info, r.customer_caption_pages),
     "captions_cells": partial(_data, r.customer_caption_pages),
     "protected_links": partial(_data, r.customer_link_pages),
+    "unbalanced_links": partial(_data, r.customer_unbalanced_pages),
     "raw_tables": partial(_raw, r.order_multi_pages),
     "multi_table_pages": partial(_data, r.order_multi_pages),
     "nested_tables": partial(_data, r.order_nested_pages),

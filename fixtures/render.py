@@ -92,6 +92,17 @@ def customer_link_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages(table(spark, sf_dir, "customer"), "c_custkey", name, body)
 
 
+def customer_unbalanced_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table each for an unclosed template in a link, stray closers in a template, closers that are left
+    over, a run of brackets over a line break, and closers of nothing."""
+    name, segment, key = col("c_name"), col("c_mktsegment"), col("c_custkey")
+    body = text(
+        "\n{|\n| [[ {{ ", key, " ]] | ", segment, "\n|}\n{|\n| {{t ]] | ", segment, " }} | x\n|}\n{|\n| {{ [[ ", name,
+        " | b ]]]] | c }} | d\n|}\n{|\n| [[", name, "|b]\n] | c\n|}\n{|\n| ]] }} [[", key, "|a]] || }}} {{{1|", segment, "}}} | z\n|}",
+    )
+    return pages(table(spark, sf_dir, "customer"), "c_custkey", name, body)
+
+
 def order_multi_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two tables, one on a single line, stray closers and an unclosed tail."""
     key = col("o_orderkey")
