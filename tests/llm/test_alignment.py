@@ -62,7 +62,7 @@ def found(df):
 
 
 def test_whole_texts(spark, small, libraries):
-    rows = [(r.doc_id, r.text) for r in small.orderBy("doc_id").limit(60).collect()]
+    rows = [(r.doc_id, r.text) for r in small.orderBy("doc_id").limit(80).collect() if len(r.text) < 5000]
     rows += [(900, rows[0][1]), (901, "<|endoftext|> <s> x</s> <0x41> <unk>"), (902, "▁a b"), (903, " a"), (904, "a  b \n c   d e\x1cf \x1f g")]
     assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows, libraries)
 

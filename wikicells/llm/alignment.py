@@ -1,7 +1,7 @@
 """Cross-tokenizer alignment: which tokens of two tokenizers overlap, scored by the documents that show it.
 
-1. Each text is cut where both tokenizers end a token anyway, so that distinct pieces are encoded and
-   aligned once a worker. A text's links are the pieces' links, its groups the pieces' groups.
+1. Each text is cut where both tokenizers end a token anyway, so that distinct pieces are encoded once
+   a worker, many at a time. The tokens of a text are aligned by the ends of both sides.
 2. Documents are numbered in blocks. For every linked pair of ids, a block has an inverted posting: a
    compressed bitmap of its documents, and one for each binary digit of the links beyond the first.
 3. Postings of parts of a text are OR-merged within the block. Popcounts over all blocks give the
@@ -34,7 +34,7 @@ POSTINGS = 1 << 21
 #: Characters of a text that are aligned at a time.
 PART = 1 << 20
 #: Pieces that a worker remembers, and the length up to which it does.
-REMEMBERED = 1 << 16
+REMEMBERED = 1 << 18
 LONGEST = 64
 #: A pair in one number: A's id, then B's id in so many bits.
 BITS = 24
@@ -60,28 +60,8 @@ def byte_level(vocabulary: dict[str, int]) -> list[bytes]:
     return out
 
 
-def aligned(a: list[int], b: list[int], bytes_a: list[bytes], bytes_b: list[bytes]) -> tuple[list[tuple[list, list]], list[tuple[int, int]]]:
-    """(groups, links) of two tokenizations of the same bytes, by one walk over both.
-
-    A group is a pair of id lists between two offsets where both end a token; links are the pairs of
-    ids whose byte ranges overlap, one for each overlap.
-    """
-    groups, links, i, j, from_a, from_b, end_a, end_b = [], [], 0, 0, 0, 0, 0, 0
-    while i < len(a):
-        until_a, until_b = end_a + len(bytes_a[a[i]]), end_b + len(bytes_b[b[j]])
-        links.append((a[i], b[j]))
-        if until_a <= until_b:
-            i, end_a = i + 1, until_a
-        if until_b <= until_a:
-            j, end_b = j + 1, until_b
-        if until_a == until_b:
-            groups.append((a[from_a:i], b[from_b:j]))
-            from_a, from_b = i, j
-    return groups, links
-
-
 class Aligner:
-    """Aligns texts piece by piece; distinct pieces are remembered up to a bound."""
+    """Tokens of texts and their alignment. Tokens of distinct pieces are remembered up to a bound."""
 
     def __init__(self, byte_json: bytes, piece_model: bytes) -> None:
         import sentencepiece
@@ -96,41 +76,78 @@ class Aligner:
         self.bytes_b = [
             bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode() for i, piece in enumerate(pieces)
         ]
-        self.known: dict[str, tuple | None] = {}
-
-    def _piece(self, piece: str, a: list[int], b: list[int]) -> tuple | None:
-        raw = (" " + piece).encode()
+        self.length_a, self.length_b = (np.array([len(x) for x in spelled]) for spelled in (self.bytes_a, self.bytes_b))
+        # ids as text, with what follows them within a group and at the end of its A or B side
+        self.shown = [f"{i}{end}" for n, last in ((len(self.bytes_a), "|"), (len(self.bytes_b), ";")) for i in range(n) for end in (",", last)]
+        self.known: dict[str, tuple[bytes, bytes] | None] = {}
+
+    def _tokens(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of both tokenizers for a space and the text, or none if they do not spell it."""
+        a, b, raw = self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text), (" " + text).encode()
         if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
             return None
-        groups, links = aligned(a, b, self.bytes_a, self.bytes_b)
-        text = ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups)
-        codes = np.array([x << BITS | y for x, y in links], np.int64)
-        return text, np.array([len(a), len(b), len(groups)], np.int64).tobytes(), codes.tobytes()
-
-    def _pieces(self, pieces: list[str]) -> list[tuple | None]:
+        return np.array(a, np.int32), np.array(b, np.int32)
+
+    def _learn(self, pieces: list[str]) -> dict[str, tuple[bytes, bytes] | None]:
+        """Ids of pieces. Those without white space at an end are encoded as one text and cut apart again."""
+        plain = [piece for piece in pieces if piece and not piece[0].isspace() and not piece[-1].isspace()]
+        tokens, found = self._tokens(" ".join(plain)) if plain else None, {}
+        if tokens:
+            ends = np.cumsum([len(piece.encode()) + 1 for piece in plain])
+            sides = []
+            for ids, length in zip(tokens, (self.length_a, self.length_b), strict=True):
+                cuts, data = (4 * (np.searchsorted(np.cumsum(length[ids]), ends) + 1)).tolist(), ids.tobytes()
+                sides.append([data[low:high] for low, high in zip([0, *cuts], cuts, strict=False)])
+            found = dict(zip(plain, zip(*sides, strict=True), strict=True))
+        for piece in pieces:
+            if piece not in found:
+                alone = self._tokens(piece)
+                found[piece] = tuple(ids.tobytes() for ids in alone) if alone else None
+        return found
+
+    def _pieces(self, pieces: list[str]) -> list[tuple[bytes, bytes] | None]:
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        fresh = [piece for piece in set(pieces) if piece not in self.known]
-        by_a = self.a.encode_batch([" " + piece for piece in fresh], add_special_tokens=False)
-        by_b = self.b.encode(fresh, num_threads=1)
-        found = {piece: self._piece(piece, a.ids, b) for piece, a, b in zip(fresh, by_a, by_b, strict=True)}
-        out = [found[piece] if piece in found else self.known[piece] for piece in pieces]
-        self.known.update((piece, x) for piece, x in found.items() if len(piece) <= LONGEST)
+        known = self.known
+        fresh = self._learn([piece for piece in dict.fromkeys(pieces) if piece not in known])
+        out = [known[piece] if piece in known else fresh[piece] for piece in pieces]
+        known.update((piece, x) for piece, x in fresh.items() if len(piece) <= LONGEST)
         return out
 
+    def align(self, a: np.ndarray, b: np.ndarray) -> tuple[int, str, np.ndarray]:
+        """(groups, their text, links) of two tokenizations of the same bytes.
+
+        Between two neighbouring ends of tokens, of whichever side, lies one link: the pair of the
+        tokens there. Ends that both sides have end a group.
+        """
+        end_a, end_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
+        ends = np.sort(np.concatenate([end_a, end_b]), kind="stable")
+        shared = ends[1:] == ends[:-1]
+        both, ends = ends[1:][shared], np.append(ends[:-1][~shared], ends[-1:])
+        links = a[np.searchsorted(end_a, ends)].astype(np.int64) << BITS | b[np.searchsorted(end_b, ends)]
+        last_a, last_b = np.searchsorted(end_a, both), np.searchsorted(end_b, both)
+        code_a, code_b = 2 * a, 2 * (b + len(self.length_a))
+        code_a[last_a] += 1
+        code_b[last_b] += 1
+        tokens_a, tokens_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
+        order = np.empty(len(a) + len(b), np.int32)
+        order[np.arange(len(a)) + np.repeat(np.cumsum(tokens_b) - tokens_b, tokens_a)] = code_a
+        order[np.arange(len(b)) + np.repeat(np.cumsum(tokens_a), tokens_b)] = code_b
+        return len(both), "".join(map(self.shown.__getitem__, order.tolist()))[:-1], links
+
     def text(self, text: str) -> tuple[np.ndarray, str, list[tuple[np.ndarray, np.ndarray]]]:
         """((n_a, n_b, n_groups), digest of the groups, (pairs, links of each) of every part of the text)."""
         counts, digest, parts, at = np.zeros(3, np.int64), hashlib.sha256(), [], 0
         while at < len(text):
             end = CUT.search(text, at + PART)
-            pieces = CUT.split(text[at : end.start() if end else len(text)])
-            found = self._pieces(pieces)
+            found = self._pieces(CUT.split(text[at : end.start() if end else len(text)]))
             if None in found:
                 return np.zeros(3, np.int64), "", []
-            groups, numbers, codes = zip(*found, strict=True)
-            digest.update(((";" if at else "") + ";".join(groups)).encode())
-            counts += np.frombuffer(b"".join(numbers), np.int64).reshape(-1, 3).sum(0)
-            parts.append(np.unique(np.frombuffer(b"".join(codes), np.int64), return_counts=True))
+            a, b = (np.frombuffer(b"".join(side), np.int32) for side in zip(*found, strict=True))
+            groups, shown, links = self.align(a, b)
+            digest.update(((";" if at else "") + shown).encode())
+            counts += len(a), len(b), groups
+            parts.append(np.unique(links, return_counts=True))
             at = end.end() if end else len(text)
         return counts, digest.hexdigest() if parts else "", parts
 
