@@ -189,6 +189,11 @@ FROM found GROUP BY kind, table_name, value, actual, expected""",
             + _escaped("string_split(text, chr(10))[-1]")),
     ]),
     "dump_appended": "SELECT c_name || '_0' AS table_name, CAST(2 AS BIGINT) AS copies FROM customer",
+    "load_once": f"""
+SELECT table_name, col, cell_data FROM ({_CUSTOMER_CELLS})
+UNION ALL
+SELECT DISTINCT 'fixture-20201220-pages-articles-multistream1.xml-p' || c_custkey // 50 * 50 || 'p' || (c_custkey // 50 * 50 + 49) || '.bz2', CAST(-1 AS INTEGER), 'loaded'
+FROM customer""",
     "multistream_cells": _CUSTOMER_CELLS,
     "incremental_load": _CUSTOMER_CELLS,
     "dump_index_streams": """

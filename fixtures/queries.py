@@ -66,6 +66,18 @@ def dump_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
     return information.groupBy("table_name").agg(F.count(F.lit(1)).alias("copies"))
 
 
+def load_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder that grows between loads, each of which takes the files that are not loaded yet."""
+    pages, folder, out = customer_pages(spark, sf_dir), shared_folder(spark) + _ODD, shared_folder(spark)
+    for third in range(3):
+        write_dump(pages.where(F.floor(r.col("page_id") / 50) % 3 == third), folder, per_file=50)
+        for _ in range(2):
+            wc.load_dump(spark, folder, out, once=True)
+    cells = wc.read_tables(spark, out)[1].select("table_name", "col", "cell_data")
+    noted = wc.read_loaded(spark, out).select("file", F.lit(-1).alias("col"), F.lit("loaded").alias("cell_data"))
+    return cells.union(noted)
+
+
 def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two arrivals of files, each loaded once."""
     pages = customer_pages(spark, sf_dir)
@@ -277,6 +289,7 @@ QUERIES = {
     "dump_pages": dump_pages,
     "dump_cells": dump_cells,
     "dump_appended": dump_appended,
+    "load_once": load_once,
     "multistream_cells": multistream_cells,
     "dump_index_streams": dump_index_streams,
     "file_pairs": file_pairs,

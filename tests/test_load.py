@@ -4,9 +4,11 @@ import re
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 import wikicells as wc
 from fixtures.dump import write_multistream
+from wikicells.plans import tables
 from wikicells.plans.tables import DATA_SCHEMA, INFORMATION_SCHEMA
 from wikicells.streaming.incremental import write_batch
 
@@ -186,3 +188,38 @@ def test_sizes_of_files(spark, folder):
         assert stored(spark, f"{folder}/{out}") == expected(range(200))
     files = [sum(f.endswith(".parquet") for _, _, names in os.walk(f"{folder}/{out}") for f in names) for out in ("many", "few")]
     assert files[0] >= 18 and files[1] == 2
+
+
+def test_load_once(spark, folder):
+    """Files come in once, by name and length; a failed load leaves no note and no rows."""
+    write_multistream(f"{folder}/dump", "p1p9", [(1, "A", "\n{|\n| a\n|}")])
+    out = f"{folder}/tables"
+    for _ in range(2):
+        wc.load_dump(spark, f"{folder}/dump", out, once=True)
+    write_multistream(f"{folder}/dump", "p10p19", [(10, "B", "\n{|\n| b\n|}")])
+    write_multistream(f"{folder}/dump", "p20p29", [(20, "C", "no table")])
+    real, tables.as_stored = tables.as_stored, lambda records, load: records.select(F.raise_error(F.lit("lost")))
+    try:
+        with pytest.raises(Exception, match="lost"):
+            wc.load_dump(spark, f"{folder}/dump", out, once=True)
+    finally:
+        tables.as_stored = real
+    assert wc.read_loaded(spark, out).count() == 1
+    for _ in range(2):
+        wc.load_dump(spark, f"{folder}/dump", out, once=True)
+    assert sorted(r.table_name for r in wc.read_tables(spark, out)[1].collect()) == ["A_0", "B_0"]
+    assert wc.read_loaded(spark, out).count() == 3
+    assert wc.read_loaded(spark, f"{folder}/none").count() == 0
+
+
+def test_records_are_scanned_once(spark, folder):
+    path = f"{folder}/records"
+    raw = {"PageName": "P", "PageId": "1", "TableId": 0, "WikitableData": "{|\n| a\n| b\n|}"}
+    rows = [["P_0", 0, i, cell, "", 0, 1, 1] for i, cell in enumerate("ax")]
+    records = [{"raw": raw, "parsed": [["P", "P_0", "", "", ""], rows]}, {"raw": raw, "parsed": [["P", "P_0", "", "", ""], []]}]
+    spark.createDataFrame([(json.dumps(r),) for r in records], "value string").write.text(path)
+    diff = wc.record_diff(spark, path, lines=True)
+    found = sorted((r.kind, r.cell_data, r.actual_copies, r.expected_copies) for r in diff.collect())
+    assert found == [("data", "a", 2, 1), ("data", "b", 2, 0), ("data", "x", 0, 1)]
+    plan = wc.record_diff(spark, path, lines=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan json") == 1

@@ -1,14 +1,14 @@
 """From a dump to the result tables."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from wikicells.operators.extract import extract_tables
 from wikicells.operators.parse import ParsedTables, data_of, info_of, parse_records
 from wikicells.options import OBSERVED
-from wikicells.plans.tables import write_records
-from wikicells.sources.files import dump_files, pair_files, without_glob
-from wikicells.sources.pages import read_pages
+from wikicells.plans.tables import read_loaded, write_records
+from wikicells.sources.files import dump_files, dump_id_of, pair_files, without_glob
+from wikicells.sources.pages import DATA_FILES, read_pages
 
 
 def paired_files(spark: SparkSession, folder: str) -> list[str]:
@@ -23,6 +23,19 @@ def paired_files(spark: SparkSession, folder: str) -> list[str]:
     return sorted(paths)
 
 
+def new_files(spark: SparkSession, folder: str, out: str, paired: bool = True) -> list[Row]:
+    """``(path, dump_id, file, length)`` of the data files that loads of the kind ``once`` have not brought into ``out``.
+
+    Like any listing, this is as long as there are files.
+    """
+    if paired:
+        files = pair_files(dump_files(spark, without_glob(folder))).select(F.col("data_path").alias("path"), F.col("data_length").alias("length"))
+    else:
+        files = dump_files(spark, folder, DATA_FILES).select("path", "length")
+    named = files.select("path", dump_id_of(F.col("path")).alias("dump_id"), F.substring_index("path", "/", -1).alias("file"), "length")
+    return sorted(named.join(read_loaded(spark, out), ["dump_id", "file", "length"], "left_anti").select(named.columns).collect())
+
+
 def dump_records(spark: SparkSession, path: str | list[str], dialect: str = OBSERVED) -> DataFrame:
     """All result rows of dump files or a folder, by one narrow pass.
 
@@ -50,6 +63,7 @@ def load_dump(
     dialect: str = OBSERVED,
     paired: bool = True,
     target_bytes: int | None = None,
+    once: bool = False,
 ) -> None:
     """Load a dump into result tables at ``out``.
 
@@ -61,6 +75,18 @@ def load_dump(
     existing one, however it was made, which keeps what is there and does not
     look for duplicates. Pages with tables that cannot be read are kept aside,
     see ``read_rejected``. ``target_bytes``: see ``write_records``.
+
+    With ``once``, files that such a load has brought into ``out`` before, by
+    dump, name and length, are left out, and the others are noted by the commit
+    that makes their rows visible. So a load that failed, or a folder that has
+    grown, is loaded by the same call again, and every file once.
     """
+    if once:
+        listed = new_files(spark, path, out, paired)
+        if listed:
+            noted = spark.createDataFrame([row[1:] for row in listed], "dump_id STRING, file STRING, length BIGINT")
+            records = dump_records(spark, [without_glob(row.path) for row in listed], dialect)
+            write_records(records, out, "append", target_bytes=target_bytes, files=noted)
+        return
     files = paired_files(spark, path) if paired else path
     write_records(dump_records(spark, files, dialect), out, mode, target_bytes=target_bytes)

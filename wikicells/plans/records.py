@@ -1,12 +1,11 @@
 """Recorded tables with their expected rows, and the check against them."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wikicells.operators.compare import diff_rows
-from wikicells.operators.parse import parse_tables
+from wikicells.operators.parse import parse_records
 from wikicells.options import OBSERVED
-from wikicells.plans.tables import DATA_SCHEMA, INFORMATION_SCHEMA
+from wikicells.plans.tables import DATA_SCHEMA
 
 # Fixed value: the record format, ``{raw: {…}, parsed: [info_row, [data_row, …]]}``
 # with rows as JSON arrays.
@@ -34,32 +33,67 @@ def raw_of_records(records: DataFrame) -> DataFrame:
     )
 
 
-def _columns(row: str, schema: str) -> list:
-    fields = (field.split() for field in schema.split(", "))
-    return [F.get(row, F.lit(i)).cast(kind).alias(name) for i, (name, kind) in enumerate(fields)]
+_ROW = f"kind STRING, page_name STRING, table_attributes STRING, {DATA_SCHEMA}"
 
 
-def expected_information(records: DataFrame) -> DataFrame:
-    rows = records.select(F.from_json(F.get("parsed", F.lit(0)), "array<string>").alias("r"))
-    return rows.select(*_columns("r", INFORMATION_SCHEMA))
+def _row(kind: str, values: dict[str, Column]) -> Column:
+    """A row of either kind; columns that it lacks are null."""
+    values = {"kind": F.lit(kind)} | values
+    fields = (field.split() for field in _ROW.split(", "))
+    return F.struct(*(values.get(name, F.lit(None)).cast(of).alias(name) for name, of in fields))
 
 
-def expected_data(records: DataFrame) -> DataFrame:
-    rows = records.select(
-        F.explode(F.from_json(F.get("parsed", F.lit(1)), "array<array<string>>")).alias("r")
+def _expected_rows(parsed: Column) -> Column:
+    """The rows that a record expects, of both kinds."""
+    at = dict(zip(("page_name", "table_name", "table_attributes", "cell_data", "cell_attributes"), range(5), strict=True))
+    names = [field.split()[0] for field in DATA_SCHEMA.split(", ")]
+    info = F.from_json(F.get(parsed, F.lit(0)), "array<string>")
+    data = F.from_json(F.get(parsed, F.lit(1)), "array<array<string>>")
+    return F.concat(
+        F.array(_row("information", {name: F.get(info, F.lit(i)) for name, i in at.items()})),
+        F.coalesce(F.transform(data, lambda r: _row("data", {name: F.get(r, F.lit(i)) for i, name in enumerate(names)})), F.array().cast(f"array<struct<{_ROW.replace(' ', ':').replace(',:', ',')}>>")),
     )
-    return rows.select(*_columns("r", DATA_SCHEMA))
+
+
+def record_diff(spark: SparkSession, path: str, dialect: str = OBSERVED, lines: bool = False) -> DataFrame:
+    """Rows of records of which there are not as many parsed as expected, by one scan of the file.
+
+    A record gives its raw table, which is parsed, and its expected rows, which pass the parser by
+    untouched; one aggregate counts both. ``kind`` is ``information``, with the caption as
+    ``cell_data``, or ``data``; columns that a kind lacks are null.
+    """
+    is_table = F.col("part") == 0
+    parts = read_records(spark, path, lines).select("raw", "parsed", F.explode(F.array(F.lit(0), F.lit(1))).alias("part"))
+    rows = parse_records(parts.select(
+        F.when(is_table, F.col("raw.PageName")).alias("page_name"), F.when(is_table, F.col("raw.TableId")).alias("table_idx"),
+        F.when(is_table, F.col("raw.WikitableData")).alias("raw"), F.when(~is_table, F.to_json("parsed")).alias("corrupt"),
+    ), dialect)
+    own = [field.split()[0] for field in DATA_SCHEMA.split(", ")]
+    info = _row("information", {name: F.col(name) for name in ("page_name", "table_name", "table_attributes", "cell_data", "cell_attributes")})
+    found = F.array(F.when(F.col("row") < 0, info).otherwise(_row("data", {name: F.col(name) for name in own})))
+    is_expected = F.col("corrupt").isNotNull()
+    counted = rows.select(
+        is_expected.alias("is_expected"),
+        F.inline(F.when(is_expected, _expected_rows(F.from_json("corrupt", "array<string>"))).otherwise(found)),
+    )
+    return counted.groupBy(*(field.split()[0] for field in _ROW.split(", "))).agg(
+        F.count_if(~F.col("is_expected")).alias("actual_copies"), F.count_if("is_expected").alias("expected_copies")
+    ).where("actual_copies != expected_copies")
 
 
 def check_records(spark: SparkSession, path: str, dialect: str = OBSERVED, lines: bool = False) -> bool:
-    """Whether parsing the raw tables of a record file gives its expected rows."""
-    return all(diff.isEmpty() for diff in record_differences(spark, path, dialect, lines))
+    """Whether parsing the raw tables of a record file gives its expected rows; the file is read once."""
+    return record_diff(spark, path, dialect, lines).isEmpty()
 
 
 def record_differences(
     spark: SparkSession, path: str, dialect: str = OBSERVED, lines: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Information and data rows that differ, as ``diff_rows`` gives them; each reads the file twice."""
-    records = read_records(spark, path, lines)
-    parsed = parse_tables(raw_of_records(records), dialect)
-    return diff_rows(parsed.info, expected_information(records)), diff_rows(parsed.data, expected_data(records))
+    """Information and data rows that differ, as ``diff_rows`` gives them; each reads the file once."""
+    diff = record_diff(spark, path, dialect, lines)
+    copies = ("actual_copies", "expected_copies")
+    information = diff.where("kind = 'information'").select(
+        "page_name", "table_name", "table_attributes", F.col("cell_data").alias("caption"),
+        F.col("cell_attributes").alias("caption_attributes"), *copies,
+    )
+    return information, diff.where("kind = 'data'").select(*(field.split()[0] for field in DATA_SCHEMA.split(", ")), *copies)

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-INFORMATION, DATA, REJECTED = "wikitable_information", "wikitable_data", "rejected_pages"
+INFORMATION, DATA, REJECTED, LOADED = "wikitable_information", "wikitable_data", "rejected_pages", "loaded_files"
 
 INFORMATION_SCHEMA = (
     "page_name STRING, table_name STRING, table_attributes STRING, "
@@ -21,7 +21,7 @@ DATA_SCHEMA = (
 # One folder for the rows of a dump, of a load (a batch load, or a batch of an
 # incremental one), of a table.
 _DUMP, _LOAD, _KIND = "dump_id", "load", "result"
-_STORED = f"{_DUMP} STRING, {_LOAD} STRING, {_KIND} STRING, {INFORMATION_SCHEMA}, {DATA_SCHEMA.split(',', 1)[1]}, page STRING"
+_STORED = f"{_DUMP} STRING, {_LOAD} STRING, {_KIND} STRING, {INFORMATION_SCHEMA}, {DATA_SCHEMA.split(',', 1)[1]}, page STRING, file STRING, length BIGINT"
 
 
 def as_stored(records: DataFrame, load: str) -> DataFrame:
@@ -75,7 +75,8 @@ def check_layout(spark: SparkSession, path: str) -> None:
 
 
 def write_records(
-    records: DataFrame, path: str, mode: str = "errorifexists", load: str | None = None, target_bytes: int | None = None
+    records: DataFrame, path: str, mode: str = "errorifexists", load: str | None = None, target_bytes: int | None = None,
+    files: DataFrame | None = None,
 ) -> None:
     """Write all result tables in one job.
 
@@ -87,18 +88,25 @@ def write_records(
     Without ``target_bytes`` a task writes its rows where they are, a file per
     table: many files when splits are small. With it, rows are shuffled into
     files of about that size (of rows before compression).
+
+    ``files(dump_id, file, length)`` are noted as loaded by the same commit, see
+    ``read_loaded``.
     """
     spark = records.sparkSession
     check_layout(spark, path)
-    stored = as_stored(records, load or f"batch-{uuid.uuid4().hex}")
+    replaces, load = load is not None, load or f"batch-{uuid.uuid4().hex}"
+    stored = as_stored(records, load)
+    if files is not None:
+        noted = files.select(_DUMP, "file", "length").withColumn(_LOAD, F.lit(load)).withColumn(_KIND, F.lit(LOADED))
+        stored = stored.unionByName(noted, allowMissingColumns=True)
     # A task keeps a file per table open, so it need not sort its rows.
     values: dict[str, object] = {"spark.sql.maxConcurrentOutputFileWriters": 8}
     if target_bytes:
         stored = stored.hint("rebalance", _DUMP, _KIND)
         values["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = target_bytes
     with settings(spark, values):
-        writer = stored.write.mode("overwrite" if load else mode).partitionBy(_DUMP, _LOAD, _KIND)
-        if load:
+        writer = stored.write.mode("overwrite" if replaces else mode).partitionBy(_DUMP, _LOAD, _KIND)
+        if replaces:
             writer = writer.option("partitionOverwriteMode", "dynamic")
         writer.parquet(path)
 
@@ -134,6 +142,15 @@ def read_rejected(spark: SparkSession, path: str) -> DataFrame:
     return _stored(spark, path).where(F.col(_KIND) == REJECTED).select(_DUMP, "page")
 
 
+def read_loaded(spark: SparkSession, path: str) -> DataFrame:
+    """``(dump_id, file, length)``: the files that loads of the kind ``once`` have brought in; none if there is no database."""
+    try:
+        stored = _stored(spark, path)
+    except AnalysisException:
+        stored = spark.createDataFrame([], _STORED)
+    return stored.where(F.col(_KIND) == LOADED).select(_DUMP, "file", "length").distinct()
+
+
 def register_views(spark: SparkSession, path: str) -> None:
     """Make the result tables queryable by name in Spark SQL, with ``dump_id``."""
     information, data = read_tables(spark, path, with_dump_id=True)
