@@ -79,11 +79,13 @@ def _file_system(folder: str):
 
 
 def write_multistream(
-    folder: str, range_key: str, pages: Iterator[tuple], per_stream: int = 100, dump: str = DUMP, with_index: bool = True
+    folder: str, range_key: str, pages: Iterator[tuple], per_stream: int = 100, dump: str = DUMP, with_index: bool = True,
+    damaged: int | None = None,
 ) -> tuple[int, int]:
     """One data file and its index: a header stream, page streams, a footer stream.
 
     ``pages`` are ``(page_id, title, text)``, or with a fourth field ``broken``.
+    The stream with the page ``damaged`` gets bytes in its middle that are wrong.
 
     Both files get their names when they are complete, so that a second attempt
     of a task does no harm. Gives the number of streams and of pages.
@@ -99,15 +101,25 @@ def write_multistream(
     ):
         data.write(bz2.compress(HEADER.encode()))
         held: list[str] = []
+        hit = False
+
+        def stream() -> bytes:
+            packed = bytearray(bz2.compress("".join(held).encode()))
+            if hit:
+                middle = len(packed) // 2
+                packed[middle : middle + 8] = bytes(255 - byte for byte in packed[middle : middle + 8])
+            return bytes(packed)
+
         for page in pages:
+            hit = hit or page[0] == damaged
             index.write(f"{data.tell()}:{page[0]}:{page[1]}\n")
             held.append(page_xml(*page))
             count += 1
             if len(held) == per_stream:
-                data.write(bz2.compress("".join(held).encode()))
-                streams, held = streams + 1, []
+                data.write(stream())
+                streams, held, hit = streams + 1, [], False
         if held:
-            data.write(bz2.compress("".join(held).encode()))
+            data.write(stream())
             streams += 1
         data.write(bz2.compress(FOOTER.encode()))
     for kind, name in zip(("data", "index"), names(range_key, dump), strict=True):
@@ -117,7 +129,8 @@ def write_multistream(
 
 
 def write_dump(
-    pages: DataFrame, folder: str, per_stream: int = 100, per_file: int = 1000, dump: str = DUMP, with_index: bool = True
+    pages: DataFrame, folder: str, per_stream: int = 100, per_file: int = 1000, dump: str = DUMP, with_index: bool = True,
+    damaged: int | None = None,
 ) -> str:
     """A multistream dump: each file has the next ``per_file`` page ids, in order.
 
@@ -133,7 +146,7 @@ def write_dump(
                 folder,
                 f"p{i * per_file}p{(i + 1) * per_file - 1}",
                 ((r["page_id"], r["page_name"], r["text"], r.get("broken", False)) for r in group),
-                per_stream, dump, with_index,
+                per_stream, dump, with_index, damaged,
             )
             yield pa.RecordBatch.from_pydict({"streams": [streams], "pages": [count]})
 

@@ -194,6 +194,10 @@ SELECT table_name, col, cell_data FROM ({_CUSTOMER_CELLS})
 UNION ALL
 SELECT DISTINCT 'fixture-20201220-pages-articles-multistream1.xml-p' || c_custkey // 50 * 50 || 'p' || (c_custkey // 50 * 50 + 49) || '.bz2', CAST(-1 AS INTEGER), 'loaded'
 FROM customer""",
+    "damaged_streams": f"""
+SELECT 'cell' AS kind, table_name AS name FROM ({_CUSTOMER_CELLS})
+WHERE table_name NOT IN (SELECT c_name || '_0' FROM customer WHERE c_custkey BETWEEN 20 AND 39)
+UNION ALL SELECT 'damaged', 'fixture-20201220-pages-articles-multistream1.xml-p0p999.bz2'""",
     "multistream_cells": _CUSTOMER_CELLS,
     "incremental_load": _CUSTOMER_CELLS,
     "dump_index_streams": """

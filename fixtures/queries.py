@@ -114,6 +114,15 @@ def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected.union(wc.read_tables(spark, out)[1].select(F.lit("cell"), "table_name"))
 
 
+def damaged_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream in the midst of a file does not unpack; all others are loaded."""
+    folder, out = write_dump(customer_pages(spark, sf_dir), shared_folder(spark) + _ODD, per_stream=20, damaged=30), shared_folder(spark)
+    wc.load_dump(spark, folder, out, by_stream=True)
+    place = F.regexp_extract("page", r"^damaged stream in .*/([^/]+\.bz2), bytes \d+ to \d+: ", 1)
+    rejected = wc.read_rejected(spark, out).select(F.lit("damaged").alias("kind"), place.alias("name"))
+    return rejected.union(wc.read_tables(spark, out)[1].select(F.lit("cell"), "table_name"))
+
+
 def table_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages without tables, or with an unclosed one, leave nothing."""
     folder = write_xml(r.order_mixed_pages(spark, sf_dir), shared_folder(spark))
@@ -302,6 +311,7 @@ QUERIES = {
     "mixed_load": mixed_load,
     "rejected_rows": rejected_rows,
     "table_pages": table_pages,
+    "damaged_streams": damaged_streams,
     "check_records": check_records,
     "lines_before_entry": partial(_data, r.head_pages),
     "hidden_rows": partial(_data, r.hidden_row_pages),

@@ -8,7 +8,9 @@ from wikicells.operators.parse import ParsedTables, data_of, info_of, parse_reco
 from wikicells.options import OBSERVED
 from wikicells.plans.tables import read_loaded, write_records
 from wikicells.sources.files import dump_files, dump_id_of, pair_files, without_glob
+from wikicells.sources.index import read_index, stream_offsets, stream_ranges
 from wikicells.sources.pages import DATA_FILES, read_pages
+from wikicells.sources.streams import read_streams
 
 
 def paired_files(spark: SparkSession, folder: str) -> list[str]:
@@ -45,6 +47,20 @@ def dump_records(spark: SparkSession, path: str | list[str], dialect: str = OBSE
     return parse_records(extract_tables(pages, dialect), dialect)
 
 
+def records_by_stream(spark: SparkSession, folder: str, dialect: str = OBSERVED) -> DataFrame:
+    """``dump_records`` of a folder whose data files are read stream by stream, as their index has them.
+
+    A damaged stream is a row with ``corrupt``, and the streams behind it are
+    read; files that are read as a whole stop the job there.
+    """
+    pairs = pair_files(dump_files(spark, without_glob(folder)))
+    paths = sorted(without_glob(row.index_path) for row in pairs.select("index_path").collect())
+    if not paths:
+        raise ValueError(f"{folder} has no data file with an index file")
+    ranges = stream_ranges(stream_offsets(read_index(spark, paths)), pairs)
+    return parse_records(extract_tables(read_streams(ranges, with_tables_only=True), dialect), dialect)
+
+
 def parse_dump(spark: SparkSession, path: str | list[str], dialect: str = OBSERVED) -> ParsedTables:
     """Dump files or a folder to their two result tables, lazily.
 
@@ -64,6 +80,7 @@ def load_dump(
     paired: bool = True,
     target_bytes: int | None = None,
     once: bool = False,
+    by_stream: bool = False,
 ) -> None:
     """Load a dump into result tables at ``out``.
 
@@ -80,7 +97,15 @@ def load_dump(
     dump, name and length, are left out, and the others are noted by the commit
     that makes their rows visible. So a load that failed, or a folder that has
     grown, is loaded by the same call again, and every file once.
+
+    With ``by_stream``, streams are read one by one through the index, so that
+    a damaged one does not stop the load; see ``read_rejected`` for its place.
     """
+    if by_stream:
+        if once or not paired:
+            raise ValueError("by_stream loads all data files that have an index file")
+        write_records(records_by_stream(spark, path, dialect), out, mode, target_bytes=target_bytes)
+        return
     if once:
         listed = new_files(spark, path, out, paired)
         if listed:

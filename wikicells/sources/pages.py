@@ -23,29 +23,32 @@ def pages_of_chunks(chunks: DataFrame, with_tables_only: bool = False) -> DataFr
     What comes before ``<page>`` (the header of a dump) is cut off; a chunk
     without it (the footer) is dropped. A page that is not well-formed XML or
     has no title keeps its XML in ``corrupt`` and has nulls elsewhere.
-    ``dump_id`` goes along if there is one.
+    ``dump_id`` goes along if there is one. A chunk with ``damaged``, a message of
+    the reader, is a row with that as ``corrupt``.
 
     ``with_tables_only`` drops pages without an opening table marker before
     they are decoded.
     """
     value = F.col("value")
-    kept = chunks.where(value.contains(PAGE_START))
+    wanted = value.contains(PAGE_START)
     if with_tables_only:
-        kept = kept.where(value.contains("{|"))
+        wanted = wanted & value.contains("{|")
+    kept = chunks.where(wanted | F.col("damaged").isNotNull() if "damaged" in chunks.columns else wanted)
     page = F.concat(
         F.substring(value, F.instr(value, PAGE_START), F.length(value)), F.lit(PAGE_END)
     )
-    known = [name for name in ("dump_id",) if name in chunks.columns]
+    known = [name for name in ("dump_id", "damaged") if name in chunks.columns]
     decoded = kept.select(*known, page.alias("xml")).select(
         *known, "xml", F.from_xml("xml", PAGE_SCHEMA, _XML_OPTIONS).alias("page")
     )
     titled = F.col("page._corrupt_record").isNull() & F.col("page.title").isNotNull()
+    corrupt = F.when(~titled, F.col("xml"))
     return decoded.select(
         F.when(titled, F.col("page.id")).alias("page_id"),
         F.when(titled, F.col("page.title")).alias("page_name"),
         F.when(titled, F.col("page.revision.text._VALUE")).alias("text"),
-        F.when(~titled, F.col("xml")).alias("corrupt"),
-        *known,
+        (F.coalesce("damaged", corrupt) if "damaged" in known else corrupt).alias("corrupt"),
+        *(name for name in known if name != "damaged"),
     )
 
 

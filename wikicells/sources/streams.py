@@ -48,9 +48,13 @@ def check_stores(ranges: DataFrame) -> None:
         raise ValueError(f"byte ranges cannot be read from {', '.join(sorted(unknown))}; known are {', '.join(filter(None, _STORES))}")
 
 
+class DamagedStream(Exception):
+    """Bytes that do not unpack."""
+
+
 def _chunks_of_range(path: str, start: int, end: int) -> Iterator[str]:
     """Page chunks of the bytes ``[start, end)``, decompressed as they are read."""
-    unzip, rest, mark = bz2.BZ2Decompressor(), b"", PAGE_END.encode()
+    unzip, rest, mark, first = bz2.BZ2Decompressor(), b"", PAGE_END.encode(), start
     with _open(path) as source:
         source.seek(start)
         while start < end:
@@ -59,7 +63,11 @@ def _chunks_of_range(path: str, start: int, end: int) -> Iterator[str]:
                 raise ValueError(f"{path} ends {end - start} bytes before its byte range")
             start += len(packed)
             while packed:
-                *pages, rest = (rest + unzip.decompress(packed)).split(mark)
+                try:
+                    unpacked = unzip.decompress(packed)
+                except OSError as error:
+                    raise DamagedStream(f"damaged stream in {path}, bytes {first} to {end}: {error}") from error
+                *pages, rest = (rest + unpacked).split(mark)
                 yield from (page.decode("utf-8") for page in pages)
                 packed = unzip.unused_data
                 if unzip.eof:
@@ -69,21 +77,30 @@ def _chunks_of_range(path: str, start: int, end: int) -> Iterator[str]:
 
 
 def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def packed(dump: str, held: list[str]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"value": held, "dump_id": [dump] * len(held)})
+    def packed(dump: str, held: list[str | None], damaged: str | None = None) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(held, pa.string()), pa.array([dump] * len(held), pa.string()), pa.array([damaged] * len(held), pa.string())],
+            names=["value", "dump_id", "damaged"],
+        )
 
     for batch in batches:
         for row in batch.to_pylist():
             held: list[str] = []
             size = 0
-            for chunk in _chunks_of_range(row["data_path"], row["start"], row["end"]):
-                held.append(chunk)
-                size += len(chunk)
-                if size >= _BATCH_CHARACTERS:
-                    yield packed(row["dump_id"], held)
-                    held, size = [], 0
+            damaged = None
+            try:
+                for chunk in _chunks_of_range(row["data_path"], row["start"], row["end"]):
+                    held.append(chunk)
+                    size += len(chunk)
+                    if size >= _BATCH_CHARACTERS:
+                        yield packed(row["dump_id"], held)
+                        held, size = [], 0
+            except DamagedStream as error:
+                damaged = str(error)
             if held:
                 yield packed(row["dump_id"], held)
+            if damaged:
+                yield packed(row["dump_id"], [None], damaged)
 
 
 def read_streams(ranges: DataFrame, partitions: int | None = None, with_tables_only: bool = False) -> DataFrame:
@@ -91,7 +108,9 @@ def read_streams(ranges: DataFrame, partitions: int | None = None, with_tables_o
 
     Local files, HDFS, S3, Google and Azure stores can be read by byte range;
     another one raises an error here. A range that its file does not hold stops
-    the job, a page cut off by the end of its range is kept as corrupt.
+    the job, a page cut off by the end of its range is kept as corrupt. A stream
+    whose bytes do not unpack costs the pages behind the damage, and is a row with
+    its file and bytes in ``corrupt``; the next range starts anew.
 
     The rows are few and small but each stands for about 100 pages of work, so
     they are spread over a fixed number of tasks, which adaptive execution does
@@ -105,5 +124,5 @@ def read_streams(ranges: DataFrame, partitions: int | None = None, with_tables_o
         )
     check_stores(ranges)
     named = ranges.select("data_path", dump_id_of(F.col("data_path")).alias("dump_id"), "start", "end")
-    chunks = named.repartition(partitions, "data_path", "start").mapInArrow(_read_batches, "value string, dump_id string")
+    chunks = named.repartition(partitions, "data_path", "start").mapInArrow(_read_batches, "value string, dump_id string, damaged string")
     return pages_of_chunks(chunks, with_tables_only)
