@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from wikicells.llm.scratch import settle
 
 #: Words that a task counts before it passes the counts on, less than 2^31.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 #: Bytes of a text that are cut into words at a time.
 PART = 1 << 22
 #: Bits of a bitmap of hashes: 8 MB.
