@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -36,3 +37,13 @@ def settle(df: DataFrame, batch_rows: int | None = None) -> DataFrame:
     finally:
         spark.conf.set(key, before)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Gives the driver's memory of finished plans and results back, as a stage of many jobs leaves much of it.
+
+    Handles that Python still holds go first, so that the JVM can drop what they stand for; a full
+    collection then returns the emptied part of the heap to the system.
+    """
+    gc.collect()
+    spark._jvm.java.lang.System.gc()
