@@ -43,7 +43,9 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Digests of the token ids of every document, and of what they decode to."""
     release(spark)
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return bpe.round_trip(docs, path, public_tokenizers.PATTERN)
+    digests = bpe.round_trip(docs, path, public_tokenizers.PATTERN)
+    release(spark)  # the dictionary is made by now, the texts are encoded as the result is read
+    return digests
 
 
 STAGES = [
