@@ -105,3 +105,40 @@ def test_rows(spark, odd, nothing):
     assert out.columns == df.columns and out.count() == df.count() and redact(nothing).collect() == []
     assert {r.text for r in out.where("doc_id = 1").collect()} == {None}
     assert secrets.redact(df.select("text"), "text").count() == df.count()
+
+
+VALUE = "hJ3kd92jf83hHd0s"
+FORMS = (
+    'token = """{}"""', "token = '''{}'''", '<add key="password" value="{}"/>', '<password>"{}"</password>', "<password> {} </password>",
+    'user, password = "bob", "{}"', 'let user, token = "u1", "{}";', "password:\n  {}\n", "password: |\n  {}\n", "db_password = \\\n  {}\n",
+    'setdefault("DB_PASSWORD", "{}")', "run --password {} now", '{{\\"client_secret\\": \\"{}\\"}}', 'password = new String("{}")', 'password = ("{}")',
+    "client_secret_" + "a" * 700 + ' = "{}"', "password: " + "A" * 600 + ' = "{}"', 'f(a, password="{}")', 'x = "{}"\n' + "y" * 900 + " = x\nmy_token = " + "y" * 900,
+)
+
+
+def test_syntax_of_sources_and_configuration():
+    for form in FORMS:
+        text = form.format(VALUE)
+        assert [text[s:e] for s, _, e in named_spans(text, 0.5)] == [VALUE], form
+        assert VALUE not in hidden(text)
+        assert named_spans(text.replace("password", "color").replace("PASSWORD", "COLOR").replace("token", "color").replace("secret", "color"), 0.5) == [], form
+    key = f"-----BEGIN PRIVATE KEY-----\n  {VALUE * 3}\n  -----END PRIVATE KEY-----"
+    text = f"private_key: |\n  {key}\nname: x\n"
+    assert [text[s:e] for s, _, e in named_spans(text, 0.5)] == [key]
+    for text in ("token:\n  value: " + VALUE, "secrets:\n  a=b1c2d3e4\n", "The password:\n\nHe left", "<token>see below</token>", 'x = new String("' + VALUE + '")'):
+        assert named_spans(text, 0.5) == []
+
+
+def test_joins_of_joins_keep_small_numbers():
+    text = 'token = "aB3x"\n' + "token = token + token\n" * 6000
+    found = pairs(text)
+    assert len(found) == 6001 and len({round(p.score, 6) for p in found[1000:]}) == 1
+    assert [text[s:e] for s, _, e in named_spans(text, 0.5)] == ["aB3x"]
+    one = secrets.Look.of("aB3xaB3x")
+    twice = secrets.joined([secrets.Look.of("aB3x")] * 2)
+    assert (twice.size, twice.counts) == (one.size, one.counts)
+    for _ in range(200):
+        twice = secrets.joined([twice] * 3)
+    assert twice.size <= secrets.LARGE and secrets.randomness(twice, True) == secrets.randomness(one, True)
+    for text in ('k="""x ' * 20_001, "a,b=1," * 20_000, "a:\n " * 30_000, '("a' * 30_000, "<a>b" * 30_000, "--a " * 30_000, '=\\"' * 30_000, "x" * 200_000 + "=1"):
+        named_spans(text, 0.5)

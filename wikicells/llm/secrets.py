@@ -24,18 +24,37 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 #: A text without any of these, in lower case, has no match of ASSIGN.
 WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-# Lexing. An assignment is found by its operator: the target ends before it, the value starts after it.
+# Lexing. An assignment is found by its operator: the target ends before it, the value starts after it. No name or value has a largest length;
+# possessive loops keep the time linear, as between two marks of a kind each character is read once.
 OPERATOR = re.compile(r"(?::=|=>|[:=])(?![:=/~])")
 # What stands before an operator, from right to left: a type annotation, a quotation mark, an index, the name.
-TARGET = re.compile(r"""[ \t]*(?:[\w.<>\[\]]{1,40}[ \t]*:[ \t]*)?["']?(?:\]["']([\w.-]{1,64})["']\[)?([\w$.>-]{0,64}[A-Za-z_$])""", re.A)
-SPACE = re.compile(r"[ \t]*")
-# Key material in PEM form may go over several lines. Possessive loops, which take linear time: between two quotation marks of a kind each character is read once.
-QUOTED = re.compile(r'''[rbuf]{0,2}(?:"((?:[^"\\\n]++|\\.)*+|\s*+-----BEGIN\x20(?:[^"\\]++|\\.)*+)"|'((?:[^'\\\n]++|\\.)*+|\s*+-----BEGIN\x20(?:[^'\\]++|\\.)*+)'|`((?:[^`\\\n]++|\\.)*+|\s*+-----BEGIN\x20(?:[^`\\]++|\\.)*+)`)''', re.I | re.A)
-NAME = re.compile(r"[A-Za-z_$][\w$]{0,63}(?:\.[A-Za-z_]\w{0,63}){0,4}(?![\w$.(\[/+=-])", re.A)
+TARGET = re.compile(r"""[ \t]*+(?:[\w.<>\[\]]++[ \t]*+:[ \t]*+)?(?:["']\\*+)?(?:\]["']([\w.-]+)["']\[)?([\w$.>-]*[A-Za-z_$])""", re.A)
+# Further names of a tuple, from right to left, and what may stand before all of them.
+FURTHER = re.compile(r"[ \t]*+,[ \t]*+([\w$.]+)", re.A)
+DECLARED = re.compile(r"[ \t]*+(?:(?:rav|tel|tsnoc|lacol)[ \t]*+)?$")
+SPACE = re.compile(r"[ \t]*+(?:\\\r?\n[ \t]*+)*+")
+# What may stand around a quoted literal: a bracket, or a call that makes a string of it.
+AROUND = re.compile(r"""(?:(?:new[ \t]+)?(?:String|SecureString|SecretStr|Secret|str|bytes))?\(\s*+(?=[rbuf]{0,2}["'`])""")
+# Key material in PEM form may go over several lines, as text in three marks may.
+QUOTED = re.compile(
+    r"""[rbuf]{0,2}(?:"{3}((?:[^"\\]++|\\.|"(?!""))*+)"{3}|'{3}((?:[^'\\]++|\\.|'(?!''))*+)'{3}"""
+    r'''|\\++"([^"\\\n]++)\\++"'''
+    r"""|"((?:[^"\\\n]++|\\.)*+|\s*+-----BEGIN\x20(?:[^"\\]++|\\.)*+)"|'((?:[^'\\\n]++|\\.)*+|\s*+-----BEGIN\x20(?:[^'\\]++|\\.)*+)'"""
+    r"""|`((?:[^`\\\n]++|\\.)*+|\s*+-----BEGIN\x20(?:[^`\\]++|\\.)*+)`)""", re.I | re.A | re.S,
+)
+NAME = re.compile(r"[A-Za-z_$][\w$]*+(?:\.[A-Za-z_]\w*+)*+(?![\w$.(\[/+=-])", re.A)
 BARE = re.compile(r"""[^\s"'`,;(){}\[\]<>#|]++""")
-JOIN = re.compile(r"[ \t]*(?:\+|\.\.|\.)[ \t]*(?=[\"'`A-Za-z_$])")
-#: Characters before an operator that may belong to its target.
-REACH = 120
+JOIN = re.compile(r"[ \t]*+(?:\\?\r?\n[ \t]*+)?(?:\+|\.\.|\.)[ \t]*+(?:\\?\r?\n[ \t]*+)?(?=[\"'`A-Za-z_$])")
+COMMA = re.compile(r"[ \t]*+,[ \t]*+")
+# A value on the lines after its name: whole key material, or one line that is no assignment itself.
+BELOW = re.compile(r"(?:[|>][-+0-9]*+[ \t]*+)?\r?\n[ \t]++")
+LINE = re.compile(r"""(?![\w.-]++(?:=>|:=|[:=](?:[^=\s]|\s|$)))[^\s"'`,;(){}\[\]<>#|]++(?=[ \t]*+(?:\r?\n|$))""")
+MATERIAL = re.compile(r"-----BEGIN\x20[A-Z0-9\x20]++-----(?:[^-]++|-(?!----))*+-----END\x20[A-Z0-9\x20]++-----")
+# Assignments without an operator: arguments of a call, elements, attributes beside a name, options of a command.
+ARGUMENT = re.compile(r"""\(\s*+\\*+["']([\w.-]++)\\*+["']\s*+,\s*+""", re.A)
+ELEMENT = re.compile(r"""<([A-Za-z][\w.:-]*+)(?:\s[^<>]*+)?>\s*+["']?([^<>"'\s]++)["']?\s*+</""", re.A)
+ATTRIBUTE = re.compile(r"""\b(?:key|name|id)\s*+=\s*+["']([\w.:-]++)["']\s++value\s*+=\s*+["']([^"'<>]++)["']""", re.A)
+OPTION = re.compile(r"(?<![\w-])--([A-Za-z][\w-]*+)[ \t]++(?!-)", re.A)
 #: How much the words of a target name tell of a secret.
 SENSITIVE = {
     "password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 0.9, "pw": 0.9, "secret": 1.0, "token": 0.9, "apikey": 1.0,
@@ -55,6 +74,8 @@ MENTIONS = re.compile(r"(?i)example|changeme|change[-_]me|placeholder|redacted")
 STANDS = re.compile(r"(?i)(?:none|null|true|false|undefined|test|dummy|todo)$")
 #: Characters at the ends of a value that are kept to judge joined values; no match of the patterns above is longer.
 EDGE = 16
+#: Sizes of joined values beyond this are kept in proportion, as a name joined to itself doubles.
+LARGE = 1 << 60
 #: The armour of key material, and the line breaks in it.
 ARMOUR = re.compile(r"-----(?:BEGIN|END)\x20([A-Z0-9\x20]+)-----|\\[nr]|\s+")
 #: What armour says of material that is no secret.
@@ -72,7 +93,7 @@ PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 class Look:
     """What tells whether a value is a secret. Looks of joined values come from those of their parts."""
     size: int
-    counts: Counter
+    counts: Counter  # of characters; in proportion beyond `LARGE`
     head: str
     tail: str
     mentions: bool
@@ -102,13 +123,21 @@ class Pair:
 
     Parts are spans of literals in the text, and pairs whose names stand there. These are referred
     to, never copied: a name that is joined to itself again and again stands for ever more spans.
+    What name and value tell of a secret is settled here, so that looks need not be kept.
     """
     name: str
     parts: tuple[tuple[int, int] | Pair, ...]
     quoted: bool
-    look: Look
+    phrase: bool
+    told: float
+    score: float
     text: str = field(repr=False)
 
+    @staticmethod
+    def of(name: str, parts: list[tuple[int, int] | Pair], quoted: bool, look: Look, text: str) -> Pair:
+        told = sensitivity(name)
+        return Pair(name, tuple(parts), quoted, look.phrase, told, told and told * randomness(look, quoted), text)
+
     def leaves(self, seen: set[int] | None = None) -> Iterator[tuple[int, int]]:
         """Spans of literals in order; with `seen`, each pair once, those in it not at all."""
         todo = [self]
@@ -145,7 +174,10 @@ def joined(looks: list[Look]) -> Look:
         head = (head + look.head)[:EDGE] if len(head) < EDGE else head
         tail = (tail + look.tail)[-EDGE:]
     armoured, about = any(look.armoured for look in looks), any(look.about for look in looks)
-    return Look(sum(look.size for look in looks), counts, head, tail, mentions, armoured, about)
+    size = sum(look.size for look in looks)
+    if size > LARGE:
+        counts, size = Counter({c: n * (LARGE / size) for c, n in counts.items()}), LARGE
+    return Look(size, counts, head, tail, mentions, armoured, about)
 
 
 def sensitivity(name: str) -> float:
@@ -188,48 +220,127 @@ def randomness(look: Look, quoted: bool) -> float:
     return min(1.0, entropy / full) * (0.6 if classes < 2 else 0.85 if classes < 3 else 1.0)
 
 
-def pairs(text: str) -> list[Pair]:
-    """Name-literal pairs of assignments, in order.
+@dataclass
+class Value:
+    """Literals and known names that are read as one value."""
+    parts: list[tuple[int, int] | Pair] = field(default_factory=list)
+    looks: list[Look] = field(default_factory=list)
+    quoted: bool = False
+    bare: bool = False
+    end: int = 0
+
+    def add(self, text: str, span: tuple[int, int], end: int) -> None:
+        self.parts.append(span)
+        self.looks.append(Look.of(text[span[0] : span[1]]))
+        self.end = end
+
+    def __bool__(self) -> bool:
+        return any(isinstance(part, Pair) or part[1] > part[0] for part in self.parts)
+
+
+def _value(text: str, place: int, known: dict[str, tuple[Pair, Look]], bare: bool = True) -> Value:
+    """The value that starts at a place; empty if there is none."""
+    value = Value()
+    if around := AROUND.match(text, place):
+        place = around.end()
+    while True:
+        if m := QUOTED.match(text, place):
+            value.add(text, m.span(m.lastindex), m.end())
+            value.quoted = True
+        elif (m := NAME.match(text, place)) and (source := known.get(m[0])):
+            value.parts.append(source[0])
+            value.looks.append(source[1])
+            value.quoted |= source[0].quoted
+            value.end = m.end()
+        elif bare and not value.parts and (m := BARE.match(text, place)):
+            value.add(text, m.span(), m.end())
+            value.bare = True
+        else:
+            return value
+        if not (value.quoted and (join := JOIN.match(text, value.end))):
+            return value
+        place = join.end()
+
+
+def _below(text: str, place: int) -> Value:
+    """The value on the lines below a name that ends with a colon."""
+    value = Value()
+    if m := MATERIAL.match(text, place):
+        value.quoted = True
+    else:
+        m = LINE.match(text, place)
+        value.bare = bool(m)
+    if m:
+        value.add(text, m.span(), m.end())
+    return value
+
+
+def _named(text: str) -> Iterator[tuple[str, Value]]:
+    """Names and values that belong together without an operator between them."""
+    for pattern, mark in ((ELEMENT, "</"), (ATTRIBUTE, "value")):
+        for m in pattern.finditer(text) if mark in text else ():
+            if sensitivity(m[1]):
+                value = Value(quoted=pattern is ATTRIBUTE)
+                value.add(text, m.span(2), m.end())
+                yield m[1], value
+    for pattern, mark in ((ARGUMENT, "("), (OPTION, "--")):
+        for m in pattern.finditer(text) if mark in text else ():
+            if sensitivity(m[1]):
+                yield m[1], _value(text, m.end(), {}, bare=pattern is OPTION)
+
 
-    An operator within a bare value belongs to it. Read are quoted literals, bare configuration values, literals joined by `+`, `.` or `..`, and
-    names of earlier assignments, whose literals are propagated. Literals of any length are read
-    whole, and all parts of a join.
+def pairs(text: str) -> list[Pair]:
+    """Name-literal pairs: those of assignments in order, then those that have no operator.
+
+    Lexed are targets with annotations, indices and quotation marks (escaped ones too), tuples of
+    targets, quoted literals of one or three marks, bare configuration values, values on the next
+    line after a backslash or a colon, literals joined by `+`, `.` or `..`, and names of earlier assignments,
+    whose literals are propagated. Without an operator: elements, `key` or `name` beside `value`,
+    two arguments of a call, options of a command. An operator within a bare value belongs to it.
+    Names and literals of any length are read whole, and all parts of a join.
     """
-    known: dict[str, Pair] = {}
-    out, bare = [], 0
+    known: dict[str, tuple[Pair, Look]] = {}
+    out: list[Pair] = []
+
+    def keep(name: str, value: Value) -> None:
+        if value:
+            look = joined(value.looks)
+            out.append(Pair.of(name, value.parts, value.quoted, look, text))
+            known[name] = out[-1], look
+
+    after, before, bare = 0, 0, 0  # ends of the last two operators, of the last bare value
     for operator in OPERATOR.finditer(text):
-        at = operator.start()
+        at, reach = operator.start(), before
+        before, after = after, operator.end()
         if at == 0 or at < bare or text[at - 1] in "=!<>:+-*/":
             continue
-        begin = max(0, at - REACH, text.rfind("\n", max(0, at - REACH), at) + 1)
-        target = TARGET.match(text[begin:at][::-1])
+        begin = text.rfind("\n", reach, at) + 1
+        ahead = text[begin or reach : at][::-1]  # a target reaches over one operator at most, that of its annotation
+        target = TARGET.match(ahead)
         if not target:
             continue
-        name = (target[1] or target[2])[::-1].lstrip("0123456789.->")
-        place, parts, looks, quoted = SPACE.match(text, operator.end()).end(), [], [], False
-        while True:
-            if m := QUOTED.match(text, place):
-                group = next((g for g in (1, 2, 3) if m[g] is not None), 1)
-                parts.append(m.span(group))
-                looks.append(Look.of(m[group]))
-                quoted = True
-            elif (m := NAME.match(text, place)) and (source := known.get(m[0])):
-                parts.append(source)
-                looks.append(source.look)
-                quoted |= source.quoted
-            elif not parts and (m := BARE.match(text, place)):
-                parts.append(m.span())
-                looks.append(Look.of(m[0]))
-                bare = m.end()
-            else:
-                break
-            if not (quoted and (join := JOIN.match(text, m.end()))):
-                break
-            place = join.end()
-        if any(end > start for part in parts for start, end in ([(0, 1)] if isinstance(part, Pair) else [part])):
-            found = Pair(name, tuple(parts), quoted, joined(looks), text)
-            known[name] = found
-            out.append(found)
+        names, place = [(target[1] or target[2])[::-1].lstrip("0123456789.->")], target.end()
+        while further := FURTHER.match(ahead, place):
+            names.append(further[1][::-1])
+            place = further.end()
+        start = SPACE.match(text, after).end()
+        value = _value(text, start, known)
+        if len(names) > 1 and (begin or not reach) and DECLARED.match(ahead, place):
+            values = [value]
+            while len(values) < len(names) and values[-1] and (comma := COMMA.match(text, values[-1].end)):
+                values.append(_value(text, comma.end(), known))
+            if len(values) == len(names) and values[-1]:
+                for name, each in zip(reversed(names), values, strict=True):
+                    keep(name, each)
+                continue
+        if text[at] == ":" and (m := BELOW.match(text, start)) and sensitivity(names[0]):
+            value = _below(text, m.end()) or _value(text, m.end(), known, bare=False)
+        if value.bare:
+            bare = value.end
+        keep(names[0], value)
+    known.clear()
+    for name, value in _named(text):
+        keep(name, value)
     return out
 
 
@@ -247,12 +358,10 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def named_spans(text: str, threshold: float) -> list[tuple[int, int, int]]:
     """(start, kind, end) of literals whose name and look say that they are secrets."""
-    if "=" not in text and ":" not in text:
-        return []
     seen: set[int] = set()
     return sorted({
         (start, 3, end) for pair in pairs(text)
-        if (told := sensitivity(pair.name)) >= (max(threshold, SURE) if pair.look.phrase else threshold) and told * randomness(pair.look, pair.quoted) >= threshold
+        if pair.told >= (max(threshold, SURE) if pair.phrase else threshold) and pair.score >= threshold
         for start, end in pair.leaves(seen) if end > start
     })
 
