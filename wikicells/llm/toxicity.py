@@ -16,8 +16,6 @@ from wikicells.llm.scratch import settle
 
 #: Labelled documents of each class from which lexicon and weights are learned, at most.
 SAMPLE = 12_000
-#: Entries of the lexicon, at most.
-LEXICON = 2_000
 #: Toxic documents that hold an entry, at least, whatever the size of the sample.
 LEAST = 3
 #: Lengths of word starts that can be entries.
@@ -28,13 +26,15 @@ WINDOW = 25
 REMEMBERED = 1 << 18
 
 WORD = re.compile(r"[^\W_]+")
-QUOTED = re.compile(r'"[^"\n]{1,400}"|“[^”\n]{1,400}”|„[^“”\n]{1,400}[“”]|«[^»\n]{1,400}»|^>[^\n]*', re.M)
+# Quotations of any length within a paragraph. A mark that opens again ends the search, so the time is linear.
+QUOTED = re.compile(r'"[^"\n]++"|“[^“”\n]++”|„[^„“”\n]++[“”]|«[^«»\n]++»|^>[^\n]*', re.M)
 PLAIN, MISSPELLED, QUOTATION = range(3)
 
 
 def allowed(entry: str) -> int:
-    """Edits within which a word still counts as the entry; word starts, marked by `*`, are matched exactly."""
-    return 0 if entry.endswith("*") or len(entry) < 5 else 1 if len(entry) < 9 else 2
+    """Edits within which a word still counts as the entry, or its beginning as the word start, which `*` marks."""
+    letters = len(entry.rstrip("*"))
+    return 0 if letters < 5 else 1 if letters < 9 else 2
 
 
 @dataclass
@@ -69,7 +69,7 @@ class Automaton:
         self.sets: list[frozenset] = []
         self.moves: list[dict[str, int]] = []
         self.ends: list[tuple[int, int] | None] = []
-        self.starts: list[int | None] = []
+        self.starts: list[tuple[int, int] | None] = []
         self.known: dict[str, tuple[int, int] | None] = {}
         self.first = self._state({0: 0})
 
@@ -90,7 +90,8 @@ class Automaton:
             self.moves.append({})
             hits = [(e, self.word[n]) for n, e in nodes.items() if n in self.word and e <= allowed(self.entries[self.word[n]])]
             self.ends.append(min(hits, default=None))
-            self.starts.append(next((self.stem[n] for n, e in nodes.items() if n in self.stem and e == 0), None))
+            begun = [(e, self.stem[n]) for n, e in nodes.items() if n in self.stem and e <= allowed(self.entries[self.stem[n]])]
+            self.starts.append(min(begun, default=None))
         return self.states[key]
 
     def _move(self, state: int, letter: str) -> int:
@@ -105,7 +106,11 @@ class Automaton:
         return self._state(nodes)
 
     def match(self, word: str) -> tuple[int, int] | None:
-        """(edits, entry) of the nearest entry, or None. A whole word goes before a word start."""
+        """(edits, entry) of the nearest entry, or None.
+
+        A word goes before a start, unless only the start is there without edits. Of starts with
+        equal edits the one goes first that ends first.
+        """
         if word in self.known:
             return self.known[word]
         if len(self.known) >= REMEMBERED or len(self.moves) >= REMEMBERED:
@@ -119,11 +124,11 @@ class Automaton:
             state = after
             if state < 0:
                 break
-            if self.starts[state] is not None and start is None:
-                start = self.starts[state]
+            if (begun := self.starts[state]) is not None and (start is None or begun[0] < start[0]):
+                start = begun
         hit = self.ends[state] if state >= 0 else None
-        if start is not None and (hit is None or hit[0] > 0):
-            hit = (0, start)
+        if start is not None and (hit is None or start[0] == 0 < hit[0]):
+            hit = start
         self.known[word] = hit
         return hit
 
@@ -207,18 +212,16 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _lexicon(terms: list[str], most: int) -> list[str]:
-    """The surest terms, without word starts that begin with one taken before or are the start of a term taken before.
+def _lexicon(terms: list[str]) -> list[str]:
+    """All terms, the surest first, without word starts that begin with one taken before or are the start of a term taken before.
 
-    A word stays beside a start that covers it, as misspelled forms are found by words only.
+    A word stays beside a start that covers it, as its end may be misspelled, too.
     """
     taken: list[str] = []
     starts: set[str] = set()
     inner: set[str] = set()
     for term in terms:
         text = term.rstrip("*")
-        if len(taken) == most:
-            break
         if not term.endswith("*") or not (text in inner or any(text[:n] in starts for n in STEMS)):
             taken.append(term)
             inner.update(text[:n] for n in STEMS)
@@ -227,6 +230,11 @@ def _lexicon(terms: list[str], most: int) -> list[str]:
     return taken
 
 
+def _threes(flat: list[int]) -> list[tuple[int, int, int]]:
+    """Hits from their numbers in a row."""
+    return list(zip(*[iter(flat)] * 3, strict=True))
+
+
 def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Logistic regression by Newton steps, with a small ridge."""
     w = np.zeros(x.shape[1])
@@ -241,12 +249,13 @@ def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return w
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lexicon: int = LEXICON) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Learns lexicon and weights from labelled documents that are not held out.
 
     Entries are words, and starts of words, that are surely commoner in toxic documents (the lower
-    bound of the log odds ratio), in `LEAST` toxic documents or more at any size of the sample. A
-    misspelled hit weighs half as much as the entry, a quoted one nothing, unless the sample says
+    bound of the log odds ratio), in `LEAST` toxic documents or more at any size of the sample; all
+    of them are taken, so their number is bounded by the texts of the sample. Of the sample the
+    driver gets counts of each entry and the features of each document. A misspelled hit weighs half as much as the entry, a quoted one nothing, unless the sample says
     otherwise.
     """
     texts, counts = training_texts(docs, labels, sample)
@@ -260,30 +269,49 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lexicon: int
     rows = terms.where(F.col("toxic") >= LEAST).withColumn("sure", sure).where("sure > 2")
     # of a word and its starts that say the same, the word goes first
     order = [F.desc("sure"), F.col("term").endswith("*"), F.length("term").desc(), "term"]
-    entries = _lexicon([r["term"] for r in rows.orderBy(*order).limit(20 * lexicon).collect()], lexicon)
-    automaton = Automaton(entries)
+    entries = _lexicon([r["term"] for r in rows.orderBy(*order).select("term").collect()])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = Automaton(entries)
         for batch in batches:
             flat = [[x for hit in hits(t, automaton) for x in hit] for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(flat, pa.list_(pa.int32()))], names=["toxic", "hits"])
 
-    found = [(r["toxic"], [tuple(r["hits"][i : i + 3]) for i in range(0, len(r["hits"]), 3)]) for r in texts.mapInArrow(run, "toxic int, hits array<int>").collect()]
     # the exact hits of a word are told of the start that covers it, too
     number = {e: n for n, e in enumerate(entries)}
     covering = {n: number[f"{e[:k]}*"] for n, e in enumerate(entries) if not e.endswith("*") for k in STEMS if len(e) > k and f"{e[:k]}*" in number}
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: Counter = Counter()
+            for label, flat in zip(batch.column("toxic").to_pylist(), batch.column("hits").to_pylist(), strict=True):
+                pairs = {(e, k) for e, k, _ in _threes(flat)}
+                pairs |= {(covering[e], k) for e, k in pairs if e in covering and k != MISSPELLED}
+                counts.update((label, e, k) for e, k in pairs)
+            columns = zip(*counts) if counts else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(c, pa.int32()) for c in columns), pa.array(list(counts.values()), pa.int64())], names=["toxic", "entry", "kind", "n"]
+            )
+
+    found = settle(texts.mapInArrow(find, "toxic int, hits array<int>"))
     seen = np.zeros((2, len(entries), 3))
-    for label, document in found:
-        pairs = {(e, k) for e, k, _ in document}
-        for entry, kind in pairs | {(covering[e], k) for e, k in pairs if e in covering and k != MISSPELLED}:
-            seen[label, entry, kind] += 1
+    for r in found.mapInArrow(count, "toxic int, entry int, kind int, n long").groupBy("toxic", "entry", "kind").agg(F.sum("n").alias("n")).collect():
+        seen[r["toxic"], r["entry"], r["kind"]] = r["n"]
     rate = (seen[1] + 0.5) / (toxic + 1) / ((seen[0] + 0.5) / (clean + 1))
     rate *= np.exp(-np.sqrt(1 / (seen[1] + 0.5) + 1 / (seen[0] + 0.5)))
     believed = np.stack([rate[:, PLAIN], np.sqrt(rate[:, PLAIN]), np.ones(len(entries))], axis=1)
     ratio = (seen[1] / toxic + believed / clean) / (seen[0] / clean + 1 / clean)
     weights = np.maximum(np.log(np.where(np.arange(3) == PLAIN, rate, ratio)), 0)
     model = Model(entries, weights, np.zeros(4))
-    x, y = np.array([model.features(d) for _, d in found]), np.array([label for label, _ in found], float)
+
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = np.array([model.features(_threes(flat)) for flat in batch.column("hits").to_pylist()]).reshape(-1, 4)
+            yield pa.RecordBatch.from_arrays([batch.column("toxic").cast(pa.float64()), *(pa.array(c) for c in out.T)], names=["toxic", "one", "all", "log", "dense"])
+
+    # sorted, so that sums of floats do not hang on the order in which tasks end
+    table = np.array(sorted(found.mapInArrow(features, "toxic double, one double, all double, log double, dense double").collect()))
+    x, y = table[:, 1:], table[:, 0]
     model.logistic = _fit(x, y, np.where(y == 1, counts[1] / toxic, counts[0] / clean))
     return model
 
