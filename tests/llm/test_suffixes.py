@@ -63,3 +63,17 @@ def test_digest(spark):
     row = suffix_dedup(spark, "/root/testdata/sf0.001").where("n_removed = 0").first()
     text = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where(f"doc_id = {row.doc_id}").first().text
     assert row.kept_sha256 == hashlib.sha256(text.encode()).hexdigest() and row.n_bytes == len(text.encode())
+
+
+def test_equal_rows_of_one_id(spark, small):
+    texts = [r.text for r in small.orderBy("doc_id").limit(6).collect()]
+    texts[0] = (texts[0] * 3)[:1500]
+    rows = [(1, texts[0])] * 50 + [(1, texts[1])] * 2 + [(2, "Q" + texts[0][200:700]), (3, "short"), (3, "short"), (4, texts[4]), (None, texts[5]), (None, texts[5])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(df, 200) == brute(rows, 200)
+    end = len(texts[0].encode())
+    assert end > 1000 and suffixes.repeated_spans(df, 200).where(f"doc = 1 AND start = 0 AND end = {end}").count() >= 1
+    # as many rows as would take hours if each met each
+    many = df.where("doc_id = 2").union(df.where("doc_id = 1").limit(1).join(spark.range(10_000).withColumnRenamed("id", "n"), how="cross").select("doc_id", "text"))
+    rows = suffixes.without_repeats(many, 200).groupBy("doc_id", "n_bytes", "n_removed", "n_spans").count().collect()
+    assert {r.doc_id: r["count"] for r in rows} == {1: 10_000, 2: 1} and all(r.n_spans == 1 for r in rows)

@@ -221,12 +221,33 @@ def _texts(docs: DataFrame) -> DataFrame:
     )
 
 
+def _repeated(texts: DataFrame) -> DataFrame:
+    """(doc, print) of rows that are there more than once."""
+    return settle(texts.groupBy("doc", "print").count().where("count > 1").select("doc", "print"))
+
+
 def repeated_spans(docs: DataFrame, threshold: int = 200) -> DataFrame:
     """(doc, print, start, end): bytes of texts that lie in a window of `threshold` bytes which also
     starts anywhere else. Spans of a text may touch and overlap. `doc` is doc_id, or the least long
-    for null, and `print` tells rows of one doc_id apart by a hash of the text.
+    for null, and `print` tells rows of one doc_id apart by a hash of the text. A repeated row is one
+    text here, whose spans count once, with one over all of it.
     """
     texts = _texts(docs)
+    repeated = _repeated(texts)
+    once = _once(texts, repeated)
+    whole = once.join(repeated, ["doc", "print"], "left_semi").where(F.octet_length("text") >= threshold)
+    whole = whole.select("doc", "print", F.lit(0).cast("long").alias("start"), F.octet_length("text").cast("long").alias("end"))
+    return _spans_of(once, threshold).union(whole)
+
+
+def _once(texts: DataFrame, repeated: DataFrame) -> DataFrame:
+    """One row of each repeated one, and all others, which are not shuffled for that."""
+    copies = texts.join(repeated, ["doc", "print"], "left_semi").groupBy("doc", "print").agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text"))
+    return texts.join(repeated, ["doc", "print"], "left_anti").unionByName(copies)
+
+
+def _spans_of(texts: DataFrame, threshold: int) -> DataFrame:
+    """Spans of texts of which each (doc, print) is there once."""
     found = settle(texts.where(F.octet_length("text") >= threshold).select("doc", "print", "text").mapInArrow(_find(threshold), _ANCHOR), SLICE)
     # settled counts are joined anew, so that Spark can split a gram that is very common
     often = settle(found.groupBy("gram").count().where("count > 1").select("gram"))
@@ -269,13 +290,15 @@ def without_repeats(docs: DataFrame, threshold: int = 200) -> DataFrame:
     A text's UTF-8 bytes go that lie in a string of `threshold` bytes which also starts anywhere
     else in the corpus, the same text included; matches never cross texts, and all is judged on the
     input. A null text is empty; texts shorter than the threshold are kept whole, as is an empty
-    one. Repeated rows are texts of their own, so all of their windows are repeated. A null doc_id
+    one. Repeated rows are texts of their own, so all of their windows are repeated; they are
+    compared with the others once, whatever their number. A null doc_id
     is carried along. An empty table gives no rows. Other columns are left out.
 
     `kept` need not be UTF-8, as spans may begin within a character.
     """
     texts = _texts(docs)
-    spans = repeated_spans(docs, threshold).groupBy("doc", "print").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    repeated = _repeated(texts)
+    spans = _spans_of(_once(texts, repeated), threshold).groupBy("doc", "print").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
@@ -290,6 +313,13 @@ def without_repeats(docs: DataFrame, threshold: int = 200) -> DataFrame:
                 batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (n_bytes, n_removed, n_spans)), pa.array(kept, pa.binary()),
             ], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return texts.join(spans, ["doc", "print"], "left").mapInArrow(
+    single = texts.join(repeated, ["doc", "print"], "left_anti").join(spans, ["doc", "print"], "left").mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
     )
+    # all of a repeated row goes if it has a window at all; its bytes need not meet any spans
+    size, gone = F.octet_length("text").cast("long"), F.octet_length("text") >= threshold
+    copies = texts.join(repeated, ["doc", "print"], "left_semi").select(
+        "doc_id", size.alias("n_bytes"), F.when(gone, size).otherwise(0).alias("n_removed"),
+        gone.cast("long").alias("n_spans"), F.when(gone, F.lit("").cast("binary")).otherwise(F.col("text")).alias("kept"),
+    )
+    return single.union(copies)
