@@ -64,6 +64,17 @@ def test_create_tables(spark, folder):
         wc.create_tables(spark, out)
 
 
+def test_result_tables_are_joined_without_the_driver(spark, folder):
+    out = f"{folder}/out"
+    write_multistream(f"{folder}/dump", "p0p9", map(page, range(10)))
+    wc.load_dump(spark, f"{folder}/dump", out)
+    wc.register_views(spark, out)
+    joined = spark.sql("SELECT i.caption, d.cell_data FROM wikitable_information i JOIN wikitable_data d USING (dump_id, table_name)")
+    assert joined.count() == wc.read_tables(spark, out)[1].count()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_views_read_one_table_each(spark, folder):
     out = f"{folder}/out"
     write_multistream(f"{folder}/dump", "p0p9", map(page, range(10)))

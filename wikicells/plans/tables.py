@@ -126,13 +126,16 @@ def read_tables(spark: SparkSession, path: str, with_dump_id: bool = False) -> t
 
     Table names are unique within a dump; ``with_dump_id`` adds ``dump_id``, by
     which dumps are told apart, and a filter on it reads only their files.
+    Joins with the information are merges, unless they ask for another kind.
     """
     rows = _stored(spark, path)
 
     def columns(schema: str) -> list[str]:
         return [_DUMP] * with_dump_id + [field.split()[0] for field in schema.split(", ")]
 
-    information = rows.where(F.col(_KIND) == INFORMATION).select(columns(INFORMATION_SCHEMA))
+    # Files are far smaller than their rows, by which Spark would send the information of very many tables
+    # through the driver to join it; a merge takes any number.
+    information = rows.where(F.col(_KIND) == INFORMATION).select(columns(INFORMATION_SCHEMA)).hint("merge")
     data = rows.where(F.col(_KIND) == DATA).select(columns(DATA_SCHEMA))
     return information, data
 
