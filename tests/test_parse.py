@@ -1,11 +1,15 @@
 """Hand-derived parser cases: table text, information, cells."""
 
+import random
 import time
 from collections import defaultdict
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import wikicells as wc
+from wikicells.operators import parse
 from wikicells.operators.parse import data_of, info_of
 
 
@@ -304,3 +308,16 @@ def test_hidden_marks(spark, name):
     raw, expected = HIDDEN_MARKS[name]
     tables = spark.createDataFrame([("p", 0, raw)], "page_name string, table_idx int, raw string")
     assert sorted(tuple(r)[1:] for r in wc.parse_data(tables).collect()) == expected
+
+
+@pytest.mark.parametrize("dialect", [wc.OBSERVED, wc.INTENDED])
+def test_short_ways_give_the_same(spark, monkeypatch, dialect):
+    """Tables without captions and text before entries, and rows of data cells, against the general way."""
+    chance = random.Random(5)
+    marks = ["\n|", "\n|", "\n| ", "\n|-", "\n!", "\n|+", "\n", "|", "||", "!", "!!", " ", "a", "b", "[[x|y]]", "{{t\n|u}}", "{{{1|v}}}", "-"]
+    bodies = ["".join(chance.choices(marks[: chance.choice((3, 5, 18))] + marks[7:], k=chance.randrange(14))) for _ in range(1500)]
+    raw = spark.createDataFrame([(f"p{i}", 0, "{|" + body + "\n|}") for i, body in enumerate(bodies)], "page_name string, table_idx int, raw string")
+    short = sorted(map(str, wc.parse_records(raw, dialect).collect()))
+    monkeypatch.setattr(parse, "_is_plain", lambda body: F.lit(False))
+    monkeypatch.setattr(parse, "_data_entries", lambda line, joined, dialect: F.lit(None).cast("string"))
+    assert short == sorted(map(str, wc.parse_records(raw, dialect).collect()))

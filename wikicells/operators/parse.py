@@ -30,6 +30,15 @@ _INFO_ROW = -1
 _ATTRIBUTE_STOP = "|" + "".join(STOP)
 _SEPARATORS = m.CELL_SEP + m.HEADER_SEP
 
+# Lines between a row mark, or the table's first line, and the first entry behind it.
+_LEADS = r"^[^\n]|(?:^|\n\|-[^\n]*+)\n(?![|!])"
+# Entries of data cells as one string, each behind a header separator: a lone pipe behind the first cell with
+# a lone pipe, a link or a template.
+_LOCKED_PIPE = (
+    rf"((?:{m.HEADER_SEP}[^{_ATTRIBUTE_STOP}{m.HEADER_SEP}]*+[{_ATTRIBUTE_STOP}][^{_SEPARATORS}]*+{m.CELL_SEP}|\G(?!^))"
+    rf"[^|{m.HEADER_SEP}]*+)\|"
+)
+
 
 @dataclass(frozen=True)
 class ParsedTables:
@@ -76,6 +85,19 @@ def _row_groups(masked: Column) -> Column:
     )
 
 
+def _is_plain(body: Column) -> Column:
+    """Whether a table has neither captions nor text in front of the first entry of a row."""
+    return ~body.contains("\n|+") & ~body.rlike(_LEADS)
+
+
+def _plain_rows(groups: Column) -> Column:
+    """``_rows`` of a plain table."""
+    return F.transform(groups, lambda group, i: F.struct(
+        group[0].alias("attribute"), F.lit("").alias("lead"), F.lit(0).alias("place"),
+        F.slice(group, 2, F.size(group)).alias("entries"), (i == F.size(groups) - 1).alias("last"),
+    ))
+
+
 def _rows(groups: Column) -> Column:
     """Groups as structs ``(attribute, lead, place, entries, last)``.
 
@@ -125,7 +147,7 @@ def _line(attribute: Column, lead: Column, entries: Column) -> Column:
     )
 
 
-def _caption_line(rows: Column, dialect: str) -> Column:
+def _caption_line(rows: Column, plain: Column, dialect: str) -> Column:
     """The last caption of a table as a line of one entry, an empty line if none.
 
     Observed: a caption in the very last place is a cell, not a caption.
@@ -156,10 +178,10 @@ def _caption_line(rows: Column, dialect: str) -> Column:
     with_caption = F.filter(rows, lambda row: F.exists(row["entries"], _is_caption))
     found = F.filter(F.transform(with_caption, last_caption), lambda line: line.isNotNull())
     none = _line(F.lit(""), F.lit(""), F.array(F.lit("| ")))
-    return F.coalesce(F.try_element_at(found, F.lit(-1)), none)
+    return F.when(plain, none).otherwise(F.coalesce(F.try_element_at(found, F.lit(-1)), none))
 
 
-def _cell_lines(rows: Column, dialect: str) -> Column:
+def _cell_lines(rows: Column, plain: Column, dialect: str) -> Column:
     """The rows that have cells, in order.
 
     Observed: text still open at the end becomes a cell, so the last row always
@@ -190,14 +212,22 @@ def _cell_lines(rows: Column, dialect: str) -> Column:
         entry = F.concat(F.lit("| "), m.as_literal(text))
         return _line(F.lit(""), F.lit(""), F.array(entry))
 
+    def as_it_is(row: Column) -> Column:
+        return _line(row["attribute"], F.lit(""), row["entries"])
+
+    filled = lambda row: F.size(row["entries"]) > 0
     if dialect == INTENDED:
-        return F.transform(F.filter(rows, has_cell), with_cells)
-    return F.transform(
-        F.filter(rows, lambda row: row["last"] | has_cell(row)),
-        lambda row: F.when(F.size(row["entries"]) == 0, open_text(row)).otherwise(
-            with_cells(row)
-        ),
-    )
+        return F.when(plain, F.transform(F.filter(rows, filled), as_it_is)).otherwise(
+            F.transform(F.filter(rows, has_cell), with_cells)
+        )
+
+    def lines(kept, line) -> Column:
+        return F.transform(
+            F.filter(rows, lambda row: row["last"] | kept(row)),
+            lambda row: F.when(F.size(row["entries"]) == 0, open_text(row)).otherwise(line(row)),
+        )
+
+    return F.when(plain, lines(filled, as_it_is)).otherwise(lines(has_cell, with_cells))
 
 
 def _bang(text: Column) -> Column:
@@ -283,6 +313,29 @@ def _lead_in(entry: Column, lead: Column) -> Column:
     ).otherwise(F.concat(lead, entry))
 
 
+def _data_entries(line: Column, joined: Column, dialect: str) -> Column:
+    """``_separate`` for a row of data cells only, all its entries at once; null for other rows.
+
+    ``joined`` has the entries, each behind a header mark; the result has them behind a header separator.
+    """
+    start = m.HEADER_CELL
+    data = joined
+    if dialect == OBSERVED:
+        data = F.replace(data, F.lit(start + "||"), F.lit(m.HEADER_SEP + m.FIRST_PIPE))
+    for mark in (start + "| ", start + "|"):
+        data = F.replace(data, F.lit(mark), F.lit(m.HEADER_SEP))
+    others = joined.contains(start + "!") | joined.contains(start + "|+")
+    return F.when((line["lead"] == "") & ~others, F.replace(_bang(data), F.lit("||"), F.lit(m.CELL_SEP)))
+
+
+def _data_text(data: Column, dialect: str) -> Column:
+    """``_row_text`` of ``_data_entries``."""
+    if dialect == OBSERVED:
+        locked = F.regexp_replace(data, _LOCKED_PIPE, "$1" + m.PIPE)
+        data = F.when(data.contains(m.CELL_SEP) & data.contains("|"), locked).otherwise(data)
+    return F.substring(m.swap(data, m.HEADER_SEP, m.CELL_SEP), 2, F.length(data))
+
+
 def _row_text(line: Column, dialect: str) -> Column:
     """All cells of a row as one string, with a separator between them."""
     entries = F.transform(line["entries"], lambda entry: _separate(entry, dialect))
@@ -293,17 +346,15 @@ def _row_text(line: Column, dialect: str) -> Column:
     filled = F.transform(line["entries"], lambda entry: entry != "|")
     place = F.array_position(filled, True)
     place = F.when(place == 0, F.size(filled)).otherwise(place) - 1
-    entries = F.transform(
+    with_lead = F.transform(
         entries,
-        lambda entry, i: F.when(
-            (line["lead"] != "") & (i == place), _lead_in(entry, m.as_literal(line["lead"]))
-        ).otherwise(entry),
+        lambda entry, i: F.when(i == place, _lead_in(entry, m.as_literal(line["lead"]))).otherwise(entry),
     )
-    return F.array_join(entries, m.CELL_SEP)
+    return F.array_join(F.when(line["lead"] == "", entries).otherwise(with_lead), m.CELL_SEP)
 
 
 def _lines(raw_tables: DataFrame, dialect: str, lines_of_rows) -> DataFrame:
-    """Tables cut into lines: a row per element of ``lines_of_rows(rows)``."""
+    """Tables cut into lines: a row per element of ``lines_of_rows(rows, plain)``."""
     check_dialect(dialect)
     raw = F.col("raw")
     kept = [name for name in ("dump_id", "corrupt") if name in raw_tables.columns]
@@ -334,9 +385,9 @@ def _lines(raw_tables: DataFrame, dialect: str, lines_of_rows) -> DataFrame:
     if dialect == OBSERVED:
         staged = staged.withColumn("body", settle_bangs(F.col("body")))
     return (
-        staged.select(*page, _row_groups(F.col("body")).alias("groups"))
-        .select(*page, _rows(F.col("groups")).alias("rows"))
-        .select(*page, F.posexplode_outer(lines_of_rows(F.col("rows"))).alias("line_no", "line"))
+        staged.select(*page, _is_plain(F.col("body")).alias("plain"), _row_groups(F.col("body")).alias("groups"))
+        .select(*page, "plain", F.when(F.col("plain"), _plain_rows(F.col("groups"))).otherwise(_rows(F.col("groups"))).alias("rows"))
+        .select(*page, F.posexplode_outer(lines_of_rows(F.col("rows"), F.col("plain"))).alias("line_no", "line"))
         .where(F.col("line").isNotNull() | (F.col("corrupt").isNotNull() if "corrupt" in kept else F.lit(False)))
     )
 
@@ -361,10 +412,12 @@ def _cells(lines: DataFrame, dialect: str) -> DataFrame:
         # A line break between a lone pipe and a span gets lost.
         break_lost = rf"([|{m.PIPE}])\n(?=[{SPAN_START}])"
     separated = (
-        lines.select(
+        lines.select(*page, "line", F.concat(F.lit(m.HEADER_CELL), F.array_join("line.entries", m.HEADER_CELL)).alias("joined"))
+        .select(*page, "line", _data_entries(F.col("line"), F.col("joined"), dialect).alias("data"))
+        .select(
             *page,
             F.col("line.attribute").alias("attribute"),
-            _row_text(F.col("line"), dialect).alias("text"),
+            F.when(F.col("data").isNotNull(), _data_text(F.col("data"), dialect)).otherwise(_row_text(F.col("line"), dialect)).alias("text"),
         )
         .select(*page, "attribute", explode(F.split("text", m.CELL_SEP, -1)).alias("col", "cell"))
         .select(
@@ -404,7 +457,7 @@ def parse_records(raw_tables: DataFrame, dialect: str = OBSERVED) -> DataFrame:
     lines = _lines(
         raw_tables,
         dialect,
-        lambda rows: F.concat(F.array(_caption_line(rows, dialect)), _cell_lines(rows, dialect)),
+        lambda rows, plain: F.concat(F.array(_caption_line(rows, plain, dialect)), _cell_lines(rows, plain, dialect)),
     )
     return _with_spans(_cells(lines, dialect).withColumn("row", F.col("line_no") + _INFO_ROW))
 
@@ -443,13 +496,13 @@ def _without_corrupt(raw_tables: DataFrame) -> DataFrame:
 
 def parse_info(raw_tables: DataFrame, dialect: str = OBSERVED) -> DataFrame:
     """Raw tables to ``wikitable_information``, one row per table."""
-    lines = _lines(_without_corrupt(raw_tables), dialect, lambda rows: F.array(_caption_line(rows, dialect)))
+    lines = _lines(_without_corrupt(raw_tables), dialect, lambda rows, plain: F.array(_caption_line(rows, plain, dialect)))
     return info_of(_cells(lines, dialect))
 
 
 def parse_data(raw_tables: DataFrame, dialect: str = OBSERVED) -> DataFrame:
     """Raw tables to ``wikitable_data``, one row per cell."""
-    lines = _lines(_without_corrupt(raw_tables), dialect, lambda rows: _cell_lines(rows, dialect))
+    lines = _lines(_without_corrupt(raw_tables), dialect, lambda rows, plain: _cell_lines(rows, plain, dialect))
     cells = _cells(lines, dialect).withColumnRenamed("line_no", "row")
     return data_of(_with_spans(cells))
 
