@@ -234,3 +234,18 @@ def test_records_are_scanned_once(spark, folder):
     assert found == [("data", "a", 2, 1), ("data", "b", 2, 0), ("data", "x", 0, 1)]
     plan = wc.record_diff(spark, path, lines=True)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan json") == 1
+
+
+def test_both_record_differences_parse_once(spark, folder):
+    path = f"{folder}/records"
+    raw = {"PageName": "P", "PageId": "1", "TableId": 0, "WikitableData": "{|\n| a\n|}"}
+    records = [{"raw": raw, "parsed": [["P", "P_0", "", "?", ""], [["P_0", 0, 0, "b", "", 0, 1, 1]]]}, {"raw": raw}, {"parsed": []}]
+    spark.createDataFrame([(json.dumps(r),) for r in records], "value string").write.text(path)
+    information, data = wc.record_differences(spark, path, lines=True)
+    both = information.select("caption", "actual_copies", "expected_copies").union(data.select("cell_data", "actual_copies", "expected_copies"))
+    found = [tuple(r) for r in both.collect()]
+    assert sorted(found, key=str) == [("", 2, 0), ("?", 0, 1), ("a", 2, 0), ("b", 0, 1), (None, 0, 1)]
+    both = both.persist()
+    both.count()
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReusedExchange") == 1
