@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from fixtures import render
 from fixtures.oracles import ORACLES
 from fixtures.queries import QUERIES
 
@@ -40,3 +41,12 @@ def test_query(spark, sql, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 9000
+
+
+def test_large_tables_get_many_tasks(spark, monkeypatch, tmp_path):
+    """Rows a task, not bytes: small columns become large pages."""
+    spark.range(1000).coalesce(1).write.parquet(f"{tmp_path}/t.parquet")
+    monkeypatch.setattr(render, "ROWS_A_TASK", 90)
+    rows = render.table(spark, str(tmp_path), "t")
+    sizes = [len(part) for part in rows.rdd.glom().collect()]
+    assert sum(sizes) == rows.distinct().count() == 1000 and len(sizes) == 12 and max(sizes) <= 90
