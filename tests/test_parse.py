@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import wikicells as wc
+from wikicells.functions import fold
 from wikicells.operators import parse
 from wikicells.operators.parse import data_of, info_of
 
@@ -321,3 +322,12 @@ def test_short_ways_give_the_same(spark, monkeypatch, dialect):
     monkeypatch.setattr(parse, "_is_plain", lambda body: F.lit(False))
     monkeypatch.setattr(parse, "_data_entries", lambda line, joined, dialect: F.lit(None).cast("string"))
     assert short == sorted(map(str, wc.parse_records(raw, dialect).collect()))
+
+
+def test_rewriting_takes_a_literal_that_matches_need(spark):
+    """The pattern is not even tried on a text without it: this one would not compile."""
+    def rewritten(text, pattern):
+        found = fold.rewrite_until_absent(F.lit(text), pattern, lambda t: F.regexp_replace(t, "ab", "b"), needs="a")
+        return spark.range(1).select(found.alias("t")).first().t
+
+    assert rewritten("aabxab", "ab") == "bxb" and rewritten("xyz", "(") == "xyz"
