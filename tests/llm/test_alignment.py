@@ -116,3 +116,19 @@ def test_pair_scores(spark, libraries):
     the = (a.encode(" the", add_special_tokens=False).ids[0], b.encode("the")[0])
     scores = {(r.a, r.b): (r.documents, r.links, r.best) for r in alignment.pair_scores(postings).collect()}
     assert scores[the] == (3, 7, True) and len(scores) >= 3
+
+
+def test_known_pieces_are_not_aligned_again(monkeypatch):
+    """Groups and links of a piece are remembered, not only its tokens."""
+    with open(BYTE, "rb") as one, open(PIECE, "rb") as other:
+        aligner = alignment.Aligner(one.read(), other.read())
+    first, turned = aligner.text("the quick, brown foxes jumped"), aligner.text("jumped foxes brown quick, the")
+
+    def none(*_):
+        raise AssertionError("aligned again")
+
+    monkeypatch.setattr(aligner, "align", none)
+    for text, (counts, digest, parts) in (("the quick, brown foxes jumped", first), ("jumped foxes brown quick, the", turned)):
+        again = aligner.text(text)
+        assert again[0].tolist() == counts.tolist() and again[1] == digest
+        assert [[x.tolist() for x in part] for part in again[2]] == [[x.tolist() for x in part] for part in parts]

@@ -1,7 +1,7 @@
 """Cross-tokenizer alignment: which tokens of two tokenizers overlap, scored by the documents that show it.
 
-1. Each text is cut where both tokenizers end a token anyway, so that distinct pieces are encoded once
-   a worker, many at a time. The tokens of a text are aligned by the ends of both sides.
+1. Each text is cut where both tokenizers end a token anyway, so that distinct pieces are encoded, and
+   their tokens aligned by the ends of both sides, once a task, many at a time.
 2. Documents are numbered in blocks. For every linked pair of ids, a block has an inverted posting: a
    compressed bitmap of its documents, and one for each binary digit of the links beyond the first.
 3. Postings of parts of a text are OR-merged within the block. Popcounts over all blocks give the
@@ -33,8 +33,8 @@ BLOCK = 4096
 POSTINGS = 1 << 21
 #: Characters of a text that are aligned at a time.
 PART = 1 << 20
-#: Pieces that a worker remembers, and the length up to which it does.
-REMEMBERED = 1 << 18
+#: Pieces that a task remembers, and the length up to which it does.
+REMEMBERED = 1 << 19
 LONGEST = 64
 #: A pair in one number: A's id, then B's id in so many bits.
 BITS = 24
@@ -61,7 +61,7 @@ def byte_level(vocabulary: dict[str, int]) -> list[bytes]:
 
 
 class Aligner:
-    """Tokens of texts and their alignment. Tokens of distinct pieces are remembered up to a bound."""
+    """Tokens of texts and their alignment. The alignment of distinct pieces is remembered up to a bound."""
 
     def __init__(self, byte_json: bytes, piece_model: bytes) -> None:
         import sentencepiece
@@ -78,47 +78,48 @@ class Aligner:
         ]
         self.length_a, self.length_b = (np.array([len(x) for x in spelled]) for spelled in (self.bytes_a, self.bytes_b))
         # ids as text, with what follows them within a group and at the end of its A or B side
-        self.shown = [f"{i}{end}" for n, last in ((len(self.bytes_a), "|"), (len(self.bytes_b), ";")) for i in range(n) for end in (",", last)]
-        self.known: dict[str, tuple[bytes, bytes] | None] = {}
+        self.shown = [
+            f"{i}{end}".encode() for n, last in ((len(self.bytes_a), "|"), (len(self.bytes_b), ";")) for i in range(n) for end in (",", last)
+        ]
+        self.length_shown = np.array([len(x) for x in self.shown])
+        self.known: dict[str, tuple[bytes, bytes, int, int]] = {}
 
     def _tokens(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of both tokenizers for a space and the text, or none if they do not spell it."""
-        a, b, raw = self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text), (" " + text).encode()
+        a = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids  # without offsets
+        b, raw = self.b.encode(text), (" " + text).encode()
         if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
             return None
         return np.array(a, np.int32), np.array(b, np.int32)
 
-    def _learn(self, pieces: list[str]) -> dict[str, tuple[bytes, bytes] | None]:
-        """Ids of pieces. Those without white space at an end are encoded as one text and cut apart again."""
+    def _learn(self, pieces: list[str]) -> dict[str, tuple[bytes, bytes, int, int] | None]:
+        """Alignment of pieces. Those without white space at an end are encoded as one text and cut apart again."""
         plain = [piece for piece in pieces if piece and not piece[0].isspace() and not piece[-1].isspace()]
         tokens, found = self._tokens(" ".join(plain)) if plain else None, {}
         if tokens:
-            ends = np.cumsum([len(piece.encode()) + 1 for piece in plain])
-            sides = []
-            for ids, length in zip(tokens, (self.length_a, self.length_b), strict=True):
-                cuts, data = (4 * (np.searchsorted(np.cumsum(length[ids]), ends) + 1)).tolist(), ids.tobytes()
-                sides.append([data[low:high] for low, high in zip([0, *cuts], cuts, strict=False)])
-            found = dict(zip(plain, zip(*sides, strict=True), strict=True))
+            found = dict(zip(plain, self.align(*tokens, np.cumsum([len(piece.encode()) + 1 for piece in plain])), strict=True))
         for piece in pieces:
             if piece not in found:
                 alone = self._tokens(piece)
-                found[piece] = tuple(ids.tobytes() for ids in alone) if alone else None
+                found[piece] = self.align(*alone, np.array([len(piece.encode()) + 1]))[0] if alone else None
         return found
 
-    def _pieces(self, pieces: list[str]) -> list[tuple[bytes, bytes] | None]:
+    def _pieces(self, pieces: list[str]) -> list[tuple[bytes, bytes, int, int] | None]:
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        known = self.known
-        fresh = self._learn([piece for piece in dict.fromkeys(pieces) if piece not in known])
-        out = [known[piece] if piece in known else fresh[piece] for piece in pieces]
-        known.update((piece, x) for piece, x in fresh.items() if len(piece) <= LONGEST)
+        out = list(map(self.known.get, pieces))
+        if None in out:
+            fresh = self._learn(list(dict.fromkeys(piece for piece, x in zip(pieces, out, strict=True) if x is None)))
+            out = [x or fresh[piece] for piece, x in zip(pieces, out, strict=True)]
+            self.known.update((piece, x) for piece, x in fresh.items() if x and len(piece) <= LONGEST)
         return out
 
-    def align(self, a: np.ndarray, b: np.ndarray) -> tuple[int, str, np.ndarray]:
-        """(groups, their text, links) of two tokenizations of the same bytes.
+    def align(self, a: np.ndarray, b: np.ndarray, cuts: np.ndarray) -> list[tuple[bytes, bytes, int, int]]:
+        """(groups as text, links, tokens of A, tokens of B) of every piece of two tokenizations of the same bytes.
 
-        Between two neighbouring ends of tokens, of whichever side, lies one link: the pair of the
-        tokens there. Ends that both sides have end a group.
+        Pieces end at the bytes `cuts`, where both sides end a token. Between two neighbouring ends of
+        tokens, of whichever side, lies one link: the pair of the tokens there. Ends that both sides
+        have end a group. So a piece has the same groups and links wherever it stands.
         """
         end_a, end_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
         ends = np.sort(np.concatenate([end_a, end_b]), kind="stable")
@@ -133,7 +134,15 @@ class Aligner:
         order = np.empty(len(a) + len(b), np.int32)
         order[np.arange(len(a)) + np.repeat(np.cumsum(tokens_b) - tokens_b, tokens_a)] = code_a
         order[np.arange(len(b)) + np.repeat(np.cumsum(tokens_a), tokens_b)] = code_b
-        return len(both), "".join(map(self.shown.__getitem__, order.tolist()))[:-1], links
+        shown, links = b"".join(map(self.shown.__getitem__, order.tolist())), links.tobytes()
+        until_a, until_b = np.searchsorted(end_a, cuts) + 1, np.searchsorted(end_b, cuts) + 1
+        n_a, n_b = np.diff(until_a, prepend=0).tolist(), np.diff(until_b, prepend=0).tolist()
+        at_shown = np.cumsum(self.length_shown[order])[until_a + until_b - 1].tolist()
+        at_links = (8 * (np.searchsorted(ends, cuts) + 1)).tolist()
+        return [
+            (shown[low : high - 1], links[first:last], x, y)
+            for low, high, first, last, x, y in zip([0, *at_shown], at_shown, [0, *at_links], at_links, n_a, n_b, strict=False)
+        ]
 
     def text(self, text: str) -> tuple[np.ndarray, str, list[tuple[np.ndarray, np.ndarray]]]:
         """((n_a, n_b, n_groups), digest of the groups, (pairs, links of each) of every part of the text)."""
@@ -143,11 +152,11 @@ class Aligner:
             found = self._pieces(CUT.split(text[at : end.start() if end else len(text)]))
             if None in found:
                 return np.zeros(3, np.int64), "", []
-            a, b = (np.frombuffer(b"".join(side), np.int32) for side in zip(*found, strict=True))
-            groups, shown, links = self.align(a, b)
-            digest.update(((";" if at else "") + shown).encode())
-            counts += len(a), len(b), groups
-            parts.append(np.unique(links, return_counts=True))
+            shown, links, n_a, n_b = zip(*found, strict=True)
+            shown = b";".join(shown)
+            digest.update(b";" + shown if at else shown)
+            counts += sum(n_a), sum(n_b), shown.count(b"|")
+            parts.append(np.unique(np.frombuffer(b"".join(links), np.int64), return_counts=True))
             at = end.end() if end else len(text)
         return counts, digest.hexdigest() if parts else "", parts
 
