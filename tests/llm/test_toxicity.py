@@ -1,6 +1,7 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -176,3 +177,15 @@ def test_all_sure_terms_are_taken(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     model = learn(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
     assert set(words) <= set(model.entries) and model.weights.shape == (len(model.entries), 3)
+
+
+@pytest.mark.parametrize("seed", [1, 3, 13])
+def test_the_fit_settles(seed):
+    """Nearly separable classes, on which whole Newton steps swing without end; the slope of the loss ends at zero."""
+    rng, n = np.random.default_rng(seed), 3000
+    y = (np.arange(n) < n // 10).astype(float)
+    evidence = np.where(y == 1, rng.gamma(6, 8, n), np.where(rng.random(n) < 0.03, rng.gamma(1, 3, n), 0))
+    x = np.stack([np.ones(n), evidence, np.log1p(evidence), np.log1p(evidence / 2)], axis=1)
+    w = toxicity._fit(x, y, np.ones(n))
+    p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
+    assert np.abs(x.T @ (p - y) + 0.1 * w).max() < 1e-5 and ((p >= 0.7) == y).mean() > 0.99

@@ -236,14 +236,21 @@ def _threes(flat: list[int]) -> list[tuple[int, int, int]]:
 
 
 def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Logistic regression by Newton steps, with a small ridge."""
+    """Logistic regression by Newton steps, with a small ridge. A step that would raise the loss is halved until it does not."""
+    def loss(w: np.ndarray) -> float:
+        z = np.clip(x @ w, -500, 500)
+        return float(weight @ (np.logaddexp(0, z) - y * z) + 0.05 * w @ w)
+
     w = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
         slope = x.T @ (weight * (p - y)) + 0.1 * w
         curve = (x.T * (weight * np.maximum(p * (1 - p), 1e-6))) @ x + 0.1 * np.eye(len(w))
         step = np.linalg.solve(curve, slope)
-        w -= np.clip(step, -5, 5)
+        move, most = np.clip(step, -5, 5), loss(w) * (1 + 1e-9)
+        while loss(w - move) > most and np.abs(step).max() >= 1e-6:
+            step = move = step / 2
+        w -= move
         if np.abs(step).max() < 1e-6:
             break
     return w
