@@ -58,3 +58,11 @@ def test_encode_and_decode(odd, nothing):
     decoded = sorted(bytes(r["bytes"]) for r in bpe.decode(encoded, PATH).collect())
     assert decoded == sorted((r.text or "").encode() for r in odd.collect())
     assert bpe.round_trip(nothing, PATH, PATTERN).collect() == []
+
+
+def test_plans_do_not_print_the_vocabulary(small, ranks, monkeypatch):
+    """The driver keeps the text of every plan; that of a literal vocabulary has megabytes."""
+    frame, plans = type(small), []
+    monkeypatch.setattr(frame, "toArrow", lambda self, read=frame.toArrow: plans.append(self._jdf.queryExecution().toString()) or read(self))
+    assert " the" in bpe.dictionary(small, ranks, PATTERN, size=400)
+    assert len(plans) == 1 and len(plans[0]) < 50_000
